@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.operators.images import previous_by_key
+from changeflow.session import fresh_dir, spread
 from changeflow.sources.records import entry, record, wal_ts_text
 from changeflow.specs import TPCH_ORDERS, USERS
 
@@ -42,8 +43,27 @@ BAD_EVERY = 50
 DRIFT_COLUMN = "promo_code"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if columns:
+        df = df.select(*columns)
+    return spread(df)
+
+
+def land(feed: DataFrame, name: str, files: int | None = None) -> DataFrame:
+    """Land a derived feed as JSON-lines files in the shared folder; read it back.
+
+    Feeds reach the engine as files (or a message bus), never as an expression
+    tree: parsing text that was just built in the same plan would let the optimizer
+    fold the encoder into every field lookup. Landing also cuts the lineage.
+    """
+    spark = feed.sparkSession
+    path = fresh_dir(spark, f"feed-{name}")
+    out = feed.select("value")
+    if files:
+        out = out.repartition(files)
+    out.write.text(path)
+    return spark.read.text(path)
 
 
 def _user_img(df: DataFrame) -> DataFrame:
@@ -54,7 +74,7 @@ def _user_img(df: DataFrame) -> DataFrame:
 
 
 def events_ops_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    ev = table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
     return _user_img(ev)
 
 
@@ -138,7 +158,8 @@ def feed_i(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """tpch orders typed as the replicated table (price as exact decimal)."""
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                        "o_orderdate", "o_orderpriority"])
     return o.select("o_orderkey", "o_custkey", "o_orderstatus",
                     F.col("o_totalprice").cast("decimal(12,2)").alias("o_totalprice"),
                     F.col("o_orderdate").cast("timestamp").alias("o_orderdate"),

@@ -39,7 +39,7 @@ def users_state(feed_lines: DataFrame, tracked=None) -> DataFrame:
 def user_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: partial-update feed U folded to current state."""
     ensure_utc(spark)
-    return render(users_state(fd.feed_u(spark, sf_dir)), USERS)
+    return render(users_state(fd.land(fd.feed_u(spark, sf_dir), "u")), USERS)
 
 
 QUERIES = {

@@ -59,6 +59,20 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def spread(df, min_partitions: int | None = None):
+    """Round-robin a DataFrame over the cluster when its scan yields too few tasks.
+
+    Small single-file inputs come back as one partition; everything downstream of
+    the scan (JSON encode/parse, coercion) would then run in one task. Large inputs
+    already have more partitions than cores and are returned untouched (no shuffle).
+    """
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared root (never reused, never cleared)."""
     return f"{shared_root(spark)}/changeflow/{name}-{uuid.uuid4().hex[:12]}"

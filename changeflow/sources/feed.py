@@ -97,6 +97,16 @@ def types_map(arr: Column) -> Column:
             F.filter(arr, lambda x: x["name"] == n), F.lit(-1))["type"], F.lit("text"))))
 
 
-def pick(arr: Column, name: str) -> Column:
+def last_position(arr: Column, name) -> Column:
+    """1-based position counted from the end of the last entry named ``name`` (0: absent).
+
+    Codegen-friendly (no lambda): ``array_position`` over the reversed name array.
+    """
+    n = F.lit(name) if isinstance(name, str) else name
+    return F.array_position(F.reverse(arr["name"]), n)
+
+
+def pick(arr: Column, name) -> Column:
     """Last entry of a columns array with the given name (NULL if absent)."""
-    return F.try_element_at(F.filter(arr, lambda x: x["name"] == F.lit(name)), F.lit(-1))
+    p = last_position(arr, name)
+    return F.when(p > 0, F.element_at(arr, -p.cast("int")))

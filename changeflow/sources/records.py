@@ -14,16 +14,17 @@ from changeflow.sources.feed import COLUMN_DDL
 
 
 def entry(name: str, type_name: str, value: Column, present: Column | None = None) -> Column:
-    """One ``{name, type, value}`` element; omitted when ``present`` is false."""
-    s = F.struct(F.lit(name).alias("name"), F.lit(type_name).alias("type"),
-                 value.cast("variant").alias("value"))
-    return s if present is None else F.when(present, s)
+    """One ``{name, type, value}`` element as a 0/1-element array (absent when
+    ``present`` is false); :func:`entries` concatenates them without lambdas."""
+    s = F.array(F.struct(F.lit(name).alias("name"), F.lit(type_name).alias("type"),
+                         value.cast("variant").alias("value"))).cast(COLUMN_DDL)
+    return s if present is None else F.when(present, s).otherwise(F.array().cast(COLUMN_DDL))
 
 
 def entries(items: list[Column]) -> Column:
     if not items:
         return F.array().cast(COLUMN_DDL)
-    return F.array_compact(F.array(*items)).cast(COLUMN_DDL)
+    return F.concat(*items) if len(items) > 1 else items[0]
 
 
 def wal_ts_text(ts: Column) -> Column:
