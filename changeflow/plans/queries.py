@@ -1,47 +1,554 @@
 """Driver queries: each takes (spark, sf_dir) and returns a DataFrame.
 
 Outputs never contain MAP/STRUCT/VARIANT columns; timestamps are rendered as
-canonical ISO-8601 UTC text, exact decimals stay DECIMAL.
+canonical ISO-8601 UTC text, exact decimals stay DECIMAL, lags are integer
+microseconds. Every query reads whole driver tables (or feeds Spark derives from
+them); feeds are landed as files in the shared folder first (see ``feeds.land``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from changeflow.functions import canonical_ts
+from changeflow.functions import (
+    canonical_text, canonical_ts, int_to_lsn, lsn_to_int, parse_ts, typed_from_text,
+)
 from changeflow.operators import fold as fo
-from changeflow.operators.ops import to_ops
+from changeflow.operators import registry as rg
+from changeflow.operators import reports as rp
+from changeflow.operators.ops import envelope_rejects, to_generic_ops, to_ops, to_ops_with_rejects
 from changeflow.plans import feeds as fd
-from changeflow.session import ensure_utc
-from changeflow.sources.feed import parse_feed
-from changeflow.specs import DELETED_AT, ROW_LSN, USERS, TableSpec
+from changeflow.session import ensure_utc, fresh_dir
+from changeflow.sources.feed import dml_filter, parse_feed, pick, table_filter
+from changeflow.sources.records import entry, record
+from changeflow.sources.snapshot import snapshot_state, snapshot_tables
+from changeflow.sources.store import VersionedStore
+from changeflow.specs import (
+    CUSTOMERS, DELETED_AT, PRESENT_PREFIX, ROW_LSN, TPCH_ORDERS, USERS, TableSpec,
+)
+from changeflow.streaming.stream import initialise, run_stream
 
 USER_FIELDS = USERS.fields
+ORDER_FIELDS = TPCH_ORDERS.fields
+USERS_DRIFT = USERS.with_column(fd.DRIFT_COLUMN, "string", "text")
+SYNC_AT = "2024-01-16 00:00:00"       # schema-sync point of the backfill query (UTC)
+BATCH_EVENTS = 1000                   # events per batch in the batch reports
 
 
+# ------------------------------------------------------------------ helpers
+
 def render(state: DataFrame, spec: TableSpec, fields: list[str] | None = None,
            with_lsn: bool = True) -> DataFrame:
+    """Target state -> output rows: key, fields (timestamps as canonical text),
+    deleted_at, _lsn."""
     fields = spec.fields if fields is None else fields
-    cols = [F.col("pk").alias(spec.pk)] + [F.col(c) for c in fields]
+    cols = [F.col("pk").alias(spec.pk)]
+    for c in fields:
+        dt = spec.spark_type(c)
+        if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+            cols.append(canonical_ts(F.col(c)).alias(c))
+        else:
+            cols.append(F.col(c))
     cols.append(canonical_ts(F.col(DELETED_AT)).alias(DELETED_AT))
     if with_lsn:
         cols.append(F.col(ROW_LSN))
     return state.select(*cols)
 
 
-def users_state(feed_lines: DataFrame, tracked=None) -> DataFrame:
-    fields = [c for c in USER_FIELDS if tracked is None or c in tracked]
-    ops = to_ops(parse_feed(feed_lines), USERS, tracked)
+def _parsed(feed: DataFrame, name: str, files: int | None = None) -> DataFrame:
+    return parse_feed(fd.land(feed, name, files))
+
+
+def users_state(feed_lines: DataFrame, tracked=None, spec: TableSpec = USERS) -> DataFrame:
+    fields = [c for c in spec.fields if tracked is None or c in tracked]
+    ops = to_ops(parse_feed(feed_lines), spec, tracked)
     return fo.coalesce_to_target(fo.coalesce(ops, fields), fields)
 
 
+def orders_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return snapshot_state(fd.orders_source(spark, sf_dir), TPCH_ORDERS, fd.L0)
+
+
+def orders_ops(spark: SparkSession, sf_dir: str, ties: bool = False) -> DataFrame:
+    return to_ops(_parsed(fd.feed_o(spark, sf_dir, ties), "o"), TPCH_ORDERS)
+
+
+def orders_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot at L0 with all O changes applied (field guard)."""
+    return fo.replay(orders_snapshot(spark, sf_dir), orders_ops(spark, sf_dir), ORDER_FIELDS)
+
+
+def _render_orders(state: DataFrame) -> DataFrame:
+    return render(state, TPCH_ORDERS)
+
+
+# ------------------------------------------------------------------ fold
+
 def user_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: partial-update feed U folded to current state."""
     ensure_utc(spark)
     return render(users_state(fd.land(fd.feed_u(spark, sf_dir), "u")), USERS)
 
 
+def user_live(spark, sf_dir):
+    """P10: rows without a tombstone."""
+    ensure_utc(spark)
+    return render(fo.live(users_state(fd.land(fd.feed_u(spark, sf_dir), "u"))), USERS)
+
+
+def user_tombstones(spark, sf_dir):
+    """Soft-deleted rows with their deletion time."""
+    ensure_utc(spark)
+    return render(fo.tombstones(users_state(fd.land(fd.feed_u(spark, sf_dir), "u"))), USERS)
+
+
+def user_nulls(spark, sf_dir):
+    """Q4: a field explicitly set to NULL by the newest op stays NULL (feed N)."""
+    ensure_utc(spark)
+    return render(users_state(fd.land(fd.feed_n(spark, sf_dir), "n")), USERS)
+
+
+def user_state_images(spark, sf_dir):
+    """P6 + A1 on before/after images (feed I): only changed columns are written."""
+    ensure_utc(spark)
+    return render(users_state(fd.land(fd.feed_i(spark, sf_dir), "i")), USERS)
+
+
+def coalesce_generic(spark, sf_dir):
+    """A1 in long form for column sets not known statically (canonical text values)."""
+    ensure_utc(spark)
+    feed = _parsed(fd.feed_u(spark, sf_dir), "u")
+    long_ops = to_generic_ops(feed, {USERS.name: USERS.pk}, {USERS.name: USERS.column_names})
+    return fo.coalesce_generic(long_ops).select(
+        "table", F.col("pk").alias("pk"), "field", "value", "field_lsn")
+
+
+def coalesce_ties(spark, sf_dir):
+    """Q2: two ops at one position: the later arrival (higher seq) wins (feed T)."""
+    ensure_utc(spark)
+    st = fo.replay(orders_snapshot(spark, sf_dir), orders_ops(spark, sf_dir, ties=True), ORDER_FIELDS)
+    return st.select(F.col("pk").alias("o_orderkey"), "o_totalprice", ROW_LSN)
+
+
+def diff_changed(spark, sf_dir):
+    """(event, column) pairs an update actually changed (feed I)."""
+    ensure_utc(spark)
+    ops = to_ops(_parsed(fd.feed_i(spark, sf_dir), "i"), USERS)
+    cells = F.array(*[F.struct(F.lit(c).alias("field"), F.col(PRESENT_PREFIX + c).alias("p"))
+                      for c in USER_FIELDS])
+    return (ops.where(F.col("action") == "U")
+               .select(F.col("lsn").alias("event_id"), F.inline(cells))
+               .where("p").select("event_id", "field"))
+
+
+# ------------------------------------------------------------------ feed, types
+
+def feed_parse(spark, sf_dir):
+    """JSON change records parsed back to typed columns."""
+    ensure_utc(spark)
+    f = _parsed(fd.feed_u(spark, sf_dir), "u")
+    key = F.when(F.col("action") == "D", pick(F.col("identity"), "user_id")) \
+        .otherwise(pick(F.col("columns"), "user_id"))
+    return f.select(
+        "lsn", "seq", "action", "table",
+        canonical_ts(F.col("commit_ts")).alias("commit_ts"),
+        typed_from_text(canonical_text(key["type"], key["value"]), T.LongType()).alias("user_id"),
+        F.size("columns").alias("n_columns"), F.size("identity").alias("n_identity"))
+
+
+def feed_filter(spark, sf_dir):
+    """Records kept by the table allow-list and the DML-only filter (feed J)."""
+    ensure_utc(spark)
+    f = _parsed(fd.feed_j(spark, sf_dir), "j")
+    kept = dml_filter(table_filter(f, [USERS.name]))
+    return kept.groupBy("table", "action").agg(F.count(F.lit(1)).alias("n"))
+
+
+def rejects(spark, sf_dir):
+    """Q17: corrupt records, unknown tables and values that do not coerce (feed J)."""
+    ensure_utc(spark)
+    f = _parsed(fd.feed_j(spark, sf_dir), "j")
+    _, bad_values = to_ops_with_rejects(f, USERS)
+    env = envelope_rejects(f, [USERS.name])
+    return env.unionByName(bad_values).select("table", "lsn", "action", "reason")
+
+
+def _types_feed(spark, sf_dir) -> DataFrame:
+    e = fd.table(spark, sf_dir, "events", ["event_id", "ts", "event_type", "value", "props"])
+    ts_text = _ts_variants(F.col("ts"), F.col("event_id"))
+    even = F.col("event_id") % 2 == 0
+    flag = F.col("value") > 25
+    cols = [
+        entry("n", "numeric(12,2)", F.col("value").cast("decimal(12,2)")),
+        entry("ns", "numeric", F.col("value").cast("decimal(12,2)").cast("string")),
+        entry("b", "boolean", F.when(even, F.when(flag, F.lit("t")).otherwise(F.lit("f")))),
+        entry("bj", "bool", flag),
+        entry("i", "integer", F.get_json_object("props", "$.k")),
+        entry("ts", "timestamp with time zone", ts_text),
+        entry("x", "USER-DEFINED", F.col("event_type")),
+    ]
+    v = record(F.col("event_id"), F.lit(0), F.lit("I"), "typed", None, cols, [])
+    return e.select(v.alias("value"))
+
+
+def _ts_variants(ts: Column, n: Column) -> Column:
+    """The same instant written six ways (offset styles, 'T' or space, naive)."""
+    k = n % 6
+    base = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    return (F.when(k == 0, F.concat(F.date_format(ts, base), F.lit("+00")))
+             .when(k == 1, F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")))
+             .when(k == 2, F.concat(F.date_format(ts, base), F.lit("+0000")))
+             .when(k == 3, F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00")))
+             .when(k == 4, F.date_format(ts, base))
+             .otherwise(F.concat(F.date_format(ts + F.expr("INTERVAL 5 HOURS 30 MINUTES"), base),
+                                 F.lit("+05:30"))))
+
+
+def coerce_all(spark, sf_dir):
+    """F2-F8: type-family dispatch on the record's type name, then the declared type."""
+    ensure_utc(spark)
+    f = _parsed(_types_feed(spark, sf_dir), "types")
+
+    def canon(name):
+        e = pick(F.col("columns"), name)
+        return canonical_text(e["type"], e["value"])
+
+    return f.select(
+        "lsn",
+        typed_from_text(canon("n"), T.DecimalType(12, 2)).alias("n"),
+        typed_from_text(canon("ns"), T.DecimalType(12, 2)).alias("ns"),
+        typed_from_text(canon("b"), T.BooleanType()).alias("b"),
+        typed_from_text(canon("bj"), T.BooleanType()).alias("bj"),
+        typed_from_text(canon("i"), T.LongType()).alias("i"),
+        canon("ts").alias("ts"),
+        canon("x").alias("x"))
+
+
+def canonical_ts_query(spark, sf_dir):
+    """timestamp text in six styles -> one canonical ISO-8601 UTC form."""
+    ensure_utc(spark)
+    e = fd.table(spark, sf_dir, "events", ["event_id", "ts"])
+    txt = _ts_variants(F.col("ts"), F.col("event_id"))
+    return e.select("event_id", txt.alias("input"), canonical_ts(parse_ts(txt)).alias("canonical"))
+
+
+LSN_MULT = 4_294_967_311
+LSN_ADD = 17
+
+
+def lsn_decode(spark, sf_dir):
+    """'HI/LO' hex positions -> 64-bit integers."""
+    e = fd.table(spark, sf_dir, "events", ["event_id"])
+    pos = F.col("event_id") * F.lit(LSN_MULT) + F.lit(LSN_ADD)
+    return e.select("event_id", int_to_lsn(pos).alias("lsn_text")) \
+        .select("event_id", "lsn_text", lsn_to_int(F.col("lsn_text")).alias("lsn"))
+
+
+# ------------------------------------------------------------------ registry (P5, J4, X1, T-8, T-10)
+
+def tracked_projection(spark, sf_dir):
+    """A column the registry does not track never reaches the target."""
+    ensure_utc(spark)
+    return render(users_state(fd.land(fd.feed_d(spark, sf_dir), "d"), USERS.column_names), USERS)
+
+
+def drift_columns(spark, sf_dir):
+    """J4, T-8: unregistered columns in I/U changes, reported once per column."""
+    ensure_utc(spark)
+    f = _parsed(fd.feed_d(spark, sf_dir), "d")
+    reg = rg.registry_frame(spark, {USERS.name: USERS.column_names})
+    return rg.drift(f, reg)
+
+
+def schema_diff(spark, sf_dir):
+    """Live columns (observed in the feed) vs the registry: added / removed."""
+    ensure_utc(spark)
+    f = _parsed(fd.feed_d(spark, sf_dir), "d")
+    live = rg.feed_columns(f).select("table", "column").distinct()
+    reg = rg.registry_frame(spark, {USERS.name: USERS.column_names + ["legacy_note"]})
+    return rg.schema_diff(live, reg)
+
+
+def schema_backfill(spark, sf_dir):
+    """T-10: sync adds promo_code as NULL to existing rows; later changes set it."""
+    ensure_utc(spark)
+    f = _parsed(fd.feed_d(spark, sf_dir), "d")
+    cut = F.lit(SYNC_AT).cast("timestamp")
+    before = f.where(F.col("commit_ts") < cut)
+    after = f.where(F.col("commit_ts") >= cut)
+    s1 = fo.coalesce_to_target(fo.coalesce(to_ops(before, USERS), USER_FIELDS), USER_FIELDS)
+    synced = rg.backfill(s1, [(fd.DRIFT_COLUMN, "string")])
+    fields2 = USER_FIELDS + [fd.DRIFT_COLUMN]
+    ops2 = to_ops(after, USERS_DRIFT, USERS_DRIFT.column_names)
+    final = fo.replay(synced.select(*fo.target_columns(fields2)), ops2, fields2)
+    return render(final, USERS_DRIFT, fields2)
+
+
+# ------------------------------------------------------------------ snapshot, apply
+
+def snapshot_docs(spark, sf_dir):
+    """Snapshot rows at L0 with deleted_at NULL."""
+    ensure_utc(spark)
+    return _render_orders(orders_snapshot(spark, sf_dir))
+
+
+def snapshot_counts(spark, sf_dir):
+    """S3: several tables at one position, parents first, row count per table."""
+    ensure_utc(spark)
+    cust = fd.table(spark, sf_dir, "customer", CUSTOMERS.column_names)
+    _, counts = snapshot_tables(spark, {CUSTOMERS.name: cust,
+                                        TPCH_ORDERS.name: fd.orders_source(spark, sf_dir)},
+                                [CUSTOMERS, TPCH_ORDERS], fd.L0)
+    return counts
+
+
+def _reverse_batches(spark, sf_dir, mode: str) -> DataFrame:
+    """Apply the O changes in descending position batches (inserts, deletes,
+    updates, stale) to the snapshot."""
+    ops = orders_ops(spark, sf_dir)
+    state = orders_snapshot(spark, sf_dir)
+    for lo, hi in ((fd.POS_INSERT, None), (fd.POS_DELETE, fd.POS_INSERT),
+                   (fd.POS_UPDATE, fd.POS_DELETE), (None, fd.L0)):
+        b = ops
+        if lo is not None:
+            b = b.where(F.col("lsn") >= F.lit(lo))
+        if hi is not None:
+            b = b.where(F.col("lsn") < F.lit(hi))
+        state = fo.replay(state, b, ORDER_FIELDS, mode=mode)
+    return state
+
+
+def guarded_upsert_field(spark, sf_dir):
+    """J1 per-field guard: batches in reverse order still give the ordered result."""
+    ensure_utc(spark)
+    return _render_orders(_reverse_batches(spark, sf_dir, "field"))
+
+
+def guarded_upsert_row(spark, sf_dir):
+    """J1 row guard (strict lsn > ifnull(_lsn, -1)): exact only on ordered input;
+    here an update older than a delete of the same row is rejected."""
+    ensure_utc(spark)
+    return _render_orders(_reverse_batches(spark, sf_dir, "row"))
+
+
+def handoff(spark, sf_dir):
+    """Snapshot at L0 united with the changes after L0, one aggregation (no join)."""
+    ensure_utc(spark)
+    ops = orders_ops(spark, sf_dir).where(F.col("lsn") > F.lit(fd.L0))
+    return _render_orders(fo.fold_into(orders_snapshot(spark, sf_dir), ops, ORDER_FIELDS))
+
+
+# ------------------------------------------------------------------ streaming (T-1 ... T-14)
+
+def _stream_users(spark, sf_dir, lines: DataFrame, files: int, name: str) -> VersionedStore:
+    path = fresh_dir(spark, f"landing-{name}")
+    lines.write.text(path) if files is None else lines.repartition(files).write.text(path)
+    store = VersionedStore(spark, fresh_dir(spark, f"store-{name}"), buckets=8)
+    run_stream(spark, path, store, [USERS], max_files_per_trigger=1)
+    return store
+
+
+def stream_fold(spark, sf_dir):
+    """T-1..T-5: micro-batches through foreachBatch into the versioned store."""
+    ensure_utc(spark)
+    store = _stream_users(spark, sf_dir, fd.feed_u(spark, sf_dir).select("value"), 4, "u")
+    return render(store.read(USERS.name), USERS)
+
+
+def stream_replay(spark, sf_dir):
+    """T-4..T-6: the feed split into 4 files plus a full second copy, consumed in
+    file-arrival order: result equals one ordered pass."""
+    ensure_utc(spark)
+    path = fresh_dir(spark, "landing-r")
+    u = fd.feed_u(spark, sf_dir)
+    u.repartition(4, F.col("event_id") % 4).select("value").write.text(path + "/split")
+    u.select("value").repartition(1).write.text(path + "/full")
+    store = VersionedStore(spark, fresh_dir(spark, "store-r"), buckets=8)
+    run_stream(spark, path + "/*", store, [USERS], max_files_per_trigger=1)
+    return render(store.read(USERS.name), USERS)
+
+
+def _orders_stream(spark, sf_dir) -> VersionedStore:
+    path = fresh_dir(spark, "landing-o")
+    fd.feed_o(spark, sf_dir).select("value").repartition(4).write.text(path)
+    store = VersionedStore(spark, fresh_dir(spark, "store-o"), buckets=8)
+    initialise(store, {TPCH_ORDERS.name: fd.orders_source(spark, sf_dir)}, [TPCH_ORDERS], fd.L0)
+    run_stream(spark, path, store, [TPCH_ORDERS], max_files_per_trigger=1)
+    return store
+
+
+def stream_snapshot(spark, sf_dir):
+    """T-7: snapshot as version 0, then the change stream on top."""
+    ensure_utc(spark)
+    return _render_orders(_orders_stream(spark, sf_dir).read(TPCH_ORDERS.name))
+
+
+def status(spark, sf_dir):
+    """T-14: applied position, backlog and row counts from the store's commit record."""
+    ensure_utc(spark)
+    store = _orders_stream(spark, sf_dir)
+    rec = store.record()
+    state = store.read(TPCH_ORDERS.name)
+    head = _parsed(fd.feed_o(spark, sf_dir), "o").agg(F.max("lsn").alias("head"))
+    counts = state.agg(F.count(F.lit(1)).alias("rows"),
+                       F.count_if(F.col(DELETED_AT).isNull()).alias("live_rows"))
+    return rp.attach(counts, head).select(
+        F.lit(TPCH_ORDERS.name).alias("table"),
+        F.lit(rec["applied_lsn"]).cast("bigint").alias("applied_lsn"),
+        F.greatest(F.lit(0).cast("bigint"), F.col("head") - F.lit(rec["applied_lsn"])).alias("backlog"),
+        "rows", "live_rows")
+
+
+# ------------------------------------------------------------------ reports
+
+def _orders_source_with_deleted(spark, sf_dir) -> DataFrame:
+    return fd.orders_source(spark, sf_dir).withColumn(DELETED_AT, F.lit(None).cast("timestamp"))
+
+
+def _target_orders(spark, sf_dir) -> DataFrame:
+    return orders_state(spark, sf_dir).withColumnRenamed("pk", TPCH_ORDERS.pk)
+
+
+def parity_report(spark, sf_dir):
+    """Per column, source rows compared with the target and rows that differ."""
+    ensure_utc(spark)
+    return rp.parity_summary(_orders_source_with_deleted(spark, sf_dir), _target_orders(spark, sf_dir),
+                             TPCH_ORDERS.pk, ORDER_FIELDS + [DELETED_AT])
+
+
+def parity_sample(spark, sf_dir):
+    """O3 + J2: 100 deterministically sampled keys, differing fields per key."""
+    ensure_utc(spark)
+    src = _orders_source_with_deleted(spark, sf_dir)
+    keys = rp.sample_keys(src, TPCH_ORDERS.pk, 100)
+    diffs = rp.parity(src.join(keys, TPCH_ORDERS.pk, "left_semi"), _target_orders(spark, sf_dir),
+                      TPCH_ORDERS.pk, ORDER_FIELDS + [DELETED_AT])
+    per = diffs.groupBy(TPCH_ORDERS.pk).agg(F.count(F.lit(1)).alias("fields_mismatched"))
+    return keys.join(per, TPCH_ORDERS.pk, "left").select(
+        TPCH_ORDERS.pk, F.coalesce("fields_mismatched", F.lit(0).cast("bigint")).alias("fields_mismatched"))
+
+
+def presence(spark, sf_dir):
+    """J3 (T1): inserted keys present in the target."""
+    ensure_utc(spark)
+    ins = orders_ops(spark, sf_dir).where(F.col("action") == "I").select(
+        F.col("pk").alias(TPCH_ORDERS.pk)).distinct()
+    return rp.present_keys(ins, _target_orders(spark, sf_dir), TPCH_ORDERS.pk)
+
+
+def missing_keys(spark, sf_dir):
+    """Source keys without a live target row."""
+    ensure_utc(spark)
+    src = fd.orders_source(spark, sf_dir).select(TPCH_ORDERS.pk)
+    return rp.missing_keys(src, fo.live(_target_orders(spark, sf_dir)), TPCH_ORDERS.pk)
+
+
+def orphans(spark, sf_dir):
+    """Line items whose order is not live in the target."""
+    ensure_utc(spark)
+    li = fd.table(spark, sf_dir, "lineitem", ["l_orderkey"])
+    return rp.orphans(li, "l_orderkey", fo.live(_target_orders(spark, sf_dir)), TPCH_ORDERS.pk)
+
+
+def convergence(spark, sf_dir):
+    """Per table, source rows (by the feed's definition) vs live target rows."""
+    ensure_utc(spark)
+    src = fd.orders_source(spark, sf_dir)
+    key = F.col("o_orderkey")
+    expected = src.where(key % 7 != 0).select("o_orderkey").unionByName(
+        src.where(key % 5 == 0).select((key + F.lit(fd.INSERT_OFFSET)).alias("o_orderkey")))
+    orders = rp.table_counts(TPCH_ORDERS.name, expected, _target_orders(spark, sf_dir))
+    ev = fd.table(spark, sf_dir, "events", ["user_id", "event_type"])
+    live_users = ev.groupBy("user_id").agg(F.count_if(F.col("event_type") == "error").alias("e")) \
+        .where("e = 0")
+    users = rp.table_counts(USERS.name, live_users,
+                            users_state(fd.land(fd.feed_u(spark, sf_dir), "u")))
+    return orders.unionByName(users)
+
+
+def _users_ops_feed(spark, sf_dir) -> DataFrame:
+    ops = to_ops(_parsed(fd.feed_u(spark, sf_dir), "u"), USERS)
+    return ops.withColumn("table", F.lit(USERS.name))
+
+
+def op_mix(spark, sf_dir):
+    """A10: operations per table and action, and their rate over the event-time span."""
+    ensure_utc(spark)
+    f = dml_filter(table_filter(_parsed(fd.feed_j(spark, sf_dir), "j"), [USERS.name]))
+    return rp.op_mix(f.where(~F.col("_corrupt")))
+
+
+def _batch() -> Column:
+    return F.floor(F.col("lsn") / F.lit(BATCH_EVENTS)).cast("bigint")
+
+
+def batch_highwater(spark, sf_dir):
+    """A2, A3, A5: per batch of 1000 events: events, keys after coalescing,
+    high-water position, last commit time."""
+    ensure_utc(spark)
+    return rp.batch_stats(_users_ops_feed(spark, sf_dir), _batch())
+
+
+def max_id(spark, sf_dir):
+    """COALESCE(max(id), 0) per replicated table."""
+    ensure_utc(spark)
+    u = users_state(fd.land(fd.feed_u(spark, sf_dir), "u")).withColumnRenamed("pk", "user_id")
+    return rp.max_id(USERS.name, u, "user_id").unionByName(
+        rp.max_id(TPCH_ORDERS.name, _target_orders(spark, sf_dir), TPCH_ORDERS.pk))
+
+
+def lag_report(spark, sf_dir):
+    """Per batch, writer lag behind the reader and commit-to-apply lag
+    (microseconds) against the 5 s SLO."""
+    ensure_utc(spark)
+    return rp.lag_by_batch(_users_ops_feed(spark, sf_dir), _batch())
+
+
+def backlog(spark, sf_dir):
+    """distance from the applied position to the feed head after each batch."""
+    ensure_utc(spark)
+    return rp.backlog_by_batch(_users_ops_feed(spark, sf_dir), _batch())
+
+
 QUERIES = {
     "user_state": user_state,
+    "user_live": user_live,
+    "user_tombstones": user_tombstones,
+    "user_nulls": user_nulls,
+    "user_state_images": user_state_images,
+    "coalesce_generic": coalesce_generic,
+    "coalesce_ties": coalesce_ties,
+    "diff_changed": diff_changed,
+    "feed_parse": feed_parse,
+    "feed_filter": feed_filter,
+    "rejects": rejects,
+    "coerce_all": coerce_all,
+    "canonical_ts": canonical_ts_query,
+    "lsn_decode": lsn_decode,
+    "tracked_projection": tracked_projection,
+    "drift_columns": drift_columns,
+    "schema_diff": schema_diff,
+    "schema_backfill": schema_backfill,
+    "snapshot_docs": snapshot_docs,
+    "snapshot_counts": snapshot_counts,
+    "guarded_upsert_field": guarded_upsert_field,
+    "guarded_upsert_row": guarded_upsert_row,
+    "handoff": handoff,
+    "stream_fold": stream_fold,
+    "stream_replay": stream_replay,
+    "stream_snapshot": stream_snapshot,
+    "status": status,
+    "parity_report": parity_report,
+    "parity_sample": parity_sample,
+    "presence": presence,
+    "missing_keys": missing_keys,
+    "orphans": orphans,
+    "convergence": convergence,
+    "op_mix": op_mix,
+    "batch_highwater": batch_highwater,
+    "max_id": max_id,
+    "lag_report": lag_report,
+    "backlog": backlog,
 }

@@ -37,9 +37,11 @@ def record(lsn: Column, seq: Column, action: Column, table: str | Column,
            ingest_text: Column | None = None) -> Column:
     """Envelope JSON text for one change (explicit JSON nulls are kept)."""
     tbl = F.lit(table) if isinstance(table, str) else table
+    if commit_text is None:
+        commit_text = F.lit(None).cast("string")
     change = F.struct(
         action.alias("action"), tbl.alias("table"),
-        (commit_text if commit_text is not None else F.lit(None).cast("string")).alias("timestamp"),
+        commit_text.alias("timestamp"),
         entries(columns).alias("columns"), entries(identity).alias("identity"))
     env = F.struct(int_to_lsn(lsn).alias("lsn"), seq.cast("bigint").alias("seq"),
                    (ingest_text if ingest_text is not None else commit_text).alias("ingest_ts"),

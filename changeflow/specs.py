@@ -99,3 +99,8 @@ TPCH_ORDERS = TableSpec(
      ("o_totalprice", "decimal(12,2)"), ("o_orderdate", "timestamp"),
      ("o_orderpriority", "string")),
 )
+CUSTOMERS = TableSpec(
+    "tpch_customer", "c_custkey",
+    (("c_custkey", "bigint"), ("c_name", "string"), ("c_nationkey", "int"),
+     ("c_acctbal", "decimal(12,2)"), ("c_mktsegment", "string")),
+)
