@@ -26,9 +26,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.functions import (
-    canonical_text, canonical_ts, coercion_failed, typed_value, variant_json,
+    canonical_text, canonical_ts, typed_from_text, variant_json, variant_text,
 )
-from changeflow.sources.feed import COLUMN_DDL, dml_filter, pick, table_filter
+from changeflow.sources.feed import COLUMN_DDL, dml_filter, fence, pick, table_filter
 from changeflow.specs import DELETED_AT, PRESENT_PREFIX, TableSpec
 
 OP_KEYS = ["pk", "lsn", "seq", "commit_ts", "action", "is_delete"]
@@ -58,35 +58,53 @@ def to_ops_with_rejects(feed: DataFrame, spec: TableSpec, tracked=None) -> tuple
 
     ``rejects`` holds change rows whose key or a carried tracked value does not
     coerce to the declared type, with the failing column names in ``reason``.
+
+    Three projections, each computing a sub-result once: (1) look up every tracked
+    column in the after- and before-image, (2) raw text and changed flags, (3)
+    typed values. Kept apart, each stays small enough for whole-stage codegen.
     """
     tracked = _check_tracked(spec, tracked)
     fields = [c for c in tracked if c != spec.pk]
     f = dml_filter(table_filter(feed.where(~F.col("_corrupt")), [spec.name]))
+    base = ["lsn", "seq", "commit_ts", "ingest_ts", "action", "_raw"]
+
+    # (1) lookups
+    is_d = F.col("action") == "D"
+    s1 = f.select(
+        *base,
+        F.when(is_d, pick(F.col("identity"), spec.pk))
+         .otherwise(pick(F.col("columns"), spec.pk))["value"].alias("_kv"),
+        *[pick(F.col("columns"), c).alias("_n_" + c) for c in fields],
+        *[pick(F.col("identity"), c).alias("_o_" + c) for c in fields])
+
+    # (2) raw text + presence
     action = F.col("action")
     is_i, is_u, is_d = action == "I", action == "U", action == "D"
-
-    new_pk = pick(F.col("columns"), spec.pk)
-    old_pk = pick(F.col("identity"), spec.pk)
-    pk_entry = F.when(is_d, old_pk).otherwise(new_pk)
-    pk_type = spec.spark_type(spec.pk)
-    pk_val = typed_value(pk_entry["value"], pk_type)
-
-    cols = [pk_val.alias("pk"), "lsn", "seq", "commit_ts", "action",
-            is_d.alias("is_delete")]
-    bad = [F.when(pk_val.isNull(), F.lit(spec.pk))]
+    s2_cols = [*base, variant_text(F.col("_kv")).alias("_kt")]
     for c in fields:
-        new = pick(F.col("columns"), c)
-        old = pick(F.col("identity"), c)
+        new, old = F.col("_n_" + c), F.col("_o_" + c)
         present = (F.when(is_i, new.isNotNull())
                    .when(is_u, changed(new, old))
                    .otherwise(F.lit(False)))
-        val = typed_value(new["value"], spec.spark_type(c))
-        cols += [F.when(present, val).alias(c), present.alias(PRESENT_PREFIX + c)]
-        bad.append(F.when(present & coercion_failed(new["value"], val), F.lit(c)))
+        s2_cols += [present.alias(PRESENT_PREFIX + c),
+                    variant_text(new["value"]).alias("_t_" + c)]
+    s2 = s1.select(*s2_cols)
+
+    # (3) typed values, rejects
+    pk_val = typed_from_text(F.col("_kt"), spec.spark_type(spec.pk))
+    cols = [pk_val.alias("pk"), "lsn", "seq", "commit_ts", "action",
+            (F.col("action") == "D").alias("is_delete")]
+    bad = [F.when(pk_val.isNull(), F.lit(spec.pk))]
+    for c in fields:
+        p, t = F.col(PRESENT_PREFIX + c), F.col("_t_" + c)
+        val = typed_from_text(t, spec.spark_type(c))
+        cols += [F.when(p, val).alias(c), p]
+        bad.append(F.when(p & t.isNotNull() & val.isNull(), F.lit(c)))
+    dl = F.col("action") == "D"
     delete_ts = F.coalesce(F.col("commit_ts"), F.col("ingest_ts"))
-    cols += [F.when(is_d, delete_ts).alias(DELETED_AT), is_d.alias(PRESENT_PREFIX + DELETED_AT)]
+    cols += [F.when(dl, delete_ts).alias(DELETED_AT), dl.alias(PRESENT_PREFIX + DELETED_AT)]
     reason = F.array_compact(F.array(*bad))
-    staged = f.select(*cols, reason.alias("_bad"), F.col("_raw"))
+    staged = fence(s2.select(*cols, reason.alias("_bad"), F.col("_raw")))
     ops = staged.where(F.size("_bad") == 0).drop("_bad", "_raw")
     rejects = staged.where(F.size("_bad") > 0).select(
         F.lit(spec.name).alias("table"), "lsn", "seq", "action",

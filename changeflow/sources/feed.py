@@ -36,8 +36,12 @@ def parse_feed(lines: DataFrame, value_col: str = "value") -> DataFrame:
     Rows whose envelope cannot be parsed keep ``_corrupt = true`` so callers can
     route them to rejects instead of losing them silently.
     """
-    r = F.from_json(F.col(value_col).cast("string"), ENVELOPE_DDL)
-    p = lines.select(r.alias("r"), F.col(value_col).cast("string").alias("_raw"))
+    raw = F.col(value_col).cast("string")
+    # One generator row per line: filters on parsed fields cannot be pushed below a
+    # Generate, so each line is parsed exactly once however many predicates and
+    # lookups follow (a plain projection would be inlined into every one of them).
+    p = lines.select(F.inline(F.array(F.struct(
+        F.from_json(raw, ENVELOPE_DDL).alias("r"), raw.alias("_raw")))))
     ch = F.col("r.change")
     out = p.select(
         lsn_to_int(F.col("r.lsn")).alias("lsn"),
@@ -58,6 +62,13 @@ def parse_feed(lines: DataFrame, value_col: str = "value") -> DataFrame:
         | (F.col("commit_text").isNotNull() & F.col("commit_ts").isNull()))
 
 
+def fence(df: DataFrame) -> DataFrame:
+    """Optimizer fence: the same rows and columns, but produced by a generator, so
+    later filters are evaluated on the computed columns instead of being pushed
+    down (and their expressions re-evaluated) below this point."""
+    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+
+
 def read_feed(spark: SparkSession, path: str | list[str]) -> DataFrame:
     paths = [path] if isinstance(path, str) else list(path)
     return parse_feed(spark.read.text(paths))
