@@ -9,6 +9,7 @@ operator runs twice and the second (warm) run is timed. Prints one JSON line.
   upsert    snapshot state + coalesced O changes, guarded merge (J1)   -> rows/s
   snapshot  typed source -> target layout -> versioned store (S2, P9)  -> rows/s
   stream    Structured Streaming, foreachBatch into the store (T-1..5) -> changes/s
+            (two micro-batches: the second merges into buckets the first wrote)
   flagship  user_state end to end, including deriving and landing the feed
 """
 
@@ -76,7 +77,7 @@ def main() -> None:
 
     def q_stream():
         store = VersionedStore(spark, fresh_dir(spark, "bench-stream"), buckets=cpus)
-        run_stream(spark, u_path, store, [USERS], max_files_per_trigger=max(1, cpus // 4))
+        run_stream(spark, u_path, store, [USERS], max_files_per_trigger=max(1, cpus // 2))
 
     def q_flagship():
         user_state(spark, sf_dir).write.format("noop").mode("overwrite").save()

@@ -300,6 +300,7 @@ ORACLES = {
     "user_state": USER_STATE,
     "user_live": _live(USER_STATE, "deleted_at IS NULL"),
     "user_tombstones": _live(USER_STATE, "deleted_at IS NOT NULL"),
+    "orders_live": _live(ORDERS_FIELD, "deleted_at IS NULL"),
     "user_nulls": USER_NULLS,
     "user_state_images": USER_STATE_IMAGES,
     "coalesce_generic": COALESCE_GENERIC,

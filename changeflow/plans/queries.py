@@ -21,7 +21,7 @@ from changeflow.operators import reports as rp
 from changeflow.operators.ops import envelope_rejects, to_generic_ops, to_ops, to_ops_with_rejects
 from changeflow.plans import feeds as fd
 from changeflow.session import ensure_utc, fresh_dir
-from changeflow.sources.feed import dml_filter, parse_feed, pick, table_filter
+from changeflow.sources.feed import dml_filter, fence, parse_feed, pick, table_filter
 from changeflow.sources.records import entry, record
 from changeflow.sources.snapshot import snapshot_state, snapshot_tables
 from changeflow.sources.store import VersionedStore
@@ -98,6 +98,12 @@ def user_live(spark, sf_dir):
     return render(fo.live(users_state(fd.land(fd.feed_u(spark, sf_dir), "u"))), USERS)
 
 
+def orders_live(spark, sf_dir):
+    """P10 on the orders target: snapshot plus changes, rows without a tombstone."""
+    ensure_utc(spark)
+    return _render_orders(fo.live(orders_state(spark, sf_dir)))
+
+
 def user_tombstones(spark, sf_dir):
     """Soft-deleted rows with their deletion time."""
     ensure_utc(spark)
@@ -210,20 +216,19 @@ def coerce_all(spark, sf_dir):
     """F2-F8: type-family dispatch on the record's type name, then the declared type."""
     ensure_utc(spark)
     f = _parsed(_types_feed(spark, sf_dir), "types")
-
-    def canon(name):
-        e = pick(F.col("columns"), name)
-        return canonical_text(e["type"], e["value"])
-
-    return f.select(
+    names = ["n", "ns", "b", "bj", "i", "ts", "x"]
+    # lookups, then canonical text, then declared types: three small projections
+    looked = fence(f.select("lsn", *[pick(F.col("columns"), c).alias(c) for c in names]))
+    canon = fence(looked.select("lsn", *[canonical_text(F.col(c)["type"], F.col(c)["value"]).alias(c)
+                                         for c in names]))
+    return canon.select(
         "lsn",
-        typed_from_text(canon("n"), T.DecimalType(12, 2)).alias("n"),
-        typed_from_text(canon("ns"), T.DecimalType(12, 2)).alias("ns"),
-        typed_from_text(canon("b"), T.BooleanType()).alias("b"),
-        typed_from_text(canon("bj"), T.BooleanType()).alias("bj"),
-        typed_from_text(canon("i"), T.LongType()).alias("i"),
-        canon("ts").alias("ts"),
-        canon("x").alias("x"))
+        typed_from_text(F.col("n"), T.DecimalType(12, 2)).alias("n"),
+        typed_from_text(F.col("ns"), T.DecimalType(12, 2)).alias("ns"),
+        typed_from_text(F.col("b"), T.BooleanType()).alias("b"),
+        typed_from_text(F.col("bj"), T.BooleanType()).alias("bj"),
+        typed_from_text(F.col("i"), T.LongType()).alias("i"),
+        "ts", "x")
 
 
 def canonical_ts_query(spark, sf_dir):
@@ -516,6 +521,7 @@ QUERIES = {
     "user_state": user_state,
     "user_live": user_live,
     "user_tombstones": user_tombstones,
+    "orders_live": orders_live,
     "user_nulls": user_nulls,
     "user_state_images": user_state_images,
     "coalesce_generic": coalesce_generic,

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from changeflow.functions import canonical_ts
 from changeflow.operators import fold as fo
 from changeflow.operators.ops import to_ops
-from changeflow.session import ensure_utc, fresh_dir
+from changeflow.session import ensure_utc, fresh_dir, spread
 from changeflow.sources.feed import DML_ACTIONS, read_feed_stream
 from changeflow.sources.snapshot import snapshot_state
 from changeflow.sources.store import VersionedStore, spec_fields
@@ -40,7 +40,8 @@ def batch_handler(store: VersionedStore, specs, mode: str = "field"):
         if batch_id <= store.last_batch_id():
             return
         ensure_utc(batch.sparkSession)
-        batch = batch.persist()
+        # a trigger of a few small files arrives as a few partitions: spread it
+        batch = spread(batch).persist()
         try:
             rec = store.record() or {}
             snap = rec.get("snapshot") or {}
