@@ -292,6 +292,12 @@ FROM (SELECT 0 AS kind, {L0} AS p FROM orders
       UNION ALL SELECT 3, {UPD} + o_orderkey FROM orders WHERE o_orderkey % 3 = 0)"""
 
 
+PROGRESS = """
+SELECT 'users' AS "table", CAST(4 AS BIGINT) AS batches, CAST(count(*) AS BIGINT) AS events_written,
+       max(event_id) AS applied_lsn
+FROM events"""
+
+
 def _live(q: str, cond: str) -> str:
     return f"SELECT * FROM ({q}) WHERE {cond}"
 
@@ -325,6 +331,7 @@ ORACLES = {
     "stream_replay": USER_STATE,
     "stream_snapshot": ORDERS_FIELD,
     "status": STATUS,
+    "progress": PROGRESS,
     "parity_report": PARITY_REPORT,
     "parity_sample": PARITY_SAMPLE,
     "presence": PRESENCE,

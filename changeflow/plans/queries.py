@@ -375,6 +375,18 @@ def stream_replay(spark, sf_dir):
     return render(store.read(USERS.name), USERS)
 
 
+def progress(spark, sf_dir):
+    """T-13, A5: per-stream progress from the commit records: micro-batches,
+    events read and written (before coalescing), applied position."""
+    ensure_utc(spark)
+    store = _stream_users(spark, sf_dir, fd.feed_u(spark, sf_dir).select("value"), 4, "p")
+    h = store.history().where(F.col("batch_id") >= 0)
+    return h.agg(F.count(F.lit(1)).alias("batches"),
+                 F.sum("events").alias("events_written"),
+                 F.max("applied_lsn").alias("applied_lsn")).select(
+        F.lit(USERS.name).alias("table"), "batches", "events_written", "applied_lsn")
+
+
 def _orders_stream(spark, sf_dir) -> VersionedStore:
     path = fresh_dir(spark, "landing-o")
     fd.feed_o(spark, sf_dir).select("value").repartition(4).write.text(path)
@@ -546,6 +558,7 @@ QUERIES = {
     "stream_replay": stream_replay,
     "stream_snapshot": stream_snapshot,
     "status": status,
+    "progress": progress,
     "parity_report": parity_report,
     "parity_sample": parity_sample,
     "presence": presence,

@@ -2,7 +2,7 @@
 
 Layout under ``root`` (any Hadoop file system, e.g. the cluster's shared folder)::
 
-    data/<table>/v=<n>/_bucket=<b>/part-*.parquet   rows of bucket b written by version n
+    data/<table>/v=<n>-<attempt>/_bucket=<b>/part-*.parquet   bucket b as written by version n
     _versions/<n>.json                                 commit record of version n
 
 A version's commit record lists, per table, the folder holding each bucket, the
@@ -17,6 +17,7 @@ never overwritten in place.
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -117,7 +118,9 @@ class VersionedStore:
 
     # ------------------------------------------------------------ writes
     def _write_buckets(self, table: str, version: int, state: DataFrame) -> str:
-        path = f"{self.root}/data/{table}/v={version}"
+        # one folder per attempt: a batch retried after a lost executor or driver
+        # writes afresh; only the folder named by the commit record is ever read
+        path = f"{self.root}/data/{table}/v={version}-{uuid.uuid4().hex[:8]}"
         (state.withColumn(BUCKET_COL, bucket_of(F.col("pk"), self.buckets))
               .repartition(F.col(BUCKET_COL))
               .write.partitionBy(BUCKET_COL).parquet(path))

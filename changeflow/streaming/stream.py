@@ -13,13 +13,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.functions import canonical_ts
+from changeflow.functions import backlog, canonical_ts
 from changeflow.operators import fold as fo
+from changeflow.operators.registry import backfill
+from changeflow.operators.reports import attach
 from changeflow.operators.ops import to_ops
 from changeflow.session import ensure_utc, fresh_dir, spread
 from changeflow.sources.feed import DML_ACTIONS, read_feed_stream
 from changeflow.sources.snapshot import snapshot_state
 from changeflow.sources.store import VersionedStore, spec_fields
+from changeflow.specs import TableSpec
 
 
 def batch_metrics(batch: DataFrame) -> dict:
@@ -97,3 +100,40 @@ def run_stream(spark: SparkSession, feed_path: str, store: VersionedStore, specs
     if available_now:
         q.awaitTermination()
     return q
+
+
+def schema_sync(store: VersionedStore, live: TableSpec) -> dict:
+    """T-10 / X1 on the store: align the registry of ``live.name`` with the live
+    column list. Added columns are backfilled with NULL in a new version; removed
+    columns leave the new version (older versions keep them). Idempotent: with
+    nothing to change no version is written. The running stream picks the new
+    registry up at its next micro-batch (T-9).
+    """
+    tracked = store.tracked(live.name) or []
+    cols = live.column_names
+    added = [c for c in cols if c not in tracked]
+    removed = [c for c in tracked if c not in cols]
+    if not added and not removed:
+        return {"table": live.name, "added": [], "removed": [], "version": None}
+    state = store.read(live.name)
+    fields = [c for c in live.fields]
+    if state is None:
+        raise ValueError(f"{live.name}: nothing stored yet; load a snapshot or stream first")
+    state = backfill(state, [(c, live.spark_type(c).simpleString()) for c in added if c != live.pk])
+    version = store.replace({live.name: (state.select(*fo.target_columns(fields)), fields, cols)})
+    return {"table": live.name, "added": added, "removed": removed, "version": version}
+
+
+def store_status(store: VersionedStore, feed: DataFrame | None = None) -> DataFrame:
+    """T-14: applied position, backlog to the feed head and committed versions."""
+    spark = store.spark
+    rec = store.record() or {}
+    applied = rec.get("applied_lsn")
+    base = spark.createDataFrame([(applied, len(store.versions()), rec.get("batch_id"))],
+                                 "applied_lsn bigint, versions int, batch_id bigint")
+    if feed is None:
+        return base.withColumn("backlog", F.lit(None).cast("bigint"))
+    head = feed.agg(F.max("lsn").alias("_head"))
+    return attach(base, head).select(
+        "applied_lsn", "versions", "batch_id",
+        backlog(F.col("_head"), F.col("applied_lsn")).alias("backlog"))

@@ -104,3 +104,32 @@ def test_snapshot_then_stream_equals_batch_handoff(spark):
     expected = fo.replay(snap, ops, TPCH_ORDERS.fields)
     got = store.read(TPCH_ORDERS.name)
     assert _rows(got.select(*expected.columns)) == _rows(expected)
+
+
+def test_schema_sync_between_stream_runs(spark):
+    """T7 + T8: an unregistered column is dropped while streaming; after sync it is
+    NULL on existing rows and set by later changes; re-running sync is a no-op."""
+    from changeflow.plans.queries import USERS_DRIFT
+    from changeflow.streaming.stream import schema_sync, store_status
+    land = fresh_dir(spark, "prop-landing-d")
+    d = fd.feed_d(spark, SF)
+    cut = F.col("event_id") < 3000
+    d.where(cut).select("value").repartition(2).write.text(land + "/a")
+    store = VersionedStore(spark, fresh_dir(spark, "prop-store-d"), buckets=4)
+    ckpt = fresh_dir(spark, "prop-ckpt-d")
+    run_stream(spark, land + "/*", store, [USERS], checkpoint=ckpt)
+    assert "promo_code" not in store.read(USERS.name).columns
+    r = schema_sync(store, USERS_DRIFT)
+    assert r["added"] == ["promo_code"] and r["version"] is not None
+    assert schema_sync(store, USERS_DRIFT)["version"] is None
+    synced = store.read(USERS.name)
+    assert synced.where(F.col("promo_code").isNotNull()).count() == 0
+    d.where(~cut).select("value").repartition(2).write.text(land + "/b")
+    run_stream(spark, land + "/*", store, [USERS_DRIFT], checkpoint=ckpt)
+    after = store.read(USERS.name)
+    ev = fd.table(spark, SF, "events", ["event_id", "user_id", "event_type"])
+    setters = ev.where((F.col("event_id") >= 3000) & (F.col("event_id") % 2 == 0)
+                       & (F.col("event_type") != "error")).select("user_id").distinct().count()
+    assert after.where(F.col("promo_code").isNotNull()).count() == setters
+    st = store_status(store, parse_feed(spark.read.text(land + "/*"))).first()
+    assert st["backlog"] == 0
