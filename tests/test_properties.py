@@ -133,3 +133,24 @@ def test_schema_sync_between_stream_runs(spark):
     assert after.where(F.col("promo_code").isNotNull()).count() == setters
     st = store_status(store, parse_feed(spark.read.text(land + "/*"))).first()
     assert st["backlog"] == 0
+
+
+def test_updates_reflected_with_exact_decimal(spark):
+    """T2 + P12 + P13: 50 updates setting a marker amount are found by exact
+    decimal equality and by point lookup after the guarded merge."""
+    from decimal import Decimal
+    from changeflow.sources.records import entry, record
+    src = fd.orders_source(spark, SF)
+    keys = src.orderBy("o_orderkey").limit(50).select("o_orderkey")
+    marker = F.lit("77777.77").cast("decimal(12,2)")
+    lines = keys.select(record(
+        F.lit(fd.POS_UPDATE) + F.col("o_orderkey"), F.lit(0), F.lit("U"), TPCH_ORDERS.name, None,
+        [entry("o_orderkey", "bigint", F.col("o_orderkey")), entry("o_totalprice", "numeric", marker)],
+        [entry("o_orderkey", "bigint", F.col("o_orderkey"))]).alias("value"))
+    ops = to_ops(parse_feed(fd.land(lines, "prop-t2")), TPCH_ORDERS)
+    state = fo.replay(snapshot_state(src, TPCH_ORDERS, fd.L0), ops, TPCH_ORDERS.fields)
+    hits = state.where(F.col("o_totalprice") == F.lit(Decimal("77777.77")))
+    assert hits.count() == 50
+    first = keys.first()["o_orderkey"]
+    row = state.where(F.col("pk") == first).first()
+    assert row["o_totalprice"] == Decimal("77777.77") and row["deleted_at"] is None
