@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.operators import fold as fo
-from changeflow.specs import DELETED_AT, FIELD_LSN_PREFIX, ROW_LSN, TableSpec
+from changeflow.specs import TableSpec
 
 BUCKET_COL = "_bucket"
 
@@ -44,6 +44,8 @@ class VersionedStore:
         jvm = spark.sparkContext._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self._latest: int | None = None      # newest version known to exist
+        self._records: dict = {}             # version -> record (immutable once written)
 
     # ------------------------------------------------------------ file system
     def _fs(self, path: str):
@@ -64,12 +66,30 @@ class VersionedStore:
                 out.append(int(name[:-5]))
         return sorted(out)
 
+    def _record_path(self, version: int) -> str:
+        return f"{self._versions_dir()}/{version:012d}.json"
+
+    def latest_version(self) -> int | None:
+        """Newest committed version. One listing on first use, then probing forward
+        from the last known version, so the cost does not grow with history."""
+        if self._latest is None:
+            vs = self.versions()
+            self._latest = vs[-1] if vs else None
+            if self._latest is None:
+                return None
+        while True:
+            fs, p = self._fs(self._record_path(self._latest + 1))
+            if not fs.exists(p):
+                return self._latest
+            self._latest += 1
+
     def record(self, version: int | None = None) -> dict | None:
-        vs = self.versions()
-        if not vs:
+        v = self.latest_version() if version is None else version
+        if v is None:
             return None
-        v = vs[-1] if version is None else version
-        fs, p = self._fs(f"{self._versions_dir()}/{v:012d}.json")
+        if v in self._records:
+            return self._records[v]
+        fs, p = self._fs(self._record_path(v))
         stream = fs.open(p)
         try:
             reader = self.spark.sparkContext._jvm.java.io.BufferedReader(
@@ -77,10 +97,16 @@ class VersionedStore:
             text = "".join(iter(reader.readLine, None))
         finally:
             stream.close()
-        return json.loads(text)
+        rec = json.loads(text)
+        self._records[v] = rec
+        return rec
+
+    def _next_version(self) -> int:
+        v = self.latest_version()
+        return 0 if v is None else v + 1
 
     def _write_record(self, version: int, rec: dict) -> None:
-        fs, p = self._fs(f"{self._versions_dir()}/{version:012d}.json")
+        fs, p = self._fs(self._record_path(version))
         try:
             out = fs.create(p, False)
         except Exception as e:  # noqa: BLE001 - FileAlreadyExistsException via py4j
@@ -89,6 +115,8 @@ class VersionedStore:
             out.write(bytearray(json.dumps(rec, sort_keys=True).encode("utf-8")))
         finally:
             out.close()
+        self._records[version] = rec
+        self._latest = version if self._latest is None else max(self._latest, version)
 
     # ------------------------------------------------------------ reads
     def tracked(self, table: str) -> list[str] | None:
@@ -149,7 +177,7 @@ class VersionedStore:
         Tables not named keep their previous folders.
         """
         prev = self.record() or {"tables": {}}
-        version = (self.versions() or [-1])[-1] + 1
+        version = self._next_version()
         rec_tables = dict(prev.get("tables", {}))
         for name, (state, fields, tracked) in tables.items():
             path = self._write_buckets(name, version, state.select(*fo.target_columns(fields)))
@@ -173,7 +201,7 @@ class VersionedStore:
         if batch_id <= self.last_batch_id():
             return None  # replay of a committed batch: exactly-once effect
         prev = self.record() or {"tables": {}}
-        version = (self.versions() or [-1])[-1] + 1
+        version = self._next_version()
         rec_tables = dict(prev.get("tables", {}))
         for name, (ops, fields, tracked) in folded.items():
             ops = ops.withColumn(BUCKET_COL, bucket_of(F.col("pk"), self.buckets)).persist()
@@ -188,9 +216,10 @@ class VersionedStore:
                 old_paths = [old["buckets"][b] for b in touched if old and b in old["buckets"]]
                 if old_paths:
                     target = self._read_paths(old_paths, fo.target_columns(fields))
+                    new_state = fo.apply(target, ops.drop(BUCKET_COL), fields, mode=mode)
                 else:
-                    target = _empty_target(self.spark, ops, fields)
-                new_state = fo.apply(target, ops.drop(BUCKET_COL), fields, mode=mode)
+                    # first rows of these buckets: the coalesced ops are the state
+                    new_state = fo.coalesce_to_target(ops.drop(BUCKET_COL), fields)
                 path = self._write_buckets(name, version, new_state)
                 buckets = dict(old["buckets"]) if old else {}
                 buckets.update(self._list_buckets(path))
@@ -218,12 +247,5 @@ class VersionedStore:
                   "last_commit string, applied_lsn bigint")
 
 
-def _empty_target(spark: SparkSession, like_ops: DataFrame, fields: list[str]) -> DataFrame:
-    cols = [F.col("pk")] + [F.col(c) for c in fields] + [F.col(DELETED_AT),
-                                                          F.col(ROW_LSN).alias(ROW_LSN)]
-    cols += [F.col(FIELD_LSN_PREFIX + c) for c in list(fields) + [DELETED_AT]]
-    return like_ops.select(*cols).where(F.lit(False))
-
-
 def spec_fields(spec: TableSpec, tracked) -> list[str]:
     return [c for c in spec.fields if c in set(tracked)]
