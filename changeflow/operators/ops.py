@@ -53,7 +53,8 @@ def _check_tracked(spec: TableSpec, tracked) -> list[str]:
     return [c for c in spec.column_names if c in set(tracked)]
 
 
-def to_ops_with_rejects(feed: DataFrame, spec: TableSpec, tracked=None) -> tuple[DataFrame, DataFrame]:
+def to_ops_with_rejects(feed: DataFrame, spec: TableSpec, tracked=None,
+                        revive_on_insert: bool = False) -> tuple[DataFrame, DataFrame]:
     """Parsed feed -> (ops, rejects) for one table.
 
     ``rejects`` holds change rows whose key or a carried tracked value does not
@@ -102,7 +103,10 @@ def to_ops_with_rejects(feed: DataFrame, spec: TableSpec, tracked=None) -> tuple
         bad.append(F.when(p & t.isNotNull() & val.isNull(), F.lit(c)))
     dl = F.col("action") == "D"
     delete_ts = F.coalesce(F.col("commit_ts"), F.col("ingest_ts"))
-    cols += [F.when(dl, delete_ts).alias(DELETED_AT), dl.alias(PRESENT_PREFIX + DELETED_AT)]
+    # Q6: by default an insert never clears a tombstone (sticky, as in the reference);
+    # revive_on_insert makes an insert set deleted_at to NULL at its position
+    del_present = (dl | (F.col("action") == "I")) if revive_on_insert else dl
+    cols += [F.when(dl, delete_ts).alias(DELETED_AT), del_present.alias(PRESENT_PREFIX + DELETED_AT)]
     reason = F.array_compact(F.array(*bad))
     staged = fence(s2.select(*cols, reason.alias("_bad"), F.col("_raw")))
     ops = staged.where(F.size("_bad") == 0).drop("_bad", "_raw")
@@ -112,8 +116,20 @@ def to_ops_with_rejects(feed: DataFrame, spec: TableSpec, tracked=None) -> tuple
     return ops, rejects
 
 
-def to_ops(feed: DataFrame, spec: TableSpec, tracked=None) -> DataFrame:
-    return to_ops_with_rejects(feed, spec, tracked)[0]
+def to_ops(feed: DataFrame, spec: TableSpec, tracked=None, revive_on_insert: bool = False) -> DataFrame:
+    return to_ops_with_rejects(feed, spec, tracked, revive_on_insert)[0]
+
+
+def pk_changes(feed: DataFrame, spec: TableSpec) -> DataFrame:
+    """Q7: updates whose key differs from the before-image's key. They are applied
+    as the reference does (the new key is written, the old row stays live); this
+    report lists them: (table, lsn, old_pk, new_pk) as canonical text."""
+    f = table_filter(feed.where(~F.col("_corrupt") & (F.col("action") == "U")), [spec.name])
+    new, old = pick(F.col("columns"), spec.pk), pick(F.col("identity"), spec.pk)
+    out = fence(f.select("table", "lsn",
+                         canonical_text(old["type"], old["value"]).alias("old_pk"),
+                         canonical_text(new["type"], new["value"]).alias("new_pk")))
+    return out.where(F.col("old_pk").isNotNull() & ~F.col("old_pk").eqNullSafe(F.col("new_pk")))
 
 
 def envelope_rejects(feed: DataFrame, tables) -> DataFrame:

@@ -102,6 +102,13 @@ def run_stream(spark: SparkSession, feed_path: str, store: VersionedStore, specs
     return q
 
 
+def drain_and_stop(query) -> None:
+    """T-12: let a continuously triggered query apply everything already landed,
+    then stop it (its checkpoint and the store stay consistent for a restart)."""
+    query.processAllAvailable()
+    query.stop()
+
+
 def schema_sync(store: VersionedStore, live: TableSpec) -> dict:
     """T-10 / X1 on the store: align the registry of ``live.name`` with the live
     column list. Added columns are backfilled with NULL in a new version; removed
