@@ -42,3 +42,24 @@ def snapshot_tables(spark: SparkSession, sources: dict, specs, l0: int) -> tuple
             F.lit(spec.name).alias("table"), F.lit(i).alias("ordinal"), "rows")
         counts = c if counts is None else counts.unionByName(c)
     return states, counts
+
+
+def read_jdbc_snapshot(spark: SparkSession, url: str, table: str, pk: str, lower: int, upper: int,
+                       partitions: int, fetchsize: int = 5000, snapshot_name: str | None = None,
+                       properties: dict | None = None) -> DataFrame:
+    """S2 from a database: a key-range-partitioned JDBC scan (``partitions`` parallel
+    readers over ``[lower, upper]`` of ``pk``), ``fetchsize`` rows per round trip.
+
+    ``snapshot_name`` pins every reader to one exported transaction snapshot
+    (REPEATABLE READ + SET TRANSACTION SNAPSHOT), so all partitions see the database
+    at the same position L0. Needs the database's JDBC driver on the classpath; not
+    exercised by the tests (no database is run here).
+    """
+    opts = dict(properties or {})
+    opts["fetchsize"] = str(fetchsize)
+    if snapshot_name:
+        opts["sessionInitStatement"] = (
+            "BEGIN TRANSACTION ISOLATION LEVEL REPEATABLE READ; "
+            f"SET TRANSACTION SNAPSHOT '{snapshot_name}'")
+    return spark.read.jdbc(url, table, column=pk, lowerBound=lower, upperBound=upper,
+                           numPartitions=partitions, properties=opts)
