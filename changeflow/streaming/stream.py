@@ -22,7 +22,7 @@ from changeflow.session import ensure_utc, fresh_dir, spread
 from changeflow.sources.feed import DML_ACTIONS, read_feed_stream
 from changeflow.sources.snapshot import snapshot_state
 from changeflow.sources.store import VersionedStore, spec_fields
-from changeflow.specs import TableSpec
+from changeflow.specs import DELETED_AT, FIELD_LSN_PREFIX, TableSpec
 
 
 def batch_metrics(batch: DataFrame) -> dict:
@@ -84,6 +84,28 @@ def initialise(store: VersionedStore, sources: dict, specs, l0: int) -> bool:
     return True
 
 
+def resnapshot(store: VersionedStore, sources: dict, specs, l0: int,
+               vanished_deleted_at: str | None = None) -> int:
+    """T-7 redo (position lost): replace every table with a fresh snapshot at ``l0``.
+
+    By default keys that vanished from the source since the last state disappear
+    (Q9). With ``vanished_deleted_at`` (a UTC timestamp text) they are kept as
+    tombstones instead: stored rows whose key is absent from the new snapshot
+    (left anti join on the key) get that deletion time at position ``l0``.
+    """
+    tables = {}
+    for spec in specs:
+        st = snapshot_state(sources[spec.name], spec, l0)
+        old = store.read(spec.name)
+        if vanished_deleted_at is not None and old is not None:
+            gone = (old.join(st.select("pk"), "pk", "left_anti")
+                       .withColumn(DELETED_AT, F.lit(vanished_deleted_at).cast("timestamp"))
+                       .withColumn(FIELD_LSN_PREFIX + DELETED_AT, F.lit(l0).cast("bigint")))
+            st = st.unionByName(gone.select(*st.columns))
+        tables[spec.name] = (st, spec.fields, spec.column_names)
+    return store.replace(tables, meta={"snapshot": {"done": True, "lsn": l0}, "applied_lsn": l0})
+
+
 def run_stream(spark: SparkSession, feed_path: str, store: VersionedStore, specs,
                checkpoint: str | None = None, max_files_per_trigger: int | None = 1,
                available_now: bool = True, processing_time: str = "500 milliseconds",

@@ -154,3 +154,22 @@ def test_updates_reflected_with_exact_decimal(spark):
     first = keys.first()["o_orderkey"]
     row = state.where(F.col("pk") == first).first()
     assert row["o_totalprice"] == Decimal("77777.77") and row["deleted_at"] is None
+
+
+def test_resnapshot_drops_or_tombstones_vanished_keys(spark):
+    """Q9: after a re-snapshot, keys gone at the source either disappear (default)
+    or stay as tombstones when asked."""
+    from changeflow.streaming.stream import resnapshot
+    src = fd.orders_source(spark, SF)
+    store = VersionedStore(spark, fresh_dir(spark, "prop-store-q9"), buckets=4)
+    initialise(store, {TPCH_ORDERS.name: src}, [TPCH_ORDERS], fd.L0)
+    n = src.count()
+    smaller = {TPCH_ORDERS.name: src.where(F.col("o_orderkey") % 10 != 0)}
+    gone = src.where(F.col("o_orderkey") % 10 == 0).count()
+    resnapshot(store, smaller, [TPCH_ORDERS], fd.L0 + 1)
+    assert store.read(TPCH_ORDERS.name).count() == n - gone
+    resnapshot(store, {TPCH_ORDERS.name: src}, [TPCH_ORDERS], fd.L0 + 2)
+    resnapshot(store, smaller, [TPCH_ORDERS], fd.L0 + 3, vanished_deleted_at="2025-06-01 00:00:00")
+    st = store.read(TPCH_ORDERS.name)
+    assert st.count() == n
+    assert st.where(F.col("deleted_at").isNotNull()).count() == gone
