@@ -143,8 +143,9 @@ def tombstones(target: DataFrame) -> DataFrame:
 
 
 def coalesce_generic(long_ops: DataFrame) -> DataFrame:
-    """A1 in long form: newest value per (table, pk, field) for any column set."""
-    order = _order("lsn", "seq")
+    """A1 in long form: newest value per (table, pk, field) for any column set;
+    a name repeated inside one record keeps its last occurrence."""
+    order = _order("lsn", "seq", "pos")
     return (long_ops.where(F.col("field").isNotNull())
             .groupBy("table", "pk", "field")
             .agg(F.max_by("value", order).alias("value"), F.max("lsn").alias("field_lsn")))

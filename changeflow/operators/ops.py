@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from changeflow.functions import (
     canonical_text, canonical_ts, typed_from_text, variant_json, variant_text,
 )
-from changeflow.sources.feed import COLUMN_DDL, dml_filter, fence, pick, table_filter
+from changeflow.sources.feed import dml_filter, fence, pick, table_filter
 from changeflow.specs import DELETED_AT, PRESENT_PREFIX, TableSpec
 
 OP_KEYS = ["pk", "lsn", "seq", "commit_ts", "action", "is_delete"]
@@ -144,8 +144,11 @@ def envelope_rejects(feed: DataFrame, tables) -> DataFrame:
 def to_generic_ops(feed: DataFrame, pk_of: dict, tracked_of: dict) -> DataFrame:
     """Long (MAP-free) form for any set of tables: one row per (table, pk, field).
 
-    Output: table, pk (STRING canonical), field, value (STRING canonical), present,
-    lsn, seq, is_delete. Used when column sets are not known statically.
+    Output: table, pk (STRING canonical), field, value (STRING canonical), lsn, seq,
+    pos (element position, orders repeated names within one record), is_delete.
+    Rows with a NULL field carry only the row position. Used when column sets are
+    not known statically. Lambda-free: the change arrays are exploded and the
+    before-image is looked up with the same codegen'd ``pick`` as the wide form.
     """
     tables = list(pk_of)
     f = dml_filter(table_filter(feed.where(~F.col("_corrupt")), tables))
@@ -154,31 +157,29 @@ def to_generic_ops(feed: DataFrame, pk_of: dict, tracked_of: dict) -> DataFrame:
                                  for x in (F.lit(t), F.array(*[F.lit(c) for c in tracked_of[t]]))])
     action = F.col("action")
     pk_name = pk_map[F.col("table")]
-    tracked = tracked_map[F.col("table")]
     src = F.when(action == "D", F.col("identity")).otherwise(F.col("columns"))
-    pk_entry = F.try_element_at(F.filter(src, lambda x: x["name"] == pk_name), F.lit(-1))
-    base = f.select(
-        "table", "lsn", "seq", (action == "D").alias("is_delete"),
+    pk_entry = pick(src, pk_name)
+    base = fence(f.select(
+        "table", "lsn", "seq", "action", "columns", "identity",
+        (action == "D").alias("is_delete"),
         canonical_text(pk_entry["type"], pk_entry["value"]).alias("pk"),
-        F.when(action == "I", F.col("columns"))
-         .when(action == "U", F.filter(F.col("columns"), lambda x: changed(
-             x, F.try_element_at(F.filter(F.col("identity"), lambda y: y["name"] == x["name"]),
-                                 F.lit(-1)))))
-         .otherwise(F.array().cast(COLUMN_DDL))
-         .alias("_set"),
         F.coalesce(F.col("commit_ts"), F.col("ingest_ts")).alias("_del_ts"),
-        tracked.alias("_tracked"), pk_name.alias("_pk_name"))
-    fields = base.select(
-        "table", "pk", "lsn", "seq", "is_delete",
-        F.explode_outer(F.filter("_set", lambda x: F.array_contains(F.col("_tracked"), x["name"])
-                                 & (x["name"] != F.col("_pk_name")))).alias("e"), "_del_ts")
-    setrows = fields.where(F.col("e").isNotNull()).select(
-        "table", "pk", F.col("e.name").alias("field"),
-        canonical_text(F.col("e.type"), F.col("e.value")).alias("value"), "lsn", "seq", "is_delete")
+        tracked_map[F.col("table")].alias("_tracked"), pk_name.alias("_pk_name")))
+    ex = base.where(action != "D").select(
+        "table", "pk", "lsn", "seq", "action", "is_delete", "identity", "_tracked", "_pk_name",
+        F.posexplode("columns").alias("pos", "e"))
+    name = F.col("e")["name"]
+    keep = (F.array_contains(F.col("_tracked"), name) & (name != F.col("_pk_name"))
+            & ((F.col("action") == "I") | changed(F.col("e"), pick(F.col("identity"), name))))
+    setrows = ex.where(keep).select(
+        "table", "pk", name.alias("field"),
+        canonical_text(F.col("e")["type"], F.col("e")["value"]).alias("value"),
+        "lsn", "seq", "pos", "is_delete")
     delrows = base.where("is_delete").select(
         "table", "pk", F.lit(DELETED_AT).alias("field"),
-        canonical_ts(F.col("_del_ts")).alias("value"),
-        "lsn", "seq", "is_delete")
+        canonical_ts(F.col("_del_ts")).alias("value"), "lsn", "seq",
+        F.lit(0).alias("pos"), "is_delete")
     touched = base.select("table", "pk", F.lit(None).cast("string").alias("field"),
-                          F.lit(None).cast("string").alias("value"), "lsn", "seq", "is_delete")
-    return setrows.unionByName(delrows).unionByName(touched)
+                          F.lit(None).cast("string").alias("value"), "lsn", "seq",
+                          F.lit(0).alias("pos"), "is_delete")
+    return setrows.unionByName(delrows).unionByName(touched)
\ No newline at end of file
