@@ -149,14 +149,15 @@ class VersionedStore:
         # one folder per attempt: a batch retried after a lost executor or driver
         # writes afresh; only the folder named by the commit record is ever read
         path = f"{self.root}/data/{table}/v={version}-{uuid.uuid4().hex[:8]}"
-        # Spread every bucket over `fanout` writer tasks (salted by key hash) so the
-        # write uses all shuffle partitions: a bucket is never funnelled through one
-        # task, and each bucket folder gets `fanout` files.
+        # Spread every bucket over up to `fanout` writer tasks (salted by key hash) so
+        # a bucket is never funnelled through one task; the rebalance lets AQE merge
+        # small partitions (small batches) and split oversized ones.
         parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         fanout = max(1, parts // self.buckets)
-        salt = F.pmod(F.xxhash64(F.col("pk"), F.lit("salt")), F.lit(fanout))
         (state.withColumn(BUCKET_COL, bucket_of(F.col("pk"), self.buckets))
-              .repartition(parts, F.col(BUCKET_COL), salt)
+              .withColumn("_salt", F.pmod(F.xxhash64(F.col("pk"), F.lit("salt")), F.lit(fanout)))
+              .hint("rebalance", BUCKET_COL, "_salt")
+              .drop("_salt")
               .write.partitionBy(BUCKET_COL).parquet(path))
         return path
 
