@@ -235,6 +235,37 @@ class VersionedStore:
         self._write_record(version, rec)
         return version
 
+    def unreferenced(self, keep_last: int = 1) -> list[str]:
+        """Data folders (``data/<table>/v=...``) that none of the last ``keep_last``
+        versions reads: superseded bucket rewrites and abandoned attempts."""
+        latest = self.latest_version()
+        if latest is None:
+            return []
+        used = set()
+        for v in range(max(0, latest - keep_last + 1), latest + 1):
+            for t in (self.record(v) or {}).get("tables", {}).values():
+                used.update(p.rsplit("/", 1)[0] for p in t["buckets"].values())
+        out = []
+        fs, data = self._fs(f"{self.root}/data")
+        if not fs.exists(data):
+            return out
+        for tdir in fs.listStatus(data):
+            for vdir in fs.listStatus(tdir.getPath()):
+                path = f"{self.root}/data/{tdir.getPath().getName()}/{vdir.getPath().getName()}"
+                if path not in used:
+                    out.append(path)
+        return sorted(out)
+
+    def vacuum(self, keep_last: int = 1, dry_run: bool = True) -> list[str]:
+        """Remove folders no recent version reads (time travel to older versions is
+        lost for them). ``dry_run`` only lists them."""
+        paths = self.unreferenced(keep_last)
+        if not dry_run:
+            for p in paths:
+                fs, hp = self._fs(p)
+                fs.delete(hp, True)
+        return paths
+
     def history(self) -> DataFrame:
         """One row per committed version: batch metrics (T-13) and applied position."""
         rows = []

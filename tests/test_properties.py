@@ -173,3 +173,16 @@ def test_resnapshot_drops_or_tombstones_vanished_keys(spark):
     st = store.read(TPCH_ORDERS.name)
     assert st.count() == n
     assert st.where(F.col("deleted_at").isNotNull()).count() == gone
+
+
+def test_vacuum_lists_superseded_folders(spark):
+    land = fresh_dir(spark, "prop-landing-v")
+    fd.feed_u(spark, SF).select("value").repartition(3).write.text(land)
+    store = VersionedStore(spark, fresh_dir(spark, "prop-store-v"), buckets=2)
+    run_stream(spark, land, store, [USERS])
+    assert len(store.versions()) >= 2
+    stale = store.vacuum(keep_last=1, dry_run=True)
+    assert stale and all("/data/users/v=" in p for p in stale)
+    latest_paths = {p.rsplit("/", 1)[0] for p in store.record()["tables"]["users"]["buckets"].values()}
+    assert not latest_paths & set(stale)
+    assert store.read(USERS.name).count() == fd.table(spark, SF, "events", ["user_id"]).distinct().count()
