@@ -31,9 +31,6 @@ from changeflow.functions import (
 from changeflow.sources.feed import dml_filter, fence, pick, table_filter
 from changeflow.specs import DELETED_AT, PRESENT_PREFIX, TableSpec
 
-OP_KEYS = ["pk", "lsn", "seq", "commit_ts", "action", "is_delete"]
-
-
 def changed(new_entry: Column, old_entry: Column) -> Column:
     """The new column differs from the old image, or is absent from it."""
     return new_entry.isNotNull() & (
@@ -41,11 +38,6 @@ def changed(new_entry: Column, old_entry: Column) -> Column:
         | ~variant_json(new_entry["value"]).eqNullSafe(variant_json(old_entry["value"])))
 
 
-def op_columns(spec: TableSpec, tracked: list[str]) -> list[str]:
-    fields = [c for c in tracked if c != spec.pk]
-    return fields + [DELETED_AT]
-
-
 def _check_tracked(spec: TableSpec, tracked) -> list[str]:
     tracked = [c for c in (tracked if tracked is not None else spec.column_names)]
     if not tracked:

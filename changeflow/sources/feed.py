@@ -26,9 +26,6 @@ ENVELOPE_DDL = f"lsn string, seq bigint, ingest_ts string, change {CHANGE_DDL}"
 
 DML_ACTIONS = ("I", "U", "D")
 
-PARSED_COLUMNS = ["lsn", "seq", "ingest_ts", "action", "table", "commit_ts",
-                  "commit_text", "columns", "identity", "lsn_text", "_corrupt"]
-
 
 def parse_feed(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Text lines -> typed change rows.
