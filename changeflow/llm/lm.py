@@ -16,9 +16,10 @@ where its rarer words' counts are complete:
 * a pair of two rarer words goes to both: at the first word's place c(vw) and c(v) give its part if it
   is frequent, at the second's c(vw) and c(w) give its part if it is not.
 
-Scale: what is dealt is packed, a row for each document and partition, so a pair costs about 9
+Scale: what is dealt is packed, a row for each batch of texts and partition, so a pair costs about 9
 bytes; the number of partitions grows with the corpus (``SHARE`` words each). Within a document
-equal pairs are one entry with a number, so even a pair found in every document has one entry a document.
+equal pairs are one entry with a number, so even a pair found in every document has one entry a
+document. Partitions answer with the sums of each batch's documents, which are added batch by batch.
 
 Words are runs of anything but ASCII white space, A-Z folded; they are compared by 48-bit hashes.
 Defined cases: null and empty texts have no words, score null; repeated rows count as often as
@@ -39,8 +40,9 @@ from pyspark.sql import functions as F
 
 from changeflow.llm.common import cut
 
-ALPHA, LEAST, TOP, SHARE = 0.4, 2, 65_000, 4_000_000
+ALPHA, LEAST, TOP, SHARE = 0.4, 2, 65_000, 2_000_000
 _RARE, _SAME, _END, _START = 0xFFFF, 0xFFFE, 0xFFFD, 0xFFFC       # codes above those of the top words
+_NO_ID = -(1 << 63)                                             # stands for a null doc_id
 _PART = 8_000_000                                               # bytes of text worked on at once
 
 
@@ -175,38 +177,47 @@ def pair_entries(h: np.ndarray, row: np.ndarray, top: Top, parts: int):
     return group[at] // rows, group[at] % rows, k1[at], k2[at], a1[at], a2[at], n.astype(np.uint8), second[at]
 
 
-_ENTRY = "part int, doc_id long, pairs binary, number binary, first binary, second binary"
+_ENTRY = ("part int, batch long, ids binary, texts binary, counts binary, pairs binary, number binary, first binary, "
+          "second binary")
 
 
 def _pack(shared, parts: int):
+    """Rows of a batch of texts and a partition: the texts' places in the batch, the number of entries of each,
+    and the entries. The batch's first row also carries its doc_ids."""
+
     def run(batches):
-        top = shared.value
+        from pyspark import TaskContext
+        top, serial = shared.value, TaskContext.get().partitionId() << 32
         for batch in batches:
             ids = batch.column(0)
-            for first, _, h, row in _parts(batch.column(1)):
+            for begin, size, h, row in _parts(batch.column(1)):
                 if not len(h):
                     continue
                 part, text, k1, k2, a1, a2, n, second = pair_entries(h, row, top, parts)
-                # the part of a pair of rare words that is dealt by the second has 0 in its number's twin
                 group = np.concatenate(([True], (part[1:] != part[:-1]) | (text[1:] != text[:-1])))
                 at = np.flatnonzero(group)
                 count = np.diff(np.append(at, len(part)))
                 rare1, rare2 = k1 == _RARE, k2 == _RARE
+                # the first hash is given once for entries that follow each other
                 same = np.zeros(len(k1), bool)
                 same[1:] = rare1[1:] & rare1[:-1] & (a1[1:] == a1[:-1]) & ~group[1:] & ~second[1:] & ~second[:-1]
-                codes = np.where(same, _SAME, k1).astype("<u2")
                 new1 = rare1 & ~same
-                flags = np.stack([codes, k2.astype("<u2")], axis=1)
-                per = lambda m: np.add.reduceat(m.astype(np.int64), at)
-                # second-dealt entries are marked in the first hash's top bit (hashes have 48)
-                six = a1[new1] << np.uint64(0)
-                raw = np.frombuffer(_six(six), np.uint8).reshape(-1, 6)
-                mark = second[new1].astype(np.uint8)
-                firsts = np.concatenate([raw, mark[:, None]], axis=1).tobytes()
+                codes = np.stack([np.where(same, _SAME, k1), k2], axis=1).astype("<u2")
+                # a seventh byte marks pairs of rare words that are dealt by the second
+                firsts = np.concatenate([np.frombuffer(_six(a1[new1]), np.uint8).reshape(-1, 6), second[new1, None]], axis=1).astype(np.uint8)
+                heads = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+                per = lambda m: np.add.reduceat(m.astype(np.int64), heads)
+                known = np.zeros(len(heads), np.int64)
+                known[0] = size
+                own = ids.slice(begin, size)
+                own = own.fill_null(_NO_ID).to_numpy().tobytes()
+                serial += 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(part[at].astype(np.int32)), ids.take(pa.array(first + text[at])), _binary(count, 4, flags.tobytes()),
-                     _binary(count, 1, n.tobytes()), _binary(per(new1), 7, firsts), _binary(per(rare2), 6, _six(a2[rare2]))],
-                    names=["part", "doc_id", "pairs", "number", "first", "second"])
+                    [pa.array(part[heads].astype(np.int32)), pa.array(np.full(len(heads), serial)), _binary(known, 8, own),
+                     _binary(per(group), 4, text[at].astype("<u4").tobytes()), _binary(per(group), 4, count.astype("<u4").tobytes()),
+                     _binary(per(np.ones(len(part))), 4, codes.tobytes()), _binary(per(np.ones(len(part))), 1, n.tobytes()),
+                     _binary(per(new1), 7, firsts.tobytes()), _binary(per(rare2), 6, _six(a2[rare2]))],
+                    names=[c.split()[0] for c in _ENTRY.split(", ")])
     return run
 
 
@@ -271,16 +282,29 @@ def backoff_scores(docs: DataFrame, alpha: float = ALPHA, least: int = LEAST, to
     parts = max(1, math.ceil(total / share))
     packed = docs.mapInArrow(_pack(shared, parts), _ENTRY)
 
-    def run(table: pa.Table) -> pa.Table:
+    def score(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        col = lambda name: np.frombuffer(b"".join(table.column(name).to_pylist()), np.uint8)
-        out, words = score_part(col("pairs"), col("number"), col("first"), col("second"), shared.value, alpha, least)
-        size = pc.binary_length(table.column("number")).to_numpy()
-        start = np.cumsum(size) - size
-        return pa.table({"doc_id": table.column("doc_id"), "log_sum": np.add.reduceat(out, start),
-                         "n_words": np.add.reduceat(words, start)})
-
-    sums = packed.groupBy("part").applyInArrow(run, "doc_id long, log_sum double, n_words long")
+        col = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+        out, words = score_part(col("pairs", np.uint8), col("number", np.uint8), col("first", np.uint8), col("second", np.uint8),
+                                shared.value, alpha, least)
+        count = col("counts", "<u4").astype(np.int64)
+        start = np.cumsum(count) - count
+        texts = pc.binary_length(table.column("texts")).to_numpy().astype(np.int64) // 4
+        give = lambda x: _binary(texts, 8, np.add.reduceat(x, start).tobytes())
+        return pa.table({"batch": table.column("batch"), "ids": table.column("ids"), "texts": table.column("texts"),
+                         "log_sum": give(out), "n_words": give(words)})
+
+    def add(table: pa.Table) -> pa.Table:
+        col = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+        ids, at = col("ids", np.int64), col("texts", "<u4")
+        total = lambda name, kind: np.bincount(at, col(name, kind), len(ids))
+        words = total("n_words", np.int64).astype(np.int64)
+        some = words > 0
+        return pa.table({"doc_id": pa.array(ids[some], mask=ids[some] == _NO_ID), "log_sum": total("log_sum", np.float64)[some],
+                         "n_words": words[some]})
+
+    sums = (packed.groupBy("part").applyInArrow(score, "batch long, ids binary, texts binary, log_sum binary, n_words binary")
+            .groupBy("batch").applyInArrow(add, "doc_id long, log_sum double, n_words long"))
     return sums.groupBy("doc_id").agg(F.sum("n_words").alias("n_words"), F.sum("log_sum").alias("log_sum"))
 
 
