@@ -271,12 +271,24 @@ def score_part(pairs: np.ndarray, number: np.ndarray, first: np.ndarray, second:
     return out, np.where(inner & ~dealt2, n, 0)
 
 
+def most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The words of the highest classes of counts (16 to a power of two) that hold ``most`` words or fewer together."""
+    of = F.floor(F.log2("n") * 16)
+    least, rows = None, 0
+    for r in sorted(counts.groupBy(of.alias("class")).agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True):
+        rows += r["words"]
+        if rows > most:
+            break
+        least = r["class"]
+    return counts.where(of >= F.lit(least)) if least is not None else counts.where("1 = 0")
+
+
 def backoff_scores(docs: DataFrame, alpha: float = ALPHA, least: int = LEAST, top_words: int = TOP, share: int = SHARE) -> DataFrame:
     """(doc_id, n_words, log_sum) for each doc_id of ``docs`` (doc_id, text) with words."""
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     counts = cut(word_counts(docs), "words")
     total = counts.agg(F.sum("n")).first()[0] or 0
-    best = counts.orderBy(F.col("n").desc(), "w").limit(top_words).toPandas()          # a bounded table
+    best = most_frequent(counts, top_words).toPandas()                                # top_words rows at most
     top = Top(best["w"].to_numpy(np.int64).view(np.uint64), best["n"].to_numpy(np.int64), total)
     shared = docs.sparkSession.sparkContext.broadcast(top)
     parts = max(1, math.ceil(total / share))
