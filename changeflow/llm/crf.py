@@ -34,7 +34,8 @@ BITS = 17
 CHAIN, CHAINS, ROUNDS = 48, 3000, 60
 UND = "und"
 _WORD = re.compile(r"[^\W\d_]+")
-_GROUP = 8_000_000      # characters of texts labelled together
+_GROUP = 4_000_000      # characters of texts labelled together
+_VOCAB = 15_000         # words whose features are made together
 
 
 def words(text: str | None) -> list[str]:
@@ -132,12 +133,12 @@ class Model:
 
     def emissions(self, vocab: list[str]) -> np.ndarray:
         out = np.empty((len(vocab), len(self.langs)), np.float32)
-        for i in range(0, len(vocab), 50_000):
-            part = vocab[i:i + 50_000]
+        for i in range(0, len(vocab), _VOCAB):
+            part = vocab[i:i + _VOCAB]
             feature, first = features(part, int(np.log2(len(self.weights))))
-            out[i:i + 50_000] = np.add.reduceat(self.weights[feature], first, axis=0)
+            out[i:i + _VOCAB] = np.add.reduceat(self.weights[feature], first, axis=0)
             lex = np.fromiter((self.lexicon.get(w, -1) for w in part), np.int64, len(part))
-            out[i:i + 50_000] += np.where(lex[:, None] >= 0, self.lex_weights[lex], 0)
+            out[i:i + _VOCAB] += np.where(lex[:, None] >= 0, self.lex_weights[lex], 0)
         return out
 
     def label(self, texts: list[list[str]]) -> list[np.ndarray]:
@@ -253,24 +254,26 @@ def held_out(doc_id: Column) -> Column:
 
 def predict(texts: list[str | None], model: Model | None) -> list[tuple[str, float]]:
     """(language, score) of each text, whole texts in groups of bounded size."""
-    out: list[tuple[str, float]] = []
+    out: list[tuple[str, float]] = [(UND, 0.0)] * len(texts)
+    if model is None:
+        return out
     group: list[list[str]] = []
+    at: list[int] = []
     chars = 0
-    if model is None:
-        return [(UND, 0.0)] * len(texts)
 
     def close():
-        for marginal in model.label(group):
+        for i, marginal in zip(at, model.label(group), strict=True):
             if len(marginal):
                 mean = marginal.mean(axis=0, dtype=np.float64)
-                out.append((model.langs[int(mean.argmax())], min(1.0, max(0.0, float(mean.max())))))
-            else:
-                out.append((UND, 0.0))
+                out[i] = (model.langs[int(mean.argmax())], min(1.0, max(0.0, float(mean.max()))))
         group.clear()
+        at.clear()
 
-    for text in texts:
-        group.append(words(text))
-        chars += len(text or "")
+    # chains of like length together: a group takes as many steps as its longest
+    for i in sorted(range(len(texts)), key=lambda i: -len(texts[i] or "")):
+        group.append(words(texts[i]))
+        at.append(i)
+        chars += len(texts[i] or "")
         if chars >= _GROUP:
             close()
             chars = 0

@@ -80,8 +80,8 @@ def judge(captures: DataFrame, entries: DataFrame, period: int = PERIOD) -> Data
     """``captures`` (page_id, url, fetched, ...) with blocked, kind, value and since of the rule that
     held at the time fetched (the most exact kind, then the longest value). Times are whole numbers."""
     spans = intervals(entries, period)
-    horizon = captures.agg(F.max("fetched").alias("h"))
-    listed = (spans.crossJoin(F.broadcast(horizon))                      # one row
+    horizon = captures.agg(F.max("fetched")).scalar()                    # one value, as a subquery
+    listed = (spans.withColumn("h", horizon)
               .where("h is not null and since <= h")
               .withColumn("last", F.floor(F.least(F.coalesce(F.col("until") - 1, F.col("h")), F.col("h")) / F.lit(period)))
               .withColumn("period", F.explode(F.sequence(F.floor(F.col("since") / F.lit(period)), F.col("last"))))
