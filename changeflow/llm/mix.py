@@ -131,9 +131,9 @@ def mix_documents(docs: DataFrame, seed: int = 42, weights=(3, 1, 2), share: flo
     chosen = (mix_sizes(docs, seed, weights, share, cap).select(key, "copies")
               .groupBy("_key").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
               .where("_copies > 0"))
-    at = Window.partitionBy("_key").orderBy("text")
+    at = Window.partitionBy("_key").orderBy("_row.text")
     keyed = docs.select(F.struct("doc_id", "source", word_count(F.col("text")).alias("size")).alias("_key"),
-                        F.struct(*docs.columns).alias("_row"), F.col("text"))
+                        F.struct(*docs.columns).alias("_row"))
     no = F.row_number().over(at)
     times = F.floor(F.col("_copies") / F.col("_rows")) + F.when(F.col("_no") <= F.col("_copies") % F.col("_rows"), 1).otherwise(0)
     return (keyed.join(chosen, "_key").withColumn("_no", no).withColumn("_times", times.cast("int"))
