@@ -3,5 +3,5 @@ from changeflow.functions.canonical import (  # noqa: F401
     type_family, typed_from_text, typed_value, variant_is_null, variant_json, variant_text,
 )
 from changeflow.functions.positions import (  # noqa: F401
-    backlog, event_lag_seconds, guard, guarded, int_to_lsn, lsn_to_int, rate, seconds_between,
+    backlog, event_lag_seconds, guard, int_to_lsn, lsn_to_int, rate, seconds_between,
 )

@@ -10,10 +10,12 @@ LOW_MASK = 0xFFFFFFFF
 
 def lsn_to_int(lsn_text: Column) -> Column:
     """``'16/B374D848'`` -> ``(0x16 << 32) | 0xB374D848`` as BIGINT."""
-    parts = F.split(F.trim(lsn_text), "/")
+    text = F.trim(lsn_text)
+    parts = F.split(text, "/")
     hi = F.conv(F.try_element_at(parts, F.lit(1)), 16, 10).try_cast("bigint")
     lo = F.conv(F.try_element_at(parts, F.lit(2)), 16, 10).try_cast("bigint")
-    return F.when(F.size(parts) == 2, F.shiftleft(hi, 32).bitwiseOR(lo))
+    # anything but two hexadecimal words is no position (and its record a reject)
+    return F.when(text.rlike("^[0-9A-Fa-f]{1,8}/[0-9A-Fa-f]{1,8}$"), F.shiftleft(hi, 32).bitwiseOR(lo))
 
 
 def int_to_lsn(lsn: Column) -> Column:
@@ -27,11 +29,6 @@ def guard(new_lsn: Column, stored_lsn: Column) -> Column:
     return new_lsn > F.coalesce(stored_lsn, F.lit(-1).cast("bigint"))
 
 
-def guarded(cond: Column, new: Column, old: Column) -> Column:
-    """Conditional assignment: ``new`` when ``cond`` holds, else keep ``old``."""
-    return F.when(cond, new).otherwise(old)
-
-
 def seconds_between(later: Column, earlier: Column) -> Column:
     return (F.unix_micros(later.cast("timestamp")) - F.unix_micros(earlier.cast("timestamp"))) / F.lit(1e6)
 

@@ -2,18 +2,19 @@
 
 State layout of a replicated table (the "target")::
 
-    pk, <c>..., deleted_at, _lsn, _flsn_<c>..., _flsn_deleted_at
-
-``_flsn_<c>`` is the position that last set column ``c`` (NULL: never set). Keeping
-it per field makes applying ops commutative and idempotent: batches may arrive in
-any order or twice and the result equals one ordered pass (``mode="field"``). The
-single row position ``_lsn`` alone gives the strict row guard (``mode="row"``), exact
-only when batches arrive in ascending position order.
-
-Physical plan: :func:`coalesce` is one hash-partitioned aggregation on ``pk``
-with map-side partial aggregation, so a hot key is reduced inside each map task
-before the shuffle. :func:`apply` is one equi-join on the unique key; both inputs
-are unique per key after coalescing, so the join cannot fan out.
+    pk, <c>..., deleted_at, _lsn, _flsn_<c>..., _flsn_deleted_at, _fseq_<c>..., _fseq_deleted_at
+
+``(_flsn_<c>, _fseq_<c>)`` is the place of the change that last set column ``c`` (NULL: never
+set). Keeping it per field makes applying ops commutative and idempotent: batches may
+arrive in any order or twice, also with several changes at one position, and the result
+equals one ordered pass (``mode="field"``). The single row position ``_lsn`` alone gives
+the strict row guard (``mode="row"``), exact only when batches arrive in ascending order.
+
+Physical plan: :func:`coalesce` and :func:`merge_states` are one hash-partitioned
+aggregation on ``pk`` with map-side partial aggregation (one maximum of
+``(position, seq, value)`` per field), so a hot key is reduced inside each map task before the
+shuffle. :func:`apply` is one equi-join on the unique key; both inputs are unique per key
+after coalescing, so the join cannot fan out.
 """
 
 from __future__ import annotations
@@ -22,38 +23,47 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.functions import guard
-from changeflow.specs import DELETED_AT, FIELD_LSN_PREFIX, PRESENT_PREFIX, ROW_LSN
+from changeflow.specs import DELETED_AT, FIELD_LSN_PREFIX, FIELD_SEQ_PREFIX, PRESENT_PREFIX, ROW_LSN
+
+LAST_SEQ = (1 << 63) - 1
 
 
 def _order(*cols) -> Column:
     return F.struct(*[F.col(c) for c in cols])
 
 
+def _newest(c: str, lsn: Column, seq: Column, present: Column) -> Column:
+    """The newest (position, seq, value) of a field among the rows that carry it."""
+    return F.max(F.when(present, F.struct(lsn.alias("lsn"), seq.alias("seq"), F.col(c).alias("value")))).alias("_x_" + c)
+
+
+def _spread_newest(df: DataFrame, keep: list, fields: list[str]) -> DataFrame:
+    every = [*fields, DELETED_AT]
+    return df.select(*keep, *[F.col(f"_x_{c}.value").alias(c) for c in every],
+                     *[F.col(f"_x_{c}.lsn").alias(FIELD_LSN_PREFIX + c) for c in every],
+                     *[F.col(f"_x_{c}.seq").alias(FIELD_SEQ_PREFIX + c) for c in every])
+
+
 def coalesce(ops: DataFrame, fields: list[str], key: str = "pk",
              group: list[str] | None = None) -> DataFrame:
     """A1: one row per key; newest value per field by (lsn, seq).
 
-    Ties on ``lsn`` go to the higher ``seq`` (later arrival). A field set to NULL
-    by the newest op that carries it stays NULL; ops that do not carry a field are
-    ignored for it. ``_flsn_<c>`` is NULL when no op carried the field.
+    Ties on ``lsn`` go to the higher ``seq`` (later arrival), ties on both to the larger
+    value, so the result never depends on arrival. A field set to NULL by the newest op
+    that carries it stays NULL; ops that do not carry a field are ignored for it.
+    ``_flsn_<c>`` is NULL when no op carried the field.
     """
     keys = (group or []) + [key]
-    order = _order("lsn", "seq")
-    aggs = []
-    for c in list(fields) + [DELETED_AT]:
-        present = F.col(PRESENT_PREFIX + c)
-        aggs.append(F.max_by(F.col(c), F.when(present, order)).alias(c))
-        aggs.append(F.max(F.when(present, F.col("lsn"))).alias(FIELD_LSN_PREFIX + c))
-    aggs.append(F.max("lsn").alias(ROW_LSN))
-    aggs.append(F.max_by(F.col("is_delete"), order).alias("is_delete"))
-    aggs.append(F.count(F.lit(1)).alias("_n_ops"))
-    return ops.groupBy(*keys).agg(*aggs)
+    lsn, seq = F.col("lsn"), F.col("seq")
+    aggs = [_newest(c, lsn, seq, F.col(PRESENT_PREFIX + c)) for c in [*fields, DELETED_AT]]
+    aggs += [F.max("lsn").alias(ROW_LSN), F.max_by(F.col("is_delete"), _order("lsn", "seq")).alias("is_delete"),
+             F.count(F.lit(1)).alias("_n_ops")]
+    return _spread_newest(ops.groupBy(*keys).agg(*aggs), [*keys, ROW_LSN, "is_delete", "_n_ops"], fields)
 
 
 def target_columns(fields: list[str], key: str = "pk") -> list[str]:
-    cols = [key] + list(fields) + [DELETED_AT, ROW_LSN]
-    cols += [FIELD_LSN_PREFIX + c for c in list(fields) + [DELETED_AT]]
-    return cols
+    every = [*fields, DELETED_AT]
+    return [key, *every, ROW_LSN, *[FIELD_LSN_PREFIX + c for c in every], *[FIELD_SEQ_PREFIX + c for c in every]]
 
 
 def coalesce_to_target(folded: DataFrame, fields: list[str], key: str = "pk") -> DataFrame:
@@ -61,12 +71,23 @@ def coalesce_to_target(folded: DataFrame, fields: list[str], key: str = "pk") ->
     return folded.select(*target_columns(fields, key))
 
 
+def merge_states(states: DataFrame, fields: list[str], key: str = "pk") -> DataFrame:
+    """Rows in target layout (a state and any number of later deltas) -> one row per key, the
+    newest value per field: merge on read, and J1 without a join."""
+    aggs = []
+    for c in [*fields, DELETED_AT]:
+        lsn, seq = F.col(FIELD_LSN_PREFIX + c), F.col(FIELD_SEQ_PREFIX + c)
+        aggs.append(_newest(c, lsn, seq, lsn.isNotNull()))
+    aggs.append(F.max(ROW_LSN).alias(ROW_LSN))
+    return _spread_newest(states.groupBy(key).agg(*aggs), [key, ROW_LSN], fields).select(*target_columns(fields, key))
+
+
 def apply(target: DataFrame, folded: DataFrame, fields: list[str], key: str = "pk",
           mode: str = "field") -> DataFrame:
     """Apply coalesced ops to a target state.
 
-    ``mode="field"``: column c takes the op's value iff the op carries c at a
-    position greater than ``_flsn_<c>`` (commutative, idempotent).
+    ``mode="field"``: column c takes the op's value iff the op carries c at a later
+    place (position, then seq) than the stored one (commutative, idempotent).
     ``mode="row"``: every carried column takes the op's value iff the op's row
     position is greater than the stored ``_lsn`` (strict ``>``; missing = -1).
     Keys absent from the target are inserted (sparse rows for U/D ops on unknown
@@ -79,21 +100,23 @@ def apply(target: DataFrame, folded: DataFrame, fields: list[str], key: str = "p
     j = t.join(o, F.col("t_" + key) == F.col("o_" + key), "full_outer")
     row_ok = guard(F.col("o_" + ROW_LSN), F.col("t_" + ROW_LSN))
     out = [F.coalesce(F.col("t_" + key), F.col("o_" + key)).alias(key)]
-    lsns = []
+    lsns, seqs = [], []
     for c in list(fields) + [DELETED_AT]:
         o_l, t_l = F.col("o_" + FIELD_LSN_PREFIX + c), F.col("t_" + FIELD_LSN_PREFIX + c)
+        o_s, t_s = F.col("o_" + FIELD_SEQ_PREFIX + c), F.col("t_" + FIELD_SEQ_PREFIX + c)
         if mode == "field":
-            take = o_l.isNotNull() & guard(o_l, t_l)
+            take = o_l.isNotNull() & (guard(o_l, t_l) | ((o_l == t_l) & (o_s > t_s)))
         else:
             take = o_l.isNotNull() & row_ok
         out.append(F.when(take, F.col("o_" + c)).otherwise(F.col("t_" + c)).alias(c))
         lsns.append(F.when(take, o_l).otherwise(t_l).alias(FIELD_LSN_PREFIX + c))
+        seqs.append(F.when(take, o_s).otherwise(t_s).alias(FIELD_SEQ_PREFIX + c))
     if mode == "field":
         row_lsn = F.greatest(F.col("t_" + ROW_LSN), F.col("o_" + ROW_LSN))
     else:
         row_lsn = F.when(F.col("o_" + ROW_LSN).isNotNull() & row_ok,
                          F.col("o_" + ROW_LSN)).otherwise(F.col("t_" + ROW_LSN))
-    return j.select(*out, row_lsn.alias(ROW_LSN), *lsns)
+    return j.select(*out, row_lsn.alias(ROW_LSN), *lsns, *seqs)
 
 
 def replay(target: DataFrame, ops: DataFrame, fields: list[str], key: str = "pk",
@@ -102,34 +125,18 @@ def replay(target: DataFrame, ops: DataFrame, fields: list[str], key: str = "pk"
     return apply(target, coalesce(ops, fields, key), fields, key, mode)
 
 
-def fold_into(target: DataFrame, ops: DataFrame, fields: list[str], key: str = "pk") -> DataFrame:
-    """J1 alternative with one aggregation and no join: treat stored rows as ops.
+def ops_as_states(ops: DataFrame, fields: list[str], key: str = "pk") -> DataFrame:
+    """Ops in target layout: each carried field at the op's place."""
+    every = [*fields, DELETED_AT]
+    return ops.select(F.col("pk").alias(key), *every, F.col("lsn").alias(ROW_LSN),
+                      *[F.when(F.col(PRESENT_PREFIX + c), F.col("lsn")).alias(FIELD_LSN_PREFIX + c) for c in every],
+                      *[F.when(F.col(PRESENT_PREFIX + c), F.col("seq")).alias(FIELD_SEQ_PREFIX + c) for c in every])
 
-    Stored values win ties against ops at the same position (the strict guard), so
-    the result equals ``apply(..., mode="field")``.
-    """
-    stored = target.select(
-        F.col(key).alias("pk"),
-        *[F.col(c) for c in list(fields) + [DELETED_AT]],
-        *[F.col(FIELD_LSN_PREFIX + c).isNotNull().alias(PRESENT_PREFIX + c)
-          for c in list(fields) + [DELETED_AT]],
-        *[F.col(FIELD_LSN_PREFIX + c).alias("_l_" + c) for c in list(fields) + [DELETED_AT]],
-        F.col(ROW_LSN).alias("lsn"), F.lit(1).alias("_src"), F.lit(0).cast("bigint").alias("seq"),
-        F.lit(False).alias("is_delete"))
-    incoming = ops.select(
-        "pk", *[F.col(c) for c in list(fields) + [DELETED_AT]],
-        *[F.col(PRESENT_PREFIX + c) for c in list(fields) + [DELETED_AT]],
-        *[F.col("lsn").alias("_l_" + c) for c in list(fields) + [DELETED_AT]],
-        "lsn", F.lit(0).alias("_src"), "seq", "is_delete")
-    u = stored.unionByName(incoming)
-    aggs = []
-    for c in list(fields) + [DELETED_AT]:
-        p = F.col(PRESENT_PREFIX + c)
-        order = F.struct(F.col("_l_" + c), F.col("_src"), F.col("seq"))
-        aggs.append(F.max_by(F.col(c), F.when(p, order)).alias(c))
-        aggs.append(F.max(F.when(p, F.col("_l_" + c))).alias(FIELD_LSN_PREFIX + c))
-    aggs.append(F.max("lsn").alias(ROW_LSN))
-    return u.groupBy("pk").agg(*aggs).withColumnRenamed("pk", key).select(*target_columns(fields, key))
+
+def fold_into(target: DataFrame, ops: DataFrame, fields: list[str], key: str = "pk") -> DataFrame:
+    """J1 alternative with one aggregation and no join: stored rows and ops are merged alike.
+    The result equals ``apply(..., mode="field")``."""
+    return merge_states(target.select(*target_columns(fields, key)).unionByName(ops_as_states(ops, fields, key)), fields, key)
 
 
 def live(target: DataFrame) -> DataFrame:

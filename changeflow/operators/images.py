@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 def previous_by_key(df: DataFrame, key: str, order: str, values: list[str],
                     block_width: int = 1 << 20, prefix: str = "prev_") -> DataFrame:
-    blk = F.floor(F.col(order) / F.lit(block_width)).cast("bigint")
+    blk = F.expr(f"floor(`{order}`) div {int(block_width)}")
     d = df.withColumn("_blk", blk)
     w = Window.partitionBy(key, "_blk").orderBy(order)
     inner = d.select(

@@ -45,12 +45,8 @@ def _check_tracked(spec: TableSpec, tracked) -> list[str]:
     return [c for c in spec.column_names if c in set(tracked)]
 
 
-def to_ops_with_rejects(feed: DataFrame, spec: TableSpec, tracked=None,
-                        revive_on_insert: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Parsed feed -> (ops, rejects) for one table.
-
-    ``rejects`` holds change rows whose key or a carried tracked value does not
-    coerce to the declared type, with the failing column names in ``reason``.
+def stage_ops(feed: DataFrame, spec: TableSpec, tracked=None, revive_on_insert: bool = False) -> DataFrame:
+    """Parsed feed -> op rows of one table with the names of columns that do not coerce (``_bad``).
 
     Three projections, each computing a sub-result once: (1) look up every tracked
     column in the after- and before-image, (2) raw text and changed flags, (3)
@@ -100,14 +96,28 @@ def to_ops_with_rejects(feed: DataFrame, spec: TableSpec, tracked=None,
     del_present = (dl | (F.col("action") == "I")) if revive_on_insert else dl
     cols += [F.when(dl, delete_ts).alias(DELETED_AT), del_present.alias(PRESENT_PREFIX + DELETED_AT)]
     reason = F.array_compact(F.array(*bad))
-    staged = fence(s2.select(*cols, reason.alias("_bad"), F.col("_raw")))
+    return fence(s2.select(*cols, reason.alias("_bad"), F.col("_raw")))
+
+
+def split_staged(staged: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
+    """(ops, rejects) of staged rows."""
     ops = staged.where(F.size("_bad") == 0).drop("_bad", "_raw")
     rejects = staged.where(F.size("_bad") > 0).select(
-        F.lit(spec.name).alias("table"), "lsn", "seq", "action",
+        F.lit(table).alias("table"), "lsn", "seq", "action",
         F.array_join("_bad", ",").alias("reason"), F.col("_raw").alias("record"))
     return ops, rejects
 
 
+def to_ops_with_rejects(feed: DataFrame, spec: TableSpec, tracked=None,
+                        revive_on_insert: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Parsed feed -> (ops, rejects) for one table.
+
+    ``rejects`` holds change rows whose key or a carried tracked value does not
+    coerce to the declared type, with the failing column names in ``reason``.
+    """
+    return split_staged(stage_ops(feed, spec, tracked, revive_on_insert), spec.name)
+
+
 def to_ops(feed: DataFrame, spec: TableSpec, tracked=None, revive_on_insert: bool = False) -> DataFrame:
     return to_ops_with_rejects(feed, spec, tracked, revive_on_insert)[0]
 
@@ -138,8 +148,7 @@ def to_generic_ops(feed: DataFrame, pk_of: dict, tracked_of: dict) -> DataFrame:
 
     Output: table, pk (STRING canonical), field, value (STRING canonical), lsn, seq,
     pos (element position, orders repeated names within one record), is_delete.
-    Rows with a NULL field carry only the row position. Used when column sets are
-    not known statically. Lambda-free: the change arrays are exploded and the
+    Used when column sets are not known statically. Lambda-free: the change arrays are exploded and the
     before-image is looked up with the same codegen'd ``pick`` as the wide form.
     """
     tables = list(pk_of)
@@ -171,7 +180,4 @@ def to_generic_ops(feed: DataFrame, pk_of: dict, tracked_of: dict) -> DataFrame:
         "table", "pk", F.lit(DELETED_AT).alias("field"),
         canonical_ts(F.col("_del_ts")).alias("value"), "lsn", "seq",
         F.lit(0).alias("pos"), "is_delete")
-    touched = base.select("table", "pk", F.lit(None).cast("string").alias("field"),
-                          F.lit(None).cast("string").alias("value"), "lsn", "seq",
-                          F.lit(0).alias("pos"), "is_delete")
-    return setrows.unionByName(delrows).unionByName(touched)
\ No newline at end of file
+    return setrows.unionByName(delrows)

@@ -1,8 +1,7 @@
 """Schema registry: tracked columns, drift detection and explicit sync (S4, X1, J4, T-8, T-10).
 
-The registry is a small control table ``(table, column, ordinal)``; its size is
-bounded by the number of columns of the replicated schema, so it is the one side
-that may be broadcast (checked by :func:`bounded_broadcast`).
+The registry is a small control table ``(table, column, ordinal)``: one row per column of
+the replicated schema. It is a local relation, so Spark knows its size when it plans a join.
 """
 
 from __future__ import annotations
@@ -11,17 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.sources.feed import DML_ACTIONS
-from changeflow.specs import FIELD_LSN_PREFIX, ROW_LSN
+from changeflow.specs import FIELD_LSN_PREFIX, FIELD_SEQ_PREFIX, ROW_LSN
 
 REGISTRY_DDL = "table string, column string, ordinal int"
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast only when the row count is proven small; otherwise let Catalyst
-    plan a shuffle join."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
 
 
 def registry_frame(spark: SparkSession, tracked: dict) -> DataFrame:
@@ -55,7 +46,7 @@ def schema_diff(live: DataFrame, tracked: DataFrame) -> DataFrame:
 def drift(feed: DataFrame, registry: DataFrame) -> DataFrame:
     """J4 + T-8: columns carried by I/U changes that are not registered, reported
     once per (table, column) with the number of records and the first position."""
-    reg = bounded_broadcast(registry.select("table", "column"))
+    reg = registry.select("table", "column")
     cols = feed_columns(feed.where(F.col("action").isin(*DML_ACTIONS)))
     return (cols.join(reg, ["table", "column"], "left_anti")
                 .groupBy("table", "column")
@@ -71,5 +62,6 @@ def backfill(state: DataFrame, added: list[tuple[str, str]]) -> DataFrame:
     out = state
     for name, ddl in added:
         out = out.withColumn(name, F.lit(None).cast(ddl)) \
-                 .withColumn(FIELD_LSN_PREFIX + name, F.col(ROW_LSN))
+                 .withColumn(FIELD_LSN_PREFIX + name, F.col(ROW_LSN)) \
+                 .withColumn(FIELD_SEQ_PREFIX + name, F.lit((1 << 63) - 1))
     return out

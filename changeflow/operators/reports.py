@@ -10,53 +10,58 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeflow.functions import canonical_of_typed, canonical_ts, rate
+from changeflow.functions import canonical_of_typed, canonical_ts, event_lag_seconds, rate
 from changeflow.specs import DELETED_AT
 
 
-def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Append the columns of a global aggregate (exactly one row by construction)
-    to every row: broadcast equi-join on a constant key."""
-    return df.withColumn("_one", F.lit(1)).join(
-        F.broadcast(one_row.withColumn("_one", F.lit(1))), "_one").drop("_one")
-
-
 def _canon(df: DataFrame, c: str) -> Column:
     return canonical_of_typed(F.col(c), df.schema[c].dataType)
 
 
-def parity(source: DataFrame, target: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Per key and column, source vs target values that differ (canonical text).
-
-    Compared on keys present on both sides; output (key, column, source, target).
-    """
+def _side_by_side(source: DataFrame, target: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Every source row with its target row, if there is one (``_found``), values as canonical text."""
     s = source.select(F.col(key).alias("_k"), *[_canon(source, c).alias("s_" + c) for c in columns])
-    t = target.select(F.col(key).alias("_k"), *[_canon(target, c).alias("t_" + c) for c in columns])
-    j = s.join(t, "_k", "inner")
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col("s_" + c).alias("source"),
-                               F.col("t_" + c).alias("target")) for c in columns])
-    return (j.select(F.col("_k").alias(key), F.inline(cells))
-             .where(~F.col("source").eqNullSafe(F.col("target"))))
+    t = target.select(F.col(key).alias("_k"), F.lit(True).alias("_found"),
+                      *[_canon(target, c).alias("t_" + c) for c in columns])
+    return s.join(t, "_k", "left").withColumn("_found", F.coalesce("_found", F.lit(False)))
+
+
+def _differs(c: str) -> Column:
+    """A row that the target lacks differs in every field."""
+    return ~F.col("_found") | ~F.col("s_" + c).eqNullSafe(F.col("t_" + c))
+
+
+def parity(source: DataFrame, target: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Per source key and column, source vs target values that differ (canonical text):
+    (key, column, source, target, found). Of a row missing in the target, all fields differ."""
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col("s_" + c).alias("source"), F.col("t_" + c).alias("target"),
+                               _differs(c).alias("differs")) for c in columns])
+    return (_side_by_side(source, target, key, columns)
+            .select(F.col("_k").alias(key), F.col("_found").alias("found"), F.inline(cells)).where("differs").drop("differs"))
 
 
 def parity_summary(source: DataFrame, target: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Per column, rows compared and rows that differ (rows, not fields, Q12)."""
-    s = source.select(F.col(key).alias("_k"), *[_canon(source, c).alias("s_" + c) for c in columns])
-    t = target.select(F.col(key).alias("_k"), *[_canon(target, c).alias("t_" + c) for c in columns])
-    j = s.join(t, "_k", "inner")
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    aggs += [F.count_if(~F.col("s_" + c).eqNullSafe(F.col("t_" + c))).alias("m_" + c) for c in columns]
-    r = j.agg(*aggs)
+    """Per column, source rows, rows the target lacks, and rows that differ among all
+    (rows, not fields, Q12); ``rows_matched`` are found and equal in the column."""
+    r = _side_by_side(source, target, key, columns).agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(~F.col("_found")).alias("_missing"),
+        *[F.count_if(_differs(c)).alias("m_" + c) for c in columns])
     stack = F.array(*[F.struct(F.lit(c).alias("column"), F.col("_n").alias("rows_compared"),
+                               F.col("_missing").alias("rows_missing"), (F.col("_n") - F.col("m_" + c)).alias("rows_matched"),
                                F.col("m_" + c).alias("rows_mismatched")) for c in columns])
     return r.select(F.inline(stack))
 
 
-def sample_keys(df: DataFrame, key: str, n: int, multiplier: int = 7919,
-                modulus: int = 1_000_003) -> DataFrame:
-    """O3: deterministic sample of ``n`` keys (top-n by a multiplicative hash rank)."""
-    rank = F.pmod(F.col(key) * F.lit(multiplier), F.lit(modulus))
-    return df.select(key).distinct().orderBy(rank, F.col(key)).limit(n)
+def sample_keys(df: DataFrame, key: str, n: int, seed: str = "") -> DataFrame:
+    """O3: a sample of ``n`` keys of a unique key column, the least by a seeded hash: the same keys in each
+    run, another sample for each seed."""
+    rank = F.md5(F.concat(F.lit(seed), F.col(key).cast("string")).cast("binary"))
+    return df.select(key).orderBy(rank, F.col(key)).limit(n)
+
+
+def equal_rows(target: DataFrame, column: str, value) -> DataFrame:
+    """Rows whose column has exactly this value (decimals compared as decimals)."""
+    return target.where(F.col(column) == F.lit(value).cast(target.schema[column].dataType))
 
 
 def present_keys(keys: DataFrame, target: DataFrame, key: str) -> DataFrame:
@@ -80,19 +85,19 @@ def table_counts(name: str, source: DataFrame | None, target: DataFrame) -> Data
     t = target.agg(F.count(F.lit(1)).alias("target_rows"),
                    F.count_if(F.col(DELETED_AT).isNull()).alias("live_rows"),
                    F.count_if(F.col(DELETED_AT).isNotNull()).alias("tombstones"))
-    s = source.agg(F.count(F.lit(1)).alias("source_rows"))
-    return attach(s, t).select(
+    return t.withColumn("source_rows", source.agg(F.count(F.lit(1))).scalar()).select(
         F.lit(name).alias("table"), "source_rows", "target_rows", "live_rows", "tombstones",
         (F.col("source_rows") == F.col("live_rows")).alias("converged"))
 
 
 def op_mix(feed: DataFrame) -> DataFrame:
     """A10: operations per (table, action) and their rate over the feed's event-time span."""
-    span = feed.agg(((F.unix_micros(F.max("commit_ts")) - F.unix_micros(F.min("commit_ts")))
-                     / F.lit(1e6)).alias("_span"))
-    g = feed.groupBy("table", "action").agg(F.count(F.lit(1)).alias("n"))
-    return attach(g, span).select("table", "action", "n",
-                                    rate(F.col("n"), F.col("_span")).alias("per_sec"))
+    micros = F.unix_micros("commit_ts")
+    g = feed.groupBy("table", "action").agg(F.count(F.lit(1)).alias("n"), F.min(micros).alias("_lo"), F.max(micros).alias("_hi"))
+    # one pass over the feed; the span comes from the few groups
+    all_ = Window.partitionBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    span = (F.max("_hi").over(all_) - F.min("_lo").over(all_)) / F.lit(1e6)
+    return g.withColumn("_span", span).select("table", "action", "n", rate(F.col("n"), F.col("_span")).alias("per_sec"))
 
 
 def batch_stats(ops_feed: DataFrame, batch: Column) -> DataFrame:
@@ -108,55 +113,30 @@ def batch_stats(ops_feed: DataFrame, batch: Column) -> DataFrame:
     ).withColumnRenamed("_b", "batch")
 
 
-def lag_by_batch(ops_feed: DataFrame, batch: Column, slo_seconds: float = 5.0) -> DataFrame:
-    """Writer lag per batch in microseconds (batches are consecutive integers).
+def lag_by_batch(ops_feed: DataFrame, batch: Column, applied_at: Column, slo_seconds: float = 5.0) -> DataFrame:
+    """Per batch, from the time each was applied (``applied_at``, of the batch's commit).
 
-    A batch is written when it closes (its newest commit time). ``read_lag_s`` is
-    the event-time lag of that write behind the reader, which has already read
-    batch b + 1 (F12: floored at 0, 0 when unknown); ``e2e_max_lag_s`` is the
-    largest commit-to-apply delay of a change in the batch, checked against the SLO
-    (A11). The next batch is found by an equi-join on ``b + 1``, not by a global
-    window, so no task holds all batches.
+    ``read_lag_s``: event-time lag of the batch's last change behind what the reader has read by then, the
+    close of the next batch (floored at 0, 0 when unknown); ``e2e_max_lag_s``: the longest time a change of the batch waited
+    from its commit to its application, against the SLO. Batches are consecutive integers; the next one is found by an
+    equi-join on ``b + 1``, not by a global window.
     """
-    f = ops_feed.withColumn("_b", batch)
-    per = f.groupBy("_b").agg(
-        F.count(F.lit(1)).alias("events"),
-        F.max("commit_ts").alias("_close"),
-        F.min("commit_ts").alias("_open"))
+    per = ops_feed.withColumn("_b", batch).groupBy("_b").agg(
+        F.count(F.lit(1)).alias("events"), F.max("commit_ts").alias("_close"), F.min("commit_ts").alias("_open"),
+        F.max(applied_at).alias("_applied"))
     nxt = per.select((F.col("_b") - 1).alias("_b"), F.col("_close").alias("_next_close"))
-    e2e_us = F.unix_micros("_close") - F.unix_micros("_open")
-    read_us = F.coalesce(F.greatest(F.lit(0).cast("bigint"),
-                                    F.unix_micros("_next_close") - F.unix_micros("_close")),
-                         F.lit(0).cast("bigint"))
+    e2e = event_lag_seconds(F.col("_applied"), F.col("_open"))
     return per.join(nxt, "_b", "left").select(
-        F.col("_b").alias("batch"), "events",
-        read_us.alias("read_lag_us"), e2e_us.alias("e2e_max_lag_us"),
-        (e2e_us <= F.lit(int(slo_seconds * 1_000_000))).alias("within_slo"))
-
-
-def running_max(per: DataFrame, order: str, value: str, block: int = 1024) -> DataFrame:
-    """Running maximum of ``value`` in ``order`` order (integer), in two levels:
-    inside blocks of ``block`` consecutive orders, then over one row per block."""
-    d = per.withColumn("_blk", F.floor(F.col(order) / F.lit(block)).cast("bigint"))
-    w_in = Window.partitionBy("_blk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    inner = d.withColumn("_cm", F.max(value).over(w_in))
-    blocks = d.groupBy("_blk").agg(F.max(value).alias("_bm"))
-    w_blk = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = blocks.select("_blk", F.max("_bm").over(w_blk).alias("_carry"))
-    return inner.join(carry, "_blk", "left").withColumn(
-        "running_max", F.greatest(F.col("_cm"), F.col("_carry"))).drop("_blk", "_cm", "_carry")
-
-
-def backlog_by_batch(ops_feed: DataFrame, batch: Column) -> DataFrame:
-    """after each batch, distance from the applied position to the feed head."""
-    f = ops_feed.withColumn("_b", batch)
-    per = f.groupBy("_b").agg(F.max("lsn").alias("batch_max"))
-    head = f.agg(F.max("lsn").alias("_head"))
-    rm = running_max(per, "_b", "batch_max")
-    return attach(rm, head).select(
-        F.col("_b").alias("batch"),
-        F.col("running_max").alias("applied_lsn"),
-        (F.col("_head") - F.col("running_max")).alias("backlog"))
+        F.col("_b").alias("batch"), "events", event_lag_seconds(F.col("_next_close"), F.col("_close")).alias("read_lag_s"),
+        e2e.alias("e2e_max_lag_s"), (e2e <= F.lit(float(slo_seconds))).alias("within_slo"))
+
+
+def backlog_by_batch(ops_feed: DataFrame, width: int) -> DataFrame:
+    """after each batch of ``width`` positions, distance from the applied position to the feed head. Batches
+    are position ranges, so a batch's own maximum is the running one; the head is the maximum of the batches'."""
+    per = ops_feed.groupBy(F.expr(f"lsn div {int(width)}").alias("batch")).agg(F.max("lsn").alias("applied_lsn"))
+    head = per.agg(F.max("applied_lsn")).scalar()
+    return per.select("batch", "applied_lsn", (head - F.col("applied_lsn")).alias("backlog"))
 
 
 def max_id(name: str, target: DataFrame, key: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.operators.images import previous_by_key
-from changeflow.session import fresh_dir, spread
+from changeflow.session import fresh_dir
 from changeflow.sources.records import entry, record, wal_ts_text
 from changeflow.specs import TPCH_ORDERS, USERS
 
@@ -47,7 +47,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if columns:
         df = df.select(*columns)
-    return spread(df)
+    return df
 
 
 def land(feed: DataFrame, name: str, files: int | None = None) -> DataFrame:
@@ -59,10 +59,7 @@ def land(feed: DataFrame, name: str, files: int | None = None) -> DataFrame:
     """
     spark = feed.sparkSession
     path = fresh_dir(spark, f"feed-{name}")
-    out = feed.select("value")
-    if files:
-        out = out.repartition(files)
-    out.write.text(path)
+    feed.select("value").write.text(path)
     return spark.read.text(path)
 
 

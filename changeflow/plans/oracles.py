@@ -205,29 +205,31 @@ SELECT s.*, b.promo_code FROM ({USER_STATE}) s LEFT JOIN (
 
 _TARGET = f"({ORDERS_FIELD})"
 
+_GONE = "t.o_orderkey IS NULL"
 PARITY_REPORT = f"""
-WITH s AS ({_SRC}), t AS {_TARGET}, j AS (SELECT * FROM s JOIN t USING (o_orderkey))
-SELECT "column", rows_compared, rows_mismatched FROM (
-  SELECT 'o_custkey' AS "column", count(*) AS rows_compared, 0 AS o,
-         count(*) FILTER (WHERE s.o_custkey IS DISTINCT FROM t.o_custkey) AS rows_mismatched
-    FROM s JOIN t USING (o_orderkey)
-  UNION ALL SELECT 'o_orderstatus', count(*), 1,
-         count(*) FILTER (WHERE s.o_orderstatus IS DISTINCT FROM t.o_orderstatus) FROM s JOIN t USING (o_orderkey)
-  UNION ALL SELECT 'o_totalprice', count(*), 2,
-         count(*) FILTER (WHERE s.p IS DISTINCT FROM t.o_totalprice) FROM s JOIN t USING (o_orderkey)
-  UNION ALL SELECT 'o_orderdate', count(*), 3,
-         count(*) FILTER (WHERE {cts('s.o_orderdate')} IS DISTINCT FROM t.o_orderdate) FROM s JOIN t USING (o_orderkey)
-  UNION ALL SELECT 'o_orderpriority', count(*), 4,
-         count(*) FILTER (WHERE s.o_orderpriority IS DISTINCT FROM t.o_orderpriority) FROM s JOIN t USING (o_orderkey)
-  UNION ALL SELECT 'deleted_at', count(*), 5,
-         count(*) FILTER (WHERE t.deleted_at IS NOT NULL) FROM s JOIN t USING (o_orderkey))"""
+WITH s AS ({_SRC}), a AS {_TARGET}, t AS (SELECT * FROM a WHERE o_orderkey % 11 <> 0),
+j AS (SELECT {_GONE} AS gone, {_GONE} OR s.o_custkey IS DISTINCT FROM t.o_custkey AS o_custkey,
+             {_GONE} OR s.o_orderstatus IS DISTINCT FROM t.o_orderstatus AS o_orderstatus,
+             {_GONE} OR s.p IS DISTINCT FROM t.o_totalprice AS o_totalprice,
+             {_GONE} OR {cts('s.o_orderdate')} IS DISTINCT FROM t.o_orderdate AS o_orderdate,
+             {_GONE} OR s.o_orderpriority IS DISTINCT FROM t.o_orderpriority AS o_orderpriority,
+             {_GONE} OR t.deleted_at IS NOT NULL AS deleted_at
+      FROM s LEFT JOIN t ON s.o_orderkey = t.o_orderkey),
+u AS (UNPIVOT j ON o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, deleted_at INTO NAME "column" VALUE bad)
+SELECT "column", count(*) AS rows_compared, count(*) FILTER (WHERE gone) AS rows_missing,
+       count(*) FILTER (WHERE NOT bad) AS rows_matched, count(*) FILTER (WHERE bad) AS rows_mismatched
+FROM u GROUP BY 1"""
 
 PARITY_SAMPLE = """
-WITH keys AS (SELECT o_orderkey FROM orders ORDER BY (o_orderkey * 7919) % 1000003, o_orderkey LIMIT 100)
-SELECT o_orderkey, CAST((CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END)
-                        + (CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS fields_mismatched
+WITH keys AS (SELECT o_orderkey FROM orders ORDER BY md5('parity' || CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 100)
+SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 11 = 0 THEN 6 ELSE (CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END)
+                        + (CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END) END AS BIGINT) AS fields_mismatched
 FROM keys"""
 
+VALUE_EQUALITY = f"""
+WITH t AS (SELECT o_orderkey, o_totalprice FROM {_TARGET} x)
+SELECT * FROM t WHERE o_totalprice = (SELECT arg_min(o_totalprice, o_orderkey) FROM t)"""
+
 PRESENCE = f"SELECT o_orderkey + {OFF} AS o_orderkey FROM orders WHERE o_orderkey % 5 = 0"
 
 MISSING_KEYS = "SELECT o_orderkey FROM orders WHERE o_orderkey % 7 = 0"
@@ -272,8 +274,8 @@ SELECT 'tpch_orders', coalesce(max(k), 0) FROM (
 LAG_REPORT = """
 WITH per AS (SELECT event_id // 1000 AS batch, count(*) AS events,
                     epoch_us(max(ts)) AS c, epoch_us(min(ts)) AS o FROM events GROUP BY 1)
-SELECT a.batch, a.events, coalesce(greatest(0, b.c - a.c), 0) AS read_lag_us,
-       a.c - a.o AS e2e_max_lag_us, (a.c - a.o) <= 5000000 AS within_slo
+SELECT a.batch, a.events, coalesce(greatest(0, b.c - a.c), 0) / 1e6 AS read_lag_s,
+       (a.c + 3000000 - a.o) / 1e6 AS e2e_max_lag_s, a.c + 3000000 - a.o <= 5000000 AS within_slo
 FROM per a LEFT JOIN per b ON b.batch = a.batch + 1"""
 
 BACKLOG = """
@@ -283,6 +285,7 @@ SELECT batch, max(m) OVER (ORDER BY batch) AS applied_lsn,
 
 STATUS = f"""
 SELECT 'tpch_orders' AS "table", max(p) AS applied_lsn, CAST(0 AS BIGINT) AS backlog,
+       count(*) FILTER (WHERE kind = 0) AS snapshot_rows,
        count(*) FILTER (WHERE kind = 0) + count(*) FILTER (WHERE kind = 2) AS "rows",
        count(*) FILTER (WHERE kind = 0) + count(*) FILTER (WHERE kind = 2)
          - count(*) FILTER (WHERE kind = 1) AS live_rows
@@ -292,11 +295,28 @@ FROM (SELECT 0 AS kind, {L0} AS p FROM orders
       UNION ALL SELECT 3, {UPD} + o_orderkey FROM orders WHERE o_orderkey % 3 = 0)"""
 
 
-PROGRESS = """
-SELECT 'users' AS "table", CAST(4 AS BIGINT) AS batches, CAST(count(*) AS BIGINT) AS events_written,
-       max(event_id) AS applied_lsn
+PROGRESS = f"""
+SELECT CAST(2 AS BIGINT) AS batches, count(*) + count(*) FILTER (WHERE {_BAD}) AS read,
+       count(*) AS written, count(*) FILTER (WHERE {_BAD} AND {_KIND} < 3) AS rejected,
+       count(*) FILTER (WHERE {_BAD} AND {_KIND} = 3) AS skipped, max(event_id) AS applied_lsn,
+       true AS has_read_per_s, true AS has_written_per_s, true AS has_apply_lag_s, true AS has_read_lag_s
 FROM events"""
 
+STREAM_DRIFT = """
+SELECT 'users' AS "table", 'promo_code' AS "column", min(event_id) AS first_lsn
+FROM events WHERE event_id % 2 = 0 AND event_type <> 'error' HAVING count(*) > 0"""
+
+STREAM_TWO = f"""
+SELECT 'users' AS "table", count(*) AS "rows", count(*) FILTER (WHERE deleted_at IS NULL) AS live_rows, max(_lsn) AS max_lsn FROM ({USER_STATE})
+UNION ALL
+SELECT 'tpch_orders', count(DISTINCT k), count(DISTINCT k) - count(DISTINCT k) FILTER (WHERE del), max(p) FROM (
+  SELECT o_orderkey AS k, false AS del, {UPD} + o_orderkey AS p FROM orders WHERE o_orderkey % 3 = 0
+  UNION ALL SELECT o_orderkey, true, {DEL} + o_orderkey FROM orders WHERE o_orderkey % 7 = 0
+  UNION ALL SELECT o_orderkey + {OFF}, false, {INS} + o_orderkey FROM orders WHERE o_orderkey % 5 = 0
+  UNION ALL SELECT o_orderkey, false, 0 FROM orders WHERE o_orderkey % 11 = 0)"""
+
+MAX_ID_EMPTY = "SELECT 'tpch_orders' AS \"table\", CAST(0 AS BIGINT) AS max_id"
+
 
 def _live(q: str, cond: str) -> str:
     return f"SELECT * FROM ({q}) WHERE {cond}"
@@ -329,6 +349,14 @@ ORACLES = {
     "handoff": ORDERS_FIELD,
     "stream_fold": USER_STATE,
     "stream_replay": USER_STATE,
+    "stream_restart": USER_STATE,
+    "stream_rejects": REJECTS,
+    "stream_drift": STREAM_DRIFT,
+    "stream_schema_sync": SCHEMA_BACKFILL,
+    "stream_two_tables": STREAM_TWO,
+    "point_lookup": f"SELECT * FROM ({SNAPSHOT_DOCS}) WHERE o_orderkey IN (1, 2, 500, 999)",
+    "value_equality": VALUE_EQUALITY,
+    "max_id_empty": MAX_ID_EMPTY,
     "stream_snapshot": ORDERS_FIELD,
     "status": STATUS,
     "progress": PROGRESS,

@@ -28,7 +28,7 @@ from changeflow.sources.store import VersionedStore
 from changeflow.specs import (
     CUSTOMERS, DELETED_AT, PRESENT_PREFIX, ROW_LSN, TPCH_ORDERS, USERS, TableSpec,
 )
-from changeflow.streaming.stream import initialise, run_stream
+from changeflow.streaming.stream import drain_and_stop, initialise, run_stream, schema_sync, store_status
 
 USER_FIELDS = USERS.fields
 ORDER_FIELDS = TPCH_ORDERS.fields
@@ -57,8 +57,8 @@ def render(state: DataFrame, spec: TableSpec, fields: list[str] | None = None,
     return state.select(*cols)
 
 
-def _parsed(feed: DataFrame, name: str, files: int | None = None) -> DataFrame:
-    return parse_feed(fd.land(feed, name, files))
+def _parsed(feed: DataFrame, name: str) -> DataFrame:
+    return parse_feed(fd.land(feed, name))
 
 
 def users_state(feed_lines: DataFrame, tracked=None, spec: TableSpec = USERS) -> DataFrame:
@@ -347,75 +347,148 @@ def handoff(spark, sf_dir):
 
 # ------------------------------------------------------------------ streaming (T-1 ... T-14)
 
-def _stream_users(spark, sf_dir, lines: DataFrame, files: int, name: str) -> VersionedStore:
+FEED_FILES = 4        # files of a landed test feed, so that a stream has several batches
+
+
+def _land_stream(spark, feed: DataFrame, name: str) -> str:
+    """A derived feed as a landing folder of several files, dealt by position."""
     path = fresh_dir(spark, f"landing-{name}")
-    lines.write.text(path) if files is None else lines.repartition(files).write.text(path)
+    lines = parse_position(feed)
+    lines.repartition(FEED_FILES, F.col("_p") % FEED_FILES).select("value").write.text(path)
+    return path
+
+
+def parse_position(feed: DataFrame) -> DataFrame:
+    return feed.select("value", F.crc32(F.col("value").cast("binary")).alias("_p"))
+
+
+def _stream_users(spark, feed: DataFrame, name: str) -> VersionedStore:
     store = VersionedStore(spark, fresh_dir(spark, f"store-{name}"), buckets=8)
-    run_stream(spark, path, store, [USERS], max_files_per_trigger=1)
+    run_stream(spark, _land_stream(spark, feed, name), store, [USERS], max_files_per_trigger=2)
     return store
 
 
 def stream_fold(spark, sf_dir):
     """T-1..T-5: micro-batches through foreachBatch into the versioned store."""
     ensure_utc(spark)
-    store = _stream_users(spark, sf_dir, fd.feed_u(spark, sf_dir).select("value"), 4, "u")
-    return render(store.read(USERS.name), USERS)
+    return render(_stream_users(spark, fd.feed_u(spark, sf_dir), "u").read(USERS.name), USERS)
 
 
 def stream_replay(spark, sf_dir):
-    """T-4..T-6: the feed split into 4 files plus a full second copy, consumed in
+    """T-4..T-6: the feed in several files plus a full second copy, consumed in
     file-arrival order: result equals one ordered pass."""
     ensure_utc(spark)
     path = fresh_dir(spark, "landing-r")
-    u = fd.feed_u(spark, sf_dir)
-    u.repartition(4, F.col("event_id") % 4).select("value").write.text(path + "/split")
-    u.select("value").repartition(1).write.text(path + "/full")
+    lines = parse_position(fd.feed_u(spark, sf_dir))
+    for copy in ("one", "two"):
+        lines.repartition(FEED_FILES, F.col("_p") % FEED_FILES).select("value").write.text(f"{path}/{copy}")
     store = VersionedStore(spark, fresh_dir(spark, "store-r"), buckets=8)
-    run_stream(spark, path + "/*", store, [USERS], max_files_per_trigger=1)
+    run_stream(spark, path + "/*", store, [USERS], max_files_per_trigger=3)
     return render(store.read(USERS.name), USERS)
 
 
+def stream_restart(spark, sf_dir):
+    """T-4, T-5: stop, new files, restart with the same checkpoint; then more files and a stream with a new
+    checkpoint, which reads all again. Nothing is lost or applied twice."""
+    ensure_utc(spark)
+    path = fresh_dir(spark, "landing-restart")
+    store = VersionedStore(spark, fresh_dir(spark, "store-restart"), buckets=8, compact_after=3)
+    lines = fd.feed_u(spark, sf_dir).select("value", (F.col("event_id") % 3).alias("part")).persist()
+    ckpt = fresh_dir(spark, "ckpt-restart")
+    for part, at in ((0, ckpt), (1, ckpt), (2, None)):
+        lines.where(F.col("part") == part).select("value").write.text(f"{path}/{part}")
+        run_stream(spark, path + "/*", store, [USERS], checkpoint=at)
+    lines.unpersist()
+    return render(store.read(USERS.name), USERS)
+
+
+def stream_rejects(spark, sf_dir):
+    """Q17: feed J through the stream: what could not be applied, from the committed rejects."""
+    ensure_utc(spark)
+    return _stream_users(spark, fd.feed_j(spark, sf_dir), "j").rejects().select("table", "lsn", "action", "reason")
+
+
+def stream_drift(spark, sf_dir):
+    """T-8, J4: unregistered columns the stream met (feed D), each once, with its first position."""
+    ensure_utc(spark)
+    return _stream_users(spark, fd.feed_d(spark, sf_dir), "d").drift()
+
+
+def stream_schema_sync(spark, sf_dir):
+    """T-9, T-10: feed D; one running stream, its registry synced between two loads without a restart: the added
+    column is NULL for what was stored before and set by later changes."""
+    ensure_utc(spark)
+    path = fresh_dir(spark, "landing-sync")
+    store = VersionedStore(spark, fresh_dir(spark, "store-sync"), buckets=8)
+    lines = fd.feed_d(spark, sf_dir).select("value", parse_ts(F.get_json_object("value", "$.change.timestamp")).alias("at")).persist()
+    early = F.col("at") < F.lit(SYNC_AT).cast("timestamp")
+    lines.where(early).select("value").write.text(path + "/a")
+    q = run_stream(spark, path + "/*", store, [USERS], available_now=False, processing_time="0 seconds")
+    try:
+        q.processAllAvailable()
+        schema_sync(store, USERS_DRIFT)
+        lines.where(~early).select("value").write.text(path + "/b")
+    finally:
+        drain_and_stop(q)
+    lines.unpersist()
+    return render(store.read(USERS.name), USERS_DRIFT)
+
+
+def stream_two_tables(spark, sf_dir):
+    """A4: one feed with the changes of two tables, routed by table; rows and live rows of both."""
+    ensure_utc(spark)
+    both = fd.feed_u(spark, sf_dir).select("value").unionByName(fd.feed_o(spark, sf_dir).select("value"))
+    store = VersionedStore(spark, fresh_dir(spark, "store-two"), buckets=8)
+    run_stream(spark, _land_stream(spark, both, "two"), store, [USERS, TPCH_ORDERS], max_files_per_trigger=2)
+    out = None
+    for spec in (USERS, TPCH_ORDERS):
+        one = store.read(spec.name).agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(DELETED_AT).isNull()).alias("live_rows"),
+                                        F.max(ROW_LSN).alias("max_lsn"))
+        one = one.select(F.lit(spec.name).alias("table"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def progress(spark, sf_dir):
-    """T-13, A5: per-stream progress from the commit records: micro-batches,
-    events read and written (before coalescing), applied position."""
+    """T-13, A5: progress of a stream over feed J from the commit records: records read = written + rejected +
+    skipped; rates and lags are there (their values depend on the run)."""
     ensure_utc(spark)
-    store = _stream_users(spark, sf_dir, fd.feed_u(spark, sf_dir).select("value"), 4, "p")
-    h = store.history().where(F.col("batch_id") >= 0)
-    return h.agg(F.count(F.lit(1)).alias("batches"),
-                 F.sum("events").alias("events_written"),
-                 F.max("applied_lsn").alias("applied_lsn")).select(
-        F.lit(USERS.name).alias("table"), "batches", "events_written", "applied_lsn")
+    p = _stream_users(spark, fd.feed_j(spark, sf_dir), "p").progress()
+    timed = ["read_per_s", "written_per_s", "apply_lag_s", "read_lag_s"]
+    return p.select("batches", "read", "written", "rejected", "skipped", "applied_lsn",
+                    *[(F.col(c) >= 0).alias("has_" + c) for c in timed])
 
 
 def _orders_stream(spark, sf_dir) -> VersionedStore:
-    path = fresh_dir(spark, "landing-o")
-    fd.feed_o(spark, sf_dir).select("value").repartition(4).write.text(path)
     store = VersionedStore(spark, fresh_dir(spark, "store-o"), buckets=8)
     initialise(store, {TPCH_ORDERS.name: fd.orders_source(spark, sf_dir)}, [TPCH_ORDERS], fd.L0)
-    run_stream(spark, path, store, [TPCH_ORDERS], max_files_per_trigger=1)
+    run_stream(spark, _land_stream(spark, fd.feed_o(spark, sf_dir), "o"), store, [TPCH_ORDERS], max_files_per_trigger=2)
     return store
 
 
 def stream_snapshot(spark, sf_dir):
-    """T-7: snapshot as version 0, then the change stream on top."""
+    """T-7: snapshot first, then the change stream on top."""
     ensure_utc(spark)
     return _render_orders(_orders_stream(spark, sf_dir).read(TPCH_ORDERS.name))
 
 
 def status(spark, sf_dir):
-    """T-14: applied position, backlog and row counts from the store's commit record."""
+    """T-14: applied position, backlog to the feed's head, snapshot rows and row counts of the store."""
     ensure_utc(spark)
     store = _orders_stream(spark, sf_dir)
-    rec = store.record()
+    st = store_status(store, _parsed(fd.feed_o(spark, sf_dir), "o"))
     state = store.read(TPCH_ORDERS.name)
-    head = _parsed(fd.feed_o(spark, sf_dir), "o").agg(F.max("lsn").alias("head"))
-    counts = state.agg(F.count(F.lit(1)).alias("rows"),
-                       F.count_if(F.col(DELETED_AT).isNull()).alias("live_rows"))
-    return rp.attach(counts, head).select(
-        F.lit(TPCH_ORDERS.name).alias("table"),
-        F.lit(rec["applied_lsn"]).cast("bigint").alias("applied_lsn"),
-        F.greatest(F.lit(0).cast("bigint"), F.col("head") - F.lit(rec["applied_lsn"])).alias("backlog"),
-        "rows", "live_rows")
+    return st.select(F.lit(TPCH_ORDERS.name).alias("table"), "applied_lsn", "backlog", "snapshot_rows",
+                     state.agg(F.count(F.lit(1))).scalar().alias("rows"),
+                     state.agg(F.count_if(F.col(DELETED_AT).isNull())).scalar().alias("live_rows"))
+
+
+def point_lookup(spark, sf_dir):
+    """Rows of given keys (one in ten thousand, and one unknown) from the store; only their buckets are read."""
+    ensure_utc(spark)
+    store = VersionedStore(spark, fresh_dir(spark, "store-l"), buckets=16)
+    initialise(store, {TPCH_ORDERS.name: fd.orders_source(spark, sf_dir)}, [TPCH_ORDERS], fd.L0)
+    return _render_orders(store.lookup(TPCH_ORDERS.name, [1, 2, 500, 999, -1]))
 
 
 # ------------------------------------------------------------------ reports
@@ -428,25 +501,42 @@ def _target_orders(spark, sf_dir) -> DataFrame:
     return orders_state(spark, sf_dir).withColumnRenamed("pk", TPCH_ORDERS.pk)
 
 
+def _partial_target(spark, sf_dir) -> DataFrame:
+    """The target without every eleventh order, as after a loss."""
+    return _target_orders(spark, sf_dir).where(F.col(TPCH_ORDERS.pk) % 11 != 0)
+
+
 def parity_report(spark, sf_dir):
-    """Per column, source rows compared with the target and rows that differ."""
+    """Per column, source rows compared with a target that lacks some: missing, matched, mismatched."""
     ensure_utc(spark)
-    return rp.parity_summary(_orders_source_with_deleted(spark, sf_dir), _target_orders(spark, sf_dir),
+    return rp.parity_summary(_orders_source_with_deleted(spark, sf_dir), _partial_target(spark, sf_dir),
                              TPCH_ORDERS.pk, ORDER_FIELDS + [DELETED_AT])
 
 
 def parity_sample(spark, sf_dir):
-    """O3 + J2: 100 deterministically sampled keys, differing fields per key."""
+    """O3 + J2: 100 keys sampled by a seeded hash, differing fields per key; the ops and the snapshot
+    are cut down to the keys before they are folded."""
     ensure_utc(spark)
     src = _orders_source_with_deleted(spark, sf_dir)
-    keys = rp.sample_keys(src, TPCH_ORDERS.pk, 100)
-    diffs = rp.parity(src.join(keys, TPCH_ORDERS.pk, "left_semi"), _target_orders(spark, sf_dir),
-                      TPCH_ORDERS.pk, ORDER_FIELDS + [DELETED_AT])
+    keys = rp.sample_keys(src, TPCH_ORDERS.pk, 100, "parity").persist()
+    pk = keys.select(F.col(TPCH_ORDERS.pk).alias("pk"))
+    some = fo.fold_into(orders_snapshot(spark, sf_dir).join(pk, "pk", "left_semi"),
+                        orders_ops(spark, sf_dir).join(pk, "pk", "left_semi"), ORDER_FIELDS)
+    target = some.withColumnRenamed("pk", TPCH_ORDERS.pk).where(F.col(TPCH_ORDERS.pk) % 11 != 0)
+    diffs = rp.parity(src.join(keys, TPCH_ORDERS.pk, "left_semi"), target, TPCH_ORDERS.pk, ORDER_FIELDS + [DELETED_AT])
     per = diffs.groupBy(TPCH_ORDERS.pk).agg(F.count(F.lit(1)).alias("fields_mismatched"))
     return keys.join(per, TPCH_ORDERS.pk, "left").select(
         TPCH_ORDERS.pk, F.coalesce("fields_mismatched", F.lit(0).cast("bigint")).alias("fields_mismatched"))
 
 
+def value_equality(spark, sf_dir):
+    """Target rows with exactly the price of the least key, found by decimal equality."""
+    ensure_utc(spark)
+    target = _target_orders(spark, sf_dir)
+    price = target.agg(F.min_by("o_totalprice", TPCH_ORDERS.pk)).first()[0]
+    return rp.equal_rows(target, "o_totalprice", price).select(TPCH_ORDERS.pk, "o_totalprice")
+
+
 def presence(spark, sf_dir):
     """J3 (T1): inserted keys present in the target."""
     ensure_utc(spark)
@@ -498,7 +588,7 @@ def op_mix(spark, sf_dir):
 
 
 def _batch() -> Column:
-    return F.floor(F.col("lsn") / F.lit(BATCH_EVENTS)).cast("bigint")
+    return F.expr(f"lsn div {BATCH_EVENTS}")
 
 
 def batch_highwater(spark, sf_dir):
@@ -516,17 +606,29 @@ def max_id(spark, sf_dir):
         rp.max_id(TPCH_ORDERS.name, _target_orders(spark, sf_dir), TPCH_ORDERS.pk))
 
 
+def max_id_empty(spark, sf_dir):
+    """A8 on a registered table without rows: 0."""
+    ensure_utc(spark)
+    store = VersionedStore(spark, fresh_dir(spark, "store-empty"), buckets=4)
+    src = fd.orders_source(spark, sf_dir)
+    initialise(store, {TPCH_ORDERS.name: src.where(F.col("o_orderkey").isNull())}, [TPCH_ORDERS], fd.L0)
+    return rp.max_id(TPCH_ORDERS.name, store.read(TPCH_ORDERS.name), "pk")
+
+
+APPLY_DELAY_S = 3     # the batch reports take a batch as applied so long after its last change
+
+
 def lag_report(spark, sf_dir):
-    """Per batch, writer lag behind the reader and commit-to-apply lag
-    (microseconds) against the 5 s SLO."""
+    """Per batch, lag behind the reader and commit-to-apply lag (seconds) against the 5 s SLO."""
     ensure_utc(spark)
-    return rp.lag_by_batch(_users_ops_feed(spark, sf_dir), _batch())
+    feed = _users_ops_feed(spark, sf_dir)
+    return rp.lag_by_batch(feed, _batch(), F.col("commit_ts") + F.expr(f"INTERVAL {APPLY_DELAY_S} SECONDS"))
 
 
 def backlog(spark, sf_dir):
     """distance from the applied position to the feed head after each batch."""
     ensure_utc(spark)
-    return rp.backlog_by_batch(_users_ops_feed(spark, sf_dir), _batch())
+    return rp.backlog_by_batch(_users_ops_feed(spark, sf_dir), BATCH_EVENTS)
 
 
 QUERIES = {
@@ -556,6 +658,14 @@ QUERIES = {
     "handoff": handoff,
     "stream_fold": stream_fold,
     "stream_replay": stream_replay,
+    "stream_restart": stream_restart,
+    "stream_rejects": stream_rejects,
+    "stream_drift": stream_drift,
+    "stream_schema_sync": stream_schema_sync,
+    "stream_two_tables": stream_two_tables,
+    "point_lookup": point_lookup,
+    "value_equality": value_equality,
+    "max_id_empty": max_id_empty,
     "stream_snapshot": stream_snapshot,
     "status": status,
     "progress": progress,

@@ -45,13 +45,15 @@ def shared_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts, stores and stream checkpoints.
 
     Taken from the session's checkpoint directory (``spark.checkpoint.dir`` on a
-    cluster). Only when none is configured -- local runs and tests -- a fresh local
-    folder is created and registered as the checkpoint directory.
+    cluster). Only a local session without one -- tests, the bench -- gets a fresh
+    local folder; a cluster without a shared folder is an error.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
         root = sc.getConf().get("spark.checkpoint.dir", None)
+        if not root and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         if not root:
             root = tempfile.mkdtemp(prefix="changeflow-")
         sc.setCheckpointDir(root)
@@ -59,20 +61,6 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def spread(df, min_partitions: int | None = None):
-    """Round-robin a DataFrame over the cluster when its scan yields too few tasks.
-
-    Small single-file inputs come back as one partition; everything downstream of
-    the scan (JSON encode/parse, coercion) would then run in one task. Large inputs
-    already have more partitions than cores and are returned untouched (no shuffle).
-    """
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
-
-
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared root (never reused, never cleared)."""
     return f"{shared_root(spark)}/changeflow/{name}-{uuid.uuid4().hex[:12]}"

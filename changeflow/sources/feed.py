@@ -71,11 +71,14 @@ def read_feed(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return parse_feed(spark.read.text(paths))
 
 
-def read_feed_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def read_feed_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                     max_bytes_per_trigger: str | None = None) -> DataFrame:
     """Streaming change feed from a landing folder of JSON-lines files (T-1, T-2)."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return parse_feed(reader.load(path))
 
 

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.operators.fold import target_columns
-from changeflow.specs import DELETED_AT, FIELD_LSN_PREFIX, ROW_LSN, TableSpec
+from changeflow.operators.fold import LAST_SEQ, target_columns
+from changeflow.specs import DELETED_AT, FIELD_LSN_PREFIX, FIELD_SEQ_PREFIX, ROW_LSN, TableSpec
 
 
 def snapshot_state(source: DataFrame, spec: TableSpec, l0: int, tracked=None) -> DataFrame:
@@ -24,6 +24,8 @@ def snapshot_state(source: DataFrame, spec: TableSpec, l0: int, tracked=None) ->
     cols += [F.col(c).cast(spec.spark_type(c)).alias(c) for c in fields]
     cols += [F.lit(None).cast("timestamp").alias(DELETED_AT), pos.alias(ROW_LSN)]
     cols += [pos.alias(FIELD_LSN_PREFIX + c) for c in fields + [DELETED_AT]]
+    # after every change at the snapshot's own position: those are part of it
+    cols += [F.lit(LAST_SEQ).cast("bigint").alias(FIELD_SEQ_PREFIX + c) for c in fields + [DELETED_AT]]
     return source.select(*cols).select(*target_columns(fields))
 
 

@@ -1,31 +1,44 @@
-"""Versioned parquet target with atomic commits.
+"""Versioned parquet target: merge-on-read deltas and atomic commits.
 
 Layout under ``root`` (any Hadoop file system, e.g. the cluster's shared folder)::
 
-    data/<table>/v=<n>-<attempt>/_bucket=<b>/part-*.parquet   bucket b as written by version n
-    _versions/<n>.json                                 commit record of version n
+    data/<table>/<attempt>/_bucket=<b>/part-*.parquet   rows of one write, by key bucket
+    _versions/<n>.json                                  commit record of version n
 
-A version's commit record lists, per table, the folder holding each bucket, the
-tracked columns (registry), the applied position, the batch id and batch metrics.
-It is created last and exclusively (``create(overwrite=False)``): a version
-exists iff its record exists, and two writers can never both commit version n.
-Rows are placed in ``pmod(xxhash64(pk), buckets)``; a batch rewrites only the
-buckets it touches and points the others at their previous folders. Files are
-never overwritten in place.
+A table is a list of layers: a base (snapshot or compaction) and the deltas of later
+batches, all in target layout. A batch only appends a delta of its own coalesced rows, so
+what it writes follows the batch and not the table; reading merges the layers by key
+(:func:`fold.merge_states`). When ``compact_after`` deltas have gathered they are merged
+into one, and with the base once they hold ``1 / rebase`` of its rows.
+
+Every layer remembers its bucket count and its columns. Buckets only steer lookups, so a
+store may be reopened with another count; columns synced later are NULL in older layers at
+the row's position, without rewriting a file.
+
+A commit record is written to a temporary name and renamed without overwriting: a version
+exists iff its record does. A commit reads the head once and derives record and number from
+it; if the number was taken meanwhile, it starts again from the new head. What one commit
+adds (a delta, a column list) is valid on any head, so no update is lost.
 """
 
 from __future__ import annotations
 
 import json
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from changeflow.operators import fold as fo
-from changeflow.specs import TableSpec
+from changeflow.specs import DELETED_AT, FIELD_LSN_PREFIX, FIELD_SEQ_PREFIX, ROW_LSN, TableSpec
 
 BUCKET_COL = "_bucket"
+RETRIES = 50
+HISTORY_DDL = ("version int, committed_at string, batch_id bigint, stream string, applied_lsn bigint, "
+               "meta struct<read: bigint, written: bigint, rejected: bigint, skipped: bigint, max_lsn: bigint, "
+               "first_commit: string, last_commit: string, seconds: double>, rejects string")
 
 
 class CommitConflict(RuntimeError):
@@ -36,20 +49,25 @@ def bucket_of(pk, buckets: int):
     return F.pmod(F.xxhash64(pk), F.lit(buckets)).cast("int")
 
 
+def typed_fields(spec: TableSpec, columns=None) -> list[list[str]]:
+    """[name, type] of a spec's columns without the key."""
+    return [[c, t] for c, t in spec.columns if c != spec.pk and (columns is None or c in set(columns))]
+
+
 class VersionedStore:
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16, compact_after: int = 16, rebase: int = 4):
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets
-        jvm = spark.sparkContext._jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
+        self.compact_after = compact_after
+        self.rebase = rebase
+        self._jvm = spark.sparkContext._jvm
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
         self._latest: int | None = None      # newest version known to exist
-        self._records: dict = {}             # version -> record (immutable once written)
 
     # ------------------------------------------------------------ file system
     def _fs(self, path: str):
-        p = self._Path(path)
+        p = self._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self._conf), p
 
     def _versions_dir(self) -> str:
@@ -59,12 +77,8 @@ class VersionedStore:
         fs, p = self._fs(self._versions_dir())
         if not fs.exists(p):
             return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.endswith(".json"):
-                out.append(int(name[:-5]))
-        return sorted(out)
+        names = [st.getPath().getName() for st in fs.listStatus(p)]
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
 
     def _record_path(self, version: int) -> str:
         return f"{self._versions_dir()}/{version:012d}.json"
@@ -84,182 +98,321 @@ class VersionedStore:
             self._latest += 1
 
     def record(self, version: int | None = None) -> dict | None:
+        """The record of a version; of the latest readable one by default. A record that cannot be
+        read was never committed (its writer died) and is passed over."""
         v = self.latest_version() if version is None else version
-        if v is None:
+        while v is not None and v >= 0:
+            rec = self._load(v)
+            if rec is not None or version is not None:
+                return rec
+            v -= 1
+        return None
+
+    def _load(self, version: int) -> dict | None:
+        fs, p = self._fs(self._record_path(version))
+        if not fs.exists(p):
             return None
-        if v in self._records:
-            return self._records[v]
-        fs, p = self._fs(self._record_path(v))
         stream = fs.open(p)
         try:
-            reader = self.spark.sparkContext._jvm.java.io.BufferedReader(
-                self.spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            text = "".join(iter(reader.readLine, None))
+            text = self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        rec = json.loads(text)
-        self._records[v] = rec
-        return rec
-
-    def _next_version(self) -> int:
-        v = self.latest_version()
-        return 0 if v is None else v + 1
-
-    def _write_record(self, version: int, rec: dict) -> None:
-        fs, p = self._fs(self._record_path(version))
         try:
-            out = fs.create(p, False)
-        except Exception as e:  # noqa: BLE001 - FileAlreadyExistsException via py4j
-            raise CommitConflict(f"version {version} already committed") from e
+            return json.loads(text)
+        except ValueError:
+            return None
+
+    def _publish(self, version: int, rec: dict) -> None:
+        path = self._record_path(version)
+        fs, tmp = self._fs(f"{self._versions_dir()}/_{uuid.uuid4().hex}.tmp")
+        out = fs.create(tmp, False)
         try:
             out.write(bytearray(json.dumps(rec, sort_keys=True).encode("utf-8")))
         finally:
             out.close()
-        self._records[version] = rec
+        to = self._jvm.org.apache.hadoop.fs.Path(path)
+        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self._conf)
+        kind = self._jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename")
+        how = self.spark.sparkContext._gateway.new_array(self._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        how[0] = kind.getEnumConstants()[0]                         # NONE: fail if the name is taken
+        try:
+            context.rename(fs.makeQualified(tmp), fs.makeQualified(to), how)
+        except Exception as e:  # noqa: BLE001 - FileAlreadyExistsException via py4j
+            if not fs.exists(to):
+                raise
+            raise CommitConflict(f"version {version} already committed") from e
         self._latest = version if self._latest is None else max(self._latest, version)
 
-    # ------------------------------------------------------------ reads
+    def commit(self, change) -> dict | None:
+        """Publish ``change(head)`` (the head's record, changed; None: nothing to do) as the next version.
+        One head is read per attempt; after a conflict the change is made anew on the new head."""
+        for _ in range(RETRIES):
+            latest = self.latest_version()
+            head = self.record() or {}
+            rec = change(json.loads(json.dumps(head)))
+            if rec is None:
+                return None
+            rec["version"] = 0 if latest is None else latest + 1
+            rec["committed_at"] = time.strftime("%Y-%m-%dT%H:%M:%S", time.gmtime()) + f".{time.time_ns() // 1000 % 1_000_000:06d}+00:00"
+            try:
+                self._publish(rec["version"], rec)
+                return rec
+            except CommitConflict:
+                continue
+        raise CommitConflict(f"no free version after {RETRIES} attempts")
+
+    # ------------------------------------------------------------ registry
+    def table(self, name: str, version: int | None = None) -> dict | None:
+        return ((self.record(version) or {}).get("tables") or {}).get(name)
+
     def tracked(self, table: str) -> list[str] | None:
-        rec = self.record()
-        if rec and table in rec.get("tables", {}):
-            return rec["tables"][table]["columns"]
-        return None
+        t = self.table(table)
+        return t["columns"] if t else None
 
-    def read(self, table: str, version: int | None = None) -> DataFrame | None:
-        """State of ``table`` at a version (latest by default), hidden columns included."""
-        rec = self.record(version)
-        if not rec or table not in rec.get("tables", {}):
+    def spec(self, table: str) -> TableSpec | None:
+        """The tracked columns with their types, as the registry has them now."""
+        t = self.table(table)
+        if t is None:
             return None
-        t = rec["tables"][table]
-        paths = sorted(set(t["buckets"].values()))
-        if not paths:
+        types = dict(map(tuple, t["fields"])) | {t["pk"]: t["pk_type"]}
+        return TableSpec(table, t["pk"], tuple((c, types[c]) for c in t["columns"]))
+
+    def _new_table(self, spec: TableSpec) -> dict:
+        return {"pk": spec.pk, "pk_type": spec.spark_type(spec.pk).simpleString(), "fields": typed_fields(spec),
+                "columns": spec.column_names, "base": None, "deltas": []}
+
+    def register(self, specs) -> None:
+        """Seed the registry with tables it does not know yet."""
+        def change(rec):
+            tables = rec.setdefault("tables", {})
+            new = [s for s in specs if s.name not in tables]
+            for s in new:
+                tables[s.name] = self._new_table(s)
+            return rec | {"meta": {}, "batch_id": None, "rejects": None} if new else None
+        self.commit(change)
+
+    # ------------------------------------------------------------ reads
+    def _layer(self, layer: dict, t: dict) -> DataFrame:
+        """A layer in the layout of all the table's fields."""
+        types = dict(map(tuple, t["fields"]))
+        have = [c for c in layer["columns"] if c in types]
+        every = [*have, DELETED_AT]
+        schema = T.StructType([T.StructField("pk", T._parse_datatype_string(t["pk_type"]))])
+        for c in every:
+            schema.add(c, T._parse_datatype_string(types.get(c, "timestamp")))
+        schema.add(ROW_LSN, T.LongType())
+        for prefix in (FIELD_LSN_PREFIX, FIELD_SEQ_PREFIX):
+            for c in every:
+                schema.add(prefix + c, T.LongType())
+        schema.add(BUCKET_COL, T.IntegerType())
+        df = self.spark.read.schema(schema).parquet(layer["path"])
+        for c, ddl in t["fields"]:
+            if c not in have:
+                df = (df.withColumn(c, F.lit(None).cast(ddl)).withColumn(FIELD_LSN_PREFIX + c, F.col(ROW_LSN))
+                      .withColumn(FIELD_SEQ_PREFIX + c, F.lit(fo.LAST_SEQ)))
+        return df
+
+    def _state(self, t: dict, layers: list[dict], keys=None) -> DataFrame:
+        """The layers merged, all stored fields; with ``keys`` only these, from their buckets."""
+        fields = [c for c, _ in t["fields"]]
+        cols = fo.target_columns(fields)
+        parts = []
+        for layer in layers:
+            df = self._layer(layer, t)
+            if keys is not None:
+                some = self.spark.createDataFrame([(k,) for k in keys], f"pk {t['pk_type']}")
+                b = [r[0] for r in some.select(bucket_of(F.col("pk"), layer["buckets"])).distinct().collect()]
+                df = df.where(F.col(BUCKET_COL).isin(b) & F.col("pk").isin(list(keys)))
+            parts.append(df.select(*cols))
+        if not parts:
+            schema = ", ".join([f"pk {t['pk_type']}", *[f"`{c}` {d}" for c, d in t["fields"]], f"{DELETED_AT} timestamp", f"{ROW_LSN} bigint",
+                                *[f"`{p}{c}` bigint" for p in (FIELD_LSN_PREFIX, FIELD_SEQ_PREFIX) for c in [*fields, DELETED_AT]]])
+            return self.spark.createDataFrame([], schema).select(*cols)
+        df = parts[0]
+        for p in parts[1:]:
+            df = df.unionByName(p)
+        return fo.merge_states(df, fields) if len(parts) > 1 else df
+
+    @staticmethod
+    def _layers(t: dict) -> list[dict]:
+        return ([t["base"]] if t["base"] else []) + t["deltas"]
+
+    def read(self, table: str, version: int | None = None) -> DataFrame | None:
+        """State of ``table`` at a version (latest by default), tracked columns and their places."""
+        t = self.table(table, version)
+        if t is None:
             return None
-        cols = fo.target_columns(t["fields"])
-        return self._read_paths(paths, cols)
+        view = [c for c in t["columns"] if c != t["pk"]]
+        return self._state(t, self._layers(t)).select(*fo.target_columns(view))
 
-    def _read_paths(self, paths: list[str], cols: list[str]) -> DataFrame:
-        return self.spark.read.parquet(*paths).select(*cols)
+    def lookup(self, table: str, keys) -> DataFrame:
+        """The rows of some keys; only their buckets are opened."""
+        t = self.table(table)
+        view = [c for c in t["columns"] if c != t["pk"]]
+        return self._state(t, self._layers(t), list(keys)).select(*fo.target_columns(view))
 
-    def last_batch_id(self) -> int:
-        rec = self.record()
-        return -1 if not rec or rec.get("batch_id") is None else int(rec["batch_id"])
+    def batch_of(self, stream: str) -> int:
+        """The last batch of a stream that was committed, -1 if none."""
+        return ((self.record() or {}).get("streams") or {}).get(stream, -1)
 
     # ------------------------------------------------------------ writes
-    def _write_buckets(self, table: str, version: int, state: DataFrame) -> str:
-        # one folder per attempt: a batch retried after a lost executor or driver
-        # writes afresh; only the folder named by the commit record is ever read
-        path = f"{self.root}/data/{table}/v={version}-{uuid.uuid4().hex[:8]}"
-        # Spread every bucket over up to `fanout` writer tasks (salted by key hash) so
-        # a bucket is never funnelled through one task; the rebalance lets AQE merge
-        # small partitions (small batches) and split oversized ones.
-        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        fanout = max(1, parts // self.buckets)
-        (state.withColumn(BUCKET_COL, bucket_of(F.col("pk"), self.buckets))
-              .withColumn("_salt", F.pmod(F.xxhash64(F.col("pk"), F.lit("salt")), F.lit(fanout)))
-              .hint("rebalance", BUCKET_COL, "_salt")
-              .drop("_salt")
-              .write.partitionBy(BUCKET_COL).parquet(path))
-        return path
-
-    def _list_buckets(self, path: str) -> dict:
-        fs, p = self._fs(path)
-        out = {}
-        if fs.exists(p):
-            for st in fs.listStatus(p):
-                name = st.getPath().getName()
-                if name.startswith(BUCKET_COL + "="):
-                    out[name.split("=", 1)[1]] = f"{path}/{name}"
-        return out
-
-    def replace(self, tables: dict, meta: dict | None = None, batch_id: int | None = None) -> int:
-        """Write whole tables as a new version (snapshot load, schema sync).
-
-        ``tables``: name -> (state DataFrame in target layout, fields, tracked columns).
-        Tables not named keep their previous folders.
+    def _write(self, table: str, state: DataFrame, columns: list[str]) -> dict:
+        """Write rows as a new layer: a folder per attempt, read only if a commit record names it."""
+        path = f"{self.root}/data/{table}/{uuid.uuid4().hex}"
+        # every bucket may be written by several tasks (salted by key hash), and the rebalance lets AQE
+        # merge small partitions (small batches) and split oversized ones
+        fanout = max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // self.buckets)
+        salted = (state.select(*fo.target_columns(columns)).withColumn(BUCKET_COL, bucket_of(F.col("pk"), self.buckets))
+                  .withColumn("_salt", F.pmod(F.xxhash64(F.col("pk"), F.lit("salt")), F.lit(fanout)))
+                  .hint("rebalance", BUCKET_COL, "_salt").drop("_salt"))
+        salted.write.partitionBy(BUCKET_COL).parquet(path)
+        schema = salted.schema
+        rows = self.spark.read.schema(schema).parquet(path).count()     # from the files' footers
+        return {"path": path, "buckets": self.buckets, "columns": list(columns), "rows": rows}
+
+    def replace(self, states: dict, specs, meta: dict | None = None) -> dict:
+        """Write whole tables as a new version (snapshot load): ``states`` maps names to DataFrames in target
+        layout. Their counts go into the record; tables not named stay."""
+        layers = {s.name: self._write(s.name, states[s.name], s.fields) for s in specs}
+
+        def change(rec):
+            tables = rec.setdefault("tables", {})
+            for s in specs:
+                tables[s.name] = self._new_table(s) | {"base": layers[s.name]}
+            rec |= {"meta": {}, "batch_id": None, "rejects": None}
+            if meta and "snapshot" in meta:
+                rec["snapshot"] = meta["snapshot"] | {"counts": {n: x["rows"] for n, x in layers.items()}}
+                rec["applied_lsn"] = max([x for x in (rec.get("applied_lsn"), meta["snapshot"]["lsn"]) if x is not None], default=None)
+            return rec
+        return self.commit(change)
+
+    def apply_batch(self, stream: str, batch_id: int, folded: dict, meta: dict, rejects: DataFrame | None = None,
+                    drift: dict | None = None, mode: str = "field") -> dict | None:
+        """Append a batch's coalesced rows as deltas; a batch of ``stream`` that is committed already is skipped.
+
+        ``folded``: name -> (coalesced ops, fields). ``mode="row"`` depends on arrival order, so it reads the
+        table, applies the row guard and writes a new base.
         """
-        prev = self.record() or {"tables": {}}
-        version = self._next_version()
-        rec_tables = dict(prev.get("tables", {}))
-        for name, (state, fields, tracked) in tables.items():
-            path = self._write_buckets(name, version, state.select(*fo.target_columns(fields)))
-            rec_tables[name] = {"fields": list(fields), "columns": list(tracked),
-                                "buckets": self._list_buckets(path)}
-        rec = {"version": version, "tables": rec_tables,
-               "batch_id": prev.get("batch_id") if batch_id is None else batch_id,
-               "applied_lsn": (meta or {}).get("applied_lsn", prev.get("applied_lsn")),
-               "meta": meta or {}, "snapshot": prev.get("snapshot")}
-        if meta and "snapshot" in meta:
-            rec["snapshot"] = meta["snapshot"]
-        self._write_record(version, rec)
-        return version
-
-    def apply_batch(self, batch_id: int, folded: dict, meta: dict, mode: str = "field") -> int | None:
-        """Apply coalesced ops per table as version n+1; skip an already-committed batch.
-
-        ``folded``: name -> (coalesced ops DataFrame, fields, tracked columns).
-        Only touched buckets are read, merged (J1) and rewritten.
-        """
-        if batch_id <= self.last_batch_id():
-            return None  # replay of a committed batch: exactly-once effect
-        prev = self.record() or {"tables": {}}
-        version = self._next_version()
-        rec_tables = dict(prev.get("tables", {}))
-        for name, (ops, fields, tracked) in folded.items():
-            ops = ops.withColumn(BUCKET_COL, bucket_of(F.col("pk"), self.buckets)).persist()
+        if batch_id <= self.batch_of(stream):
+            return None                                             # replay of a committed batch
+        if mode == "row":
+            return self._apply_rows(stream, batch_id, folded, meta)
+        layers = {n: self._write(n, fo.coalesce_to_target(ops, fields), fields) for n, (ops, fields) in folded.items()}
+        bad = None
+        if rejects is not None and meta.get("rejected"):
+            bad = f"{self.root}/data/_rejects/{uuid.uuid4().hex}"
+            rejects.write.parquet(bad)
+
+        def change(rec):
+            if batch_id <= (rec.get("streams") or {}).get(stream, -1):
+                return None
+            for n, layer in layers.items():
+                if layer["rows"]:
+                    rec["tables"][n]["deltas"].append(layer)
+            return self._advance(rec, stream, batch_id, meta) | {"rejects": bad, "drift": self._drifted(rec, drift)}
+        rec = self.commit(change)
+        for n in layers:
+            self.compact(n)
+        return rec
+
+    def _advance(self, rec: dict, stream: str, batch_id: int, meta: dict) -> dict:
+        rec.setdefault("streams", {})[stream] = batch_id
+        rec["applied_lsn"] = max([x for x in (rec.get("applied_lsn"), meta.get("max_lsn")) if x is not None], default=None)
+        return rec | {"meta": meta, "batch_id": batch_id, "stream": stream, "rejects": None}
+
+    @staticmethod
+    def _drifted(rec: dict, drift: dict | None) -> dict:
+        """Unregistered columns seen so far, each with its first position: reported once."""
+        seen = rec.get("drift") or {}
+        for table, cols in (drift or {}).items():
+            seen[table] = cols | seen.get(table, {})
+        return seen
+
+    def _apply_rows(self, stream, batch_id, folded, meta):
+        for _ in range(RETRIES):
+            head = self.record() or {}
+            layers = {}
+            for n, (ops, fields) in folded.items():
+                t = head["tables"][n]
+                stored = [c for c, _ in t["fields"]]
+                if sorted(stored) != sorted(fields):
+                    raise ValueError(f"{n}: the row guard needs all stored columns tracked")
+                layers[n] = self._write(n, fo.apply(self._state(t, self._layers(t)), ops, stored, mode="row"), stored)
+
+            def change(rec):
+                if batch_id <= (rec.get("streams") or {}).get(stream, -1):
+                    return None
+                if rec.get("version") != head.get("version"):
+                    raise CommitConflict("the table changed")       # the merge is stale: start again
+                for n, layer in layers.items():
+                    rec["tables"][n] |= {"base": layer, "deltas": []}
+                return self._advance(rec, stream, batch_id, meta)
             try:
-                # at most `buckets` distinct values reach the driver
-                touched = sorted(str(r[0]) for r in ops.select(BUCKET_COL).distinct().collect())
-                if not touched:
-                    continue
-                old = rec_tables.get(name)
-                if old is not None and list(old["fields"]) != list(fields):
-                    raise ValueError(f"{name}: registry changed; run schema_sync first")
-                old_paths = [old["buckets"][b] for b in touched if old and b in old["buckets"]]
-                if old_paths:
-                    target = self._read_paths(old_paths, fo.target_columns(fields))
-                    new_state = fo.apply(target, ops.drop(BUCKET_COL), fields, mode=mode)
-                else:
-                    # first rows of these buckets: the coalesced ops are the state
-                    new_state = fo.coalesce_to_target(ops.drop(BUCKET_COL), fields)
-                path = self._write_buckets(name, version, new_state)
-                buckets = dict(old["buckets"]) if old else {}
-                buckets.update(self._list_buckets(path))
-                rec_tables[name] = {"fields": list(fields), "columns": list(tracked),
-                                    "buckets": buckets}
-            finally:
-                ops.unpersist()
-        applied = max([x for x in (prev.get("applied_lsn"), meta.get("max_lsn")) if x is not None],
-                      default=None)
-        rec = {"version": version, "tables": rec_tables, "batch_id": batch_id,
-               "applied_lsn": applied, "meta": meta, "snapshot": prev.get("snapshot")}
-        self._write_record(version, rec)
-        return version
-
-    def unreferenced(self, keep_last: int = 1) -> list[str]:
-        """Data folders (``data/<table>/v=...``) that none of the last ``keep_last``
-        versions reads: superseded bucket rewrites and abandoned attempts."""
+                return self.commit(change)
+            except CommitConflict:
+                continue
+        raise CommitConflict("the table kept changing")
+
+    def compact(self, table: str, force: bool = False) -> dict | None:
+        """Merge the deltas (and the base, once they hold a ``1 / rebase`` of its rows) into one layer. Deltas
+        committed meanwhile are kept behind it."""
+        t = self.table(table)
+        if t is None or not t["deltas"] or (len(t["deltas"]) < self.compact_after and not force):
+            return None
+        gathered = sum(x["rows"] for x in t["deltas"])
+        whole = force or t["base"] is None or gathered * self.rebase >= t["base"]["rows"]
+        old = self._layers(t) if whole else t["deltas"]
+        fields = [c for c, _ in t["fields"]]
+        layer = self._write(table, self._state(t, old), fields)
+        paths = {x["path"] for x in old}
+
+        def change(rec):
+            now = rec["tables"][table]
+            if not paths <= {x["path"] for x in self._layers(now)}:
+                return None                                         # replaced meanwhile
+            rest = [x for x in now["deltas"] if x["path"] not in paths]
+            now |= {"base": layer, "deltas": rest} if whole else {"deltas": [layer, *rest]}
+            return rec | {"meta": {}, "batch_id": None, "rejects": None}
+        return self.commit(change)
+
+    def sync_columns(self, live: TableSpec) -> dict | None:
+        """Set the tracked columns of a table to ``live``'s: the registry alone changes. Columns new to the store
+        are NULL for rows stored so far; columns no longer tracked leave the view and stay stored."""
+        def change(rec):
+            t = (rec.get("tables") or {}).get(live.name)
+            if t is None:
+                raise ValueError(f"{live.name}: not registered; load a snapshot or register it first")
+            if t["columns"] == live.column_names:
+                return None
+            known = {c for c, _ in t["fields"]}
+            t["fields"] += [[c, d] for c, d in typed_fields(live) if c not in known]
+            t["columns"] = live.column_names
+            return rec | {"meta": {}, "batch_id": None, "rejects": None}
+        return self.commit(change)
+
+    # ------------------------------------------------------------ maintenance and reports
+    def unreferenced(self, keep_last: int = 1, older_than_s: float = 86_400) -> list[str]:
+        """Folders of layers that none of the last ``keep_last`` versions reads and that are older than an age
+        no running write or read reaches."""
         latest = self.latest_version()
         if latest is None:
             return []
-        used = set()
-        for v in range(max(0, latest - keep_last + 1), latest + 1):
-            for t in (self.record(v) or {}).get("tables", {}).values():
-                used.update(p.rsplit("/", 1)[0] for p in t["buckets"].values())
-        out = []
+        used = {x["path"] for v in range(max(0, latest - keep_last + 1), latest + 1)
+                for t in ((self.record(v) or {}).get("tables") or {}).values() for x in self._layers(t)}
+        names = {u.rsplit("/", 2)[-2] + "/" + u.rsplit("/", 1)[-1] for u in used}
         fs, data = self._fs(f"{self.root}/data")
-        if not fs.exists(data):
-            return out
-        for tdir in fs.listStatus(data):
-            for vdir in fs.listStatus(tdir.getPath()):
-                path = f"{self.root}/data/{tdir.getPath().getName()}/{vdir.getPath().getName()}"
-                if path not in used:
-                    out.append(path)
+        out, limit = [], (time.time() - older_than_s) * 1000
+        for tdir in fs.listStatus(data) if fs.exists(data) else []:
+            name = tdir.getPath().getName()
+            for st in fs.listStatus(tdir.getPath()) if name != "_rejects" else []:
+                if f"{name}/{st.getPath().getName()}" not in names and st.getModificationTime() <= limit:
+                    out.append(f"{self.root}/data/{name}/{st.getPath().getName()}")
         return sorted(out)
 
-    def vacuum(self, keep_last: int = 1, dry_run: bool = True) -> list[str]:
-        """Remove folders no recent version reads (time travel to older versions is
-        lost for them). ``dry_run`` only lists them."""
-        paths = self.unreferenced(keep_last)
+    def vacuum(self, keep_last: int = 1, dry_run: bool = True, older_than_s: float = 86_400) -> list[str]:
+        """Remove folders no recent version reads (time travel to older versions is lost for them).
+        ``dry_run`` only lists them."""
+        paths = self.unreferenced(keep_last, older_than_s)
         if not dry_run:
             for p in paths:
                 fs, hp = self._fs(p)
@@ -267,17 +420,34 @@ class VersionedStore:
         return paths
 
     def history(self) -> DataFrame:
-        """One row per committed version: batch metrics (T-13) and applied position."""
-        rows = []
-        for v in self.versions():
-            r = self.record(v)
-            m = r.get("meta") or {}
-            rows.append((v, r.get("batch_id"), m.get("events"), m.get("max_lsn"),
-                         m.get("last_commit"), r.get("applied_lsn")))
-        return self.spark.createDataFrame(
-            rows, "version int, batch_id bigint, events bigint, max_lsn bigint, "
-                  "last_commit string, applied_lsn bigint")
-
-
-def spec_fields(spec: TableSpec, tracked) -> list[str]:
-    return [c for c in spec.fields if c in set(tracked)]
+        """One row per committed version, read by Spark from the records."""
+        if not self.versions():
+            return self.spark.createDataFrame([], HISTORY_DDL)
+        return self.spark.read.schema(HISTORY_DDL).json(f"{self._versions_dir()}/*.json")
+
+    def progress(self) -> DataFrame:
+        """T-13, A5: batches, records read, written, rejected and skipped, rates over the time at work, the applied
+        position, and the lags of the last batch: apply behind commit time (A11), and of its last change behind
+        the newest change seen by any batch (F12)."""
+        from changeflow.functions import event_lag_seconds, parse_ts, rate
+        h = self.history().where("batch_id is not null").withColumn("last", parse_ts(F.col("meta.last_commit")))
+        total = h.agg(F.count(F.lit(1)).alias("batches"), *[F.sum("meta." + c).alias(c) for c in ("read", "written", "rejected", "skipped")],
+                      F.sum("meta.seconds").alias("seconds"), F.max("applied_lsn").alias("applied_lsn"), F.max("last").alias("newest"),
+                      F.max_by(F.struct("committed_at", "last"), "version").alias("x"))
+        applied = parse_ts(F.col("x.committed_at"))
+        return total.select("batches", "read", "written", "rejected", "skipped", rate(F.col("read"), F.col("seconds")).alias("read_per_s"),
+                            rate(F.col("written"), F.col("seconds")).alias("written_per_s"), "applied_lsn",
+                            event_lag_seconds(F.col("newest"), F.col("x.last")).alias("read_lag_s"),
+                            event_lag_seconds(applied, F.col("x.last")).alias("apply_lag_s"))
+
+    def rejects(self) -> DataFrame:
+        """The records that could not be applied, of all committed batches."""
+        ddl = "`table` string, lsn bigint, seq bigint, action string, reason string, record string"
+        named = self.history().where("rejects is not null").select("rejects")
+        paths = [r[0] for r in named.collect()]                     # one folder for each batch with rejects
+        return self.spark.read.schema(ddl).parquet(*paths) if paths else self.spark.createDataFrame([], ddl)
+
+    def drift(self) -> DataFrame:
+        """T-8: (table, column, first_lsn), once for each unregistered column the stream met."""
+        rows = [(t, c, lsn) for t, cols in ((self.record() or {}).get("drift") or {}).items() for c, lsn in cols.items()]
+        return self.spark.createDataFrame(rows, "`table` string, column string, first_lsn bigint")

@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 
 # Hidden per-field position columns in the target carry this prefix.
 FIELD_LSN_PREFIX = "_flsn_"
+# ... and the order of the change at that position
+FIELD_SEQ_PREFIX = "_fseq_"
 PRESENT_PREFIX = "_p_"
 DELETED_AT = "deleted_at"
 ROW_LSN = "_lsn"
@@ -72,22 +74,6 @@ def default_source_type(dt: T.DataType) -> str:
     return "text"
 
 
-# The two source tables of the reference deployment, parents first.
-ORDERS = TableSpec(
-    "orders", "order_id",
-    (("order_id", "bigint"), ("customer_email", "string"), ("total_amount", "decimal(12,2)"),
-     ("status", "string"), ("is_paid", "boolean"), ("created_at", "timestamp"),
-     ("updated_at", "timestamp")),
-    {"status": "order_status"},
-)
-ORDER_ITEMS = TableSpec(
-    "order_items", "item_id",
-    (("item_id", "bigint"), ("order_id", "bigint"), ("product_name", "string"),
-     ("quantity", "int"), ("unit_price", "decimal(10,2)"), ("is_gift", "boolean"),
-     ("created_at", "timestamp")),
-)
-REFERENCE_TABLES = (ORDERS, ORDER_ITEMS)
-
 # Tables replicated from the driver's test data (see plans/feeds.py).
 USERS = TableSpec(
     "users", "user_id",

@@ -1,120 +1,146 @@
 """Structured Streaming change application (T-1 ... T-12).
 
-``readStream`` (JSON-lines landing folder) -> parse -> ``foreachBatch``:
-re-read the registry from the store's latest commit (T-9), split ops per table,
-coalesce (A1), merge touched buckets (J1), commit version n+1 (S5/S7). The offset
-log advances only after ``foreachBatch`` returns, i.e. after the commit (T-3); a
-re-run batch id that is already committed is skipped (T-5). No watermark: late and
-out-of-order changes are resolved by position, never dropped (T-6).
+``readStream`` (JSON-lines landing folder) -> parse -> ``foreachBatch``: read the registry
+from the store's head (T-9), split each table's ops from rejects, coalesce (A1), append the
+deltas and commit (S5/S7). The offset log advances only after ``foreachBatch`` returns, i.e.
+after the commit (T-3); a re-run batch id that this stream committed already is skipped (T-5);
+another stream's ids are its own. No watermark: late and out-of-order changes are resolved by
+position, never dropped (T-6). Every record is applied, skipped (not a change, or part of the
+snapshot) or rejected, and counted as such.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.functions import backlog, canonical_ts
 from changeflow.operators import fold as fo
-from changeflow.operators.registry import backfill
-from changeflow.operators.reports import attach
-from changeflow.operators.ops import to_ops
-from changeflow.session import ensure_utc, fresh_dir, spread
+from changeflow.operators.ops import envelope_rejects, split_staged, stage_ops
+from changeflow.operators.registry import feed_columns, live_columns, registry_frame, schema_diff
+from changeflow.session import ensure_utc, fresh_dir
 from changeflow.sources.feed import DML_ACTIONS, read_feed_stream
 from changeflow.sources.snapshot import snapshot_state
-from changeflow.sources.store import VersionedStore, spec_fields
-from changeflow.specs import DELETED_AT, FIELD_LSN_PREFIX, TableSpec
-
-
-def batch_metrics(batch: DataFrame) -> dict:
-    """A2, A3, A5: events in the batch (before coalescing), high-water position and
-    the last non-null commit time in arrival order; one small row to the driver."""
-    dml = batch.where(~F.col("_corrupt") & F.col("action").isin(*DML_ACTIONS))
-    r = dml.agg(
-        F.count(F.lit(1)).alias("events"),
-        F.max("lsn").alias("max_lsn"),
-        canonical_ts(F.max_by("commit_ts", F.when(F.col("commit_ts").isNotNull(),
-                                                  F.struct("lsn", "seq")))).alias("last_commit"),
-    ).first()
-    return {"events": int(r["events"]), "max_lsn": r["max_lsn"], "last_commit": r["last_commit"]}
-
-
-def batch_handler(store: VersionedStore, specs, mode: str = "field"):
+from changeflow.sources.store import VersionedStore
+from changeflow.specs import DELETED_AT, FIELD_LSN_PREFIX, FIELD_SEQ_PREFIX, TableSpec
+
+
+def batch_metrics(batch: DataFrame, tables: list[str], after: int | None) -> dict:
+    """A2, A3, A5: what a batch holds, in one small row: records read, those the envelope rejects, changes to
+    apply, the high-water position and the commit times of the first and last change."""
+    dml = ~F.col("_corrupt") & F.col("action").isin(*DML_ACTIONS)
+    due = dml & F.col("table").isin(tables) & (F.lit(True) if after is None else F.col("lsn") > F.lit(after))
+    unknown = F.col("_corrupt") | (dml & ~F.coalesce(F.col("table").isin(tables), F.lit(False)))
+    r = batch.agg(F.count(F.lit(1)).alias("read"), F.count_if(unknown).alias("envelope"), F.count_if(due).alias("due"),
+                  F.max(F.when(dml, F.col("lsn"))).alias("max_lsn"), canonical_ts(F.min(F.when(due, F.col("commit_ts")))).alias("first_commit"),
+                  canonical_ts(F.max_by("commit_ts", F.when(due & F.col("commit_ts").isNotNull(), F.struct("lsn", "seq")))).alias("last_commit")).first()
+    return r.asDict()
+
+
+def batch_drift(batch: DataFrame, registered: dict) -> dict:
+    """T-8: unregistered columns of the tables in this batch with their first position; as many rows as columns."""
+    known = F.lit(False)
+    for table, cols in registered.items():
+        known = known | ((F.col("table") == table) & F.col("column").isin(list(cols)))
+    new = feed_columns(batch).where(F.col("table").isin(list(registered)) & ~known)
+    out: dict = {}
+    for r in new.groupBy("table", "column").agg(F.min("lsn").alias("lsn")).collect():
+        out.setdefault(r["table"], {})[r["column"]] = r["lsn"]
+    return out
+
+
+def batch_handler(store: VersionedStore, names: list[str], stream: str, mode: str = "field"):
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch_id <= store.last_batch_id():
+        begun = time.time()
+        if batch_id <= store.batch_of(stream):
             return
         ensure_utc(batch.sparkSession)
-        # a trigger of a few small files arrives as a few partitions: spread it
-        batch = spread(batch).persist()
+        rec = store.record() or {}
+        specs = {n: store.spec(n) for n in names}
+        missing = [n for n, s in specs.items() if s is None]
+        if missing:
+            raise ValueError(f"not in the registry: {', '.join(missing)}; load a snapshot or register them")
+        after = (rec.get("snapshot") or {}).get("lsn")
+        batch = batch.persist()
+        kept = [batch]
         try:
-            rec = store.record() or {}
-            snap = rec.get("snapshot") or {}
-            if snap.get("lsn") is not None:
-                batch_ops_src = batch.where(F.col("lsn") > F.lit(snap["lsn"]))
-            else:
-                batch_ops_src = batch
-            meta = batch_metrics(batch)
-            folded = {}
-            for spec in specs:
-                tracked = store.tracked(spec.name) or spec.column_names
-                fields = spec_fields(spec, tracked)
-                ops = to_ops(batch_ops_src, spec, tracked)
-                folded[spec.name] = (fo.coalesce(ops, fields), fields, tracked)
-            store.apply_batch(batch_id, folded, meta, mode=mode)
+            m = batch_metrics(batch, names, after)
+            due = batch if after is None else batch.where(F.col("lsn") > F.lit(after))
+            folded, rejects, n_bad = {}, envelope_rejects(batch, names), 0
+            for name, spec in specs.items():
+                staged = stage_ops(due, spec).persist()
+                kept.append(staged)
+                ops, bad = split_staged(staged, name)
+                folded[name] = (fo.coalesce(ops, spec.fields), spec.fields)
+                rejects = rejects.unionByName(bad)
+                n_bad += staged.where(F.size("_bad") > 0).count()
+            rejected = m["envelope"] + n_bad
+            meta = {"read": m["read"], "rejected": rejected, "written": m["due"] - n_bad, "skipped": m["read"] - m["due"] - m["envelope"],
+                    "max_lsn": m["max_lsn"], "first_commit": m["first_commit"], "last_commit": m["last_commit"], "seconds": time.time() - begun}
+            drift = batch_drift(batch, {n: s.column_names for n, s in specs.items()})
+            store.apply_batch(stream, batch_id, folded, meta, rejects, drift, mode=mode)
         finally:
-            batch.unpersist()
+            for df in kept:
+                df.unpersist()
     return handle
 
 
 def initialise(store: VersionedStore, sources: dict, specs, l0: int) -> bool:
-    """T-7: load the snapshot as version 0 unless a completed one is recorded.
-
-    Returns True when a snapshot was (re)loaded.
-    """
-    rec = store.record()
-    if rec and (rec.get("snapshot") or {}).get("done"):
+    """T-7: load the snapshot as the first version unless a completed one is recorded whose position the stream
+    has not passed. Returns True when a snapshot was loaded; its row counts are in the record."""
+    snap = (store.record() or {}).get("snapshot") or {}
+    if snap.get("done") and snap.get("lsn") is not None:
         return False
-    tables, counts = {}, {}
-    for spec in specs:
-        st = snapshot_state(sources[spec.name], spec, l0)
-        tables[spec.name] = (st, spec.fields, spec.column_names)
-    version = store.replace(tables, meta={"snapshot": {"done": True, "lsn": l0},
-                                          "applied_lsn": l0}, batch_id=-1)
-    for spec in specs:
-        counts[spec.name] = store.read(spec.name, version).count()
+    states = {s.name: snapshot_state(sources[s.name], s, l0) for s in specs}
+    store.replace(states, specs, meta={"snapshot": {"done": True, "lsn": l0}})
     return True
 
 
+def position_valid(store: VersionedStore, oldest: int | None) -> bool:
+    """T-7: whether a feed that reaches back to position ``oldest`` still follows on what is applied; if not, the
+    changes between are lost and the tables need :func:`resnapshot`."""
+    applied = (store.record() or {}).get("applied_lsn")
+    return applied is not None and (oldest is None or oldest <= applied + 1)
+
+
 def resnapshot(store: VersionedStore, sources: dict, specs, l0: int,
-               vanished_deleted_at: str | None = None) -> int:
+               vanished_deleted_at: str | None = None) -> dict:
     """T-7 redo (position lost): replace every table with a fresh snapshot at ``l0``.
 
-    By default keys that vanished from the source since the last state disappear
-    (Q9). With ``vanished_deleted_at`` (a UTC timestamp text) they are kept as
-    tombstones instead: stored rows whose key is absent from the new snapshot
-    (left anti join on the key) get that deletion time at position ``l0``.
+    By default keys that vanished from the source since the last state disappear (Q9). With
+    ``vanished_deleted_at`` (a UTC timestamp text) they are kept as tombstones instead: live rows whose
+    key is absent from the new snapshot get that deletion time at position ``l0``; rows deleted before keep theirs.
     """
-    tables = {}
+    states = {}
     for spec in specs:
         st = snapshot_state(sources[spec.name], spec, l0)
         old = store.read(spec.name)
         if vanished_deleted_at is not None and old is not None:
-            gone = (old.join(st.select("pk"), "pk", "left_anti")
-                       .withColumn(DELETED_AT, F.lit(vanished_deleted_at).cast("timestamp"))
-                       .withColumn(FIELD_LSN_PREFIX + DELETED_AT, F.lit(l0).cast("bigint")))
+            alive = F.col(DELETED_AT).isNull()
+            gone = old.join(st.select("pk"), "pk", "left_anti")
+            gone = (gone.withColumn(FIELD_LSN_PREFIX + DELETED_AT, F.when(alive, F.lit(l0)).otherwise(F.col(FIELD_LSN_PREFIX + DELETED_AT)))
+                    .withColumn(FIELD_SEQ_PREFIX + DELETED_AT, F.when(alive, F.lit(fo.LAST_SEQ)).otherwise(F.col(FIELD_SEQ_PREFIX + DELETED_AT)))
+                    .withColumn(DELETED_AT, F.coalesce(F.col(DELETED_AT), F.lit(vanished_deleted_at).cast("timestamp"))))
+            for c in [c for c in st.columns if c not in gone.columns]:
+                gone = gone.withColumn(c, F.lit(None).cast(st.schema[c].dataType))
             st = st.unionByName(gone.select(*st.columns))
-        tables[spec.name] = (st, spec.fields, spec.column_names)
-    return store.replace(tables, meta={"snapshot": {"done": True, "lsn": l0}, "applied_lsn": l0})
+        states[spec.name] = st
+    return store.replace(states, specs, meta={"snapshot": {"done": True, "lsn": l0}})
 
 
 def run_stream(spark: SparkSession, feed_path: str, store: VersionedStore, specs,
-               checkpoint: str | None = None, max_files_per_trigger: int | None = 1,
+               checkpoint: str | None = None, max_files_per_trigger: int | None = None,
                available_now: bool = True, processing_time: str = "500 milliseconds",
-               mode: str = "field"):
-    """Start (and for ``available_now`` drain to completion) the change stream."""
+               mode: str = "field", max_bytes_per_trigger: str | None = None):
+    """Start (and for ``available_now`` drain to completion) the change stream. Tables the registry does not know
+    are registered first. A batch is bounded by bytes or files (T-2)."""
     ensure_utc(spark)
     ckpt = checkpoint or fresh_dir(spark, "checkpoint")
-    feed = read_feed_stream(spark, feed_path, max_files_per_trigger)
-    writer = (feed.writeStream.foreachBatch(batch_handler(store, specs, mode))
+    store.register(specs)
+    feed = read_feed_stream(spark, feed_path, max_files_per_trigger, max_bytes_per_trigger)
+    writer = (feed.writeStream.foreachBatch(batch_handler(store, [s.name for s in specs], ckpt, mode))
               .option("checkpointLocation", ckpt))
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime=processing_time)
@@ -131,38 +157,27 @@ def drain_and_stop(query) -> None:
     query.stop()
 
 
-def schema_sync(store: VersionedStore, live: TableSpec) -> dict:
-    """T-10 / X1 on the store: align the registry of ``live.name`` with the live
-    column list. Added columns are backfilled with NULL in a new version; removed
-    columns leave the new version (older versions keep them). Idempotent: with
-    nothing to change no version is written. The running stream picks the new
-    registry up at its next micro-batch (T-9).
+def schema_sync(store: VersionedStore, live: TableSpec, source: DataFrame | None = None) -> DataFrame:
+    """T-10 / X1 on the store: align the registry with the live table (``source``'s column metadata, S4, or the
+    spec) and return what changed as (table, column, change). The store's files stay as they are; a running
+    stream picks the new registry up with its next batch (T-9). With nothing to change no version is written.
     """
-    tracked = store.tracked(live.name) or []
-    cols = live.column_names
-    added = [c for c in cols if c not in tracked]
-    removed = [c for c in tracked if c not in cols]
-    if not added and not removed:
-        return {"table": live.name, "added": [], "removed": [], "version": None}
-    state = store.read(live.name)
-    fields = [c for c in live.fields]
-    if state is None:
-        raise ValueError(f"{live.name}: nothing stored yet; load a snapshot or stream first")
-    state = backfill(state, [(c, live.spark_type(c).simpleString()) for c in added if c != live.pk])
-    version = store.replace({live.name: (state.select(*fo.target_columns(fields)), fields, cols)})
-    return {"table": live.name, "added": added, "removed": removed, "version": version}
+    spark = store.spark
+    if source is not None:
+        names = [r["column"] for r in live_columns(source, live.name).orderBy("ordinal").collect()]
+        live = TableSpec(live.name, live.pk, tuple((c, source.schema[c].dataType.simpleString()) for c in names))
+    diff = schema_diff(registry_frame(spark, {live.name: live.column_names}),
+                       registry_frame(spark, {live.name: store.tracked(live.name) or []}))
+    rows = [tuple(r) for r in diff.collect()]                       # a row for each changed column
+    store.sync_columns(live)
+    return spark.createDataFrame(rows, diff.schema)
 
 
 def store_status(store: VersionedStore, feed: DataFrame | None = None) -> DataFrame:
-    """T-14: applied position, backlog to the feed head and committed versions."""
-    spark = store.spark
+    """T-14: applied position, backlog to the feed's head, versions and the rows the snapshot loaded."""
     rec = store.record() or {}
-    applied = rec.get("applied_lsn")
-    base = spark.createDataFrame([(applied, len(store.versions()), rec.get("batch_id"))],
-                                 "applied_lsn bigint, versions int, batch_id bigint")
-    if feed is None:
-        return base.withColumn("backlog", F.lit(None).cast("bigint"))
-    head = feed.agg(F.max("lsn").alias("_head"))
-    return attach(base, head).select(
-        "applied_lsn", "versions", "batch_id",
-        backlog(F.col("_head"), F.col("applied_lsn")).alias("backlog"))
+    counts = (rec.get("snapshot") or {}).get("counts") or {}
+    base = store.spark.createDataFrame([(rec.get("applied_lsn"), (rec.get("version", -1)) + 1, sum(counts.values()))],
+                                       "applied_lsn bigint, versions int, snapshot_rows bigint")
+    head = F.lit(None).cast("bigint") if feed is None else feed.agg(F.max("lsn")).scalar()
+    return base.withColumn("backlog", backlog(head, F.col("applied_lsn")) if feed is not None else head)
