@@ -8,10 +8,9 @@ by substring, first match wins, and renders a canonical value:
     boolean    't'/'true'/'1' -> true   integer    64-bit integer
     text       string form of the value (everything else)
 
-``canonical_text`` gives the canonical value as STRING (used by the generic MAP
-form of ops); ``typed_value`` gives a value of a declared Spark type (used by the
-wide, typed form). Failing coercions yield NULL and are reported by
-:func:`coercion_failed` so callers can route the row to a rejects output.
+``canonical_text`` gives the canonical value as STRING (used by the generic long
+form of ops); ``typed_from_text`` gives a value of a declared Spark type (used by the
+wide, typed form). Failing coercions yield NULL; the row goes to the rejects.
 """
 
 from __future__ import annotations
@@ -108,15 +107,6 @@ def typed_from_text(s: Column, dt: T.DataType) -> Column:
     return _try_cast(F.trim(s), dt.simpleString())
 
 
-def typed_value(v: Column, dt: T.DataType) -> Column:
-    """VARIANT value -> declared Spark type (NULL when it does not coerce)."""
-    return typed_from_text(variant_text(v), dt)
-
-
-def coercion_failed(v: Column, typed: Column) -> Column:
-    return ~variant_is_null(v) & typed.isNull()
-
-
 def canonical_of_typed(c: Column, dt: T.DataType) -> Column:
     """Canonical text of an already-typed column (snapshot path, reports)."""
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):

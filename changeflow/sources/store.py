@@ -206,10 +206,13 @@ class VersionedStore:
                 schema.add(prefix + c, T.LongType())
         schema.add(BUCKET_COL, T.IntegerType())
         df = self.spark.read.schema(schema).parquet(layer["path"])
+        known = set(layer.get("known", layer["columns"]))
         for c, ddl in t["fields"]:
             if c not in have:
-                df = (df.withColumn(c, F.lit(None).cast(ddl)).withColumn(FIELD_LSN_PREFIX + c, F.col(ROW_LSN))
-                      .withColumn(FIELD_SEQ_PREFIX + c, F.lit(fo.LAST_SEQ)))
+                # synced after this layer: NULL at the row's place; known but not tracked then: not set here
+                lsn, seq = (F.lit(None), F.lit(None)) if c in known else (F.col(ROW_LSN), F.lit(fo.LAST_SEQ))
+                df = (df.withColumn(c, F.lit(None).cast(ddl)).withColumn(FIELD_LSN_PREFIX + c, lsn.cast("bigint"))
+                      .withColumn(FIELD_SEQ_PREFIX + c, seq.cast("bigint")))
         return df
 
     def _state(self, t: dict, layers: list[dict], keys=None) -> DataFrame:
@@ -308,7 +311,8 @@ class VersionedStore:
                 return None
             for n, layer in layers.items():
                 if layer["rows"]:
-                    rec["tables"][n]["deltas"].append(layer)
+                    t = rec["tables"][n]
+                    t["deltas"].append(layer | {"known": [c for c, _ in t["fields"]]})
             return self._advance(rec, stream, batch_id, meta) | {"rejects": bad, "drift": self._drifted(rec, drift)}
         rec = self.commit(change)
         for n in layers:

@@ -5,7 +5,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from changeflow.operators.images import previous_by_key
-from changeflow.operators.reports import running_max
 from changeflow.plans import feeds as fd
 
 SF = "/root/testdata/sf0.001"
@@ -25,11 +24,3 @@ def test_previous_by_key_matches_lag_across_blocks(spark):
             .select("event_id", F.col("prev_event_type").alias("p"), F.col("prev_event_id").alias("pe"))
         assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
 
-
-def test_running_max_matches_window_across_blocks(spark):
-    per = _events(spark).groupBy(F.floor(F.col("event_id") / 10).alias("b")) \
-        .agg(F.max("value").alias("m"))
-    w = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
-    expected = per.select("b", F.max("m").over(w).alias("running_max"))
-    got = running_max(per, "b", "m", block=3).select("b", "running_max")
-    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0

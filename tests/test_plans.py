@@ -36,3 +36,29 @@ def test_scan_reads_only_needed_columns(spark):
     li = fd.table(spark, SF, "lineitem", ["l_orderkey"])
     text = li._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_orderkey:bigint>" in text
+
+
+def test_no_nested_loop_join_and_one_parse_in_the_reports(spark):
+    from changeflow.plans import queries as q
+    for name, parses in (("op_mix", 1), ("backlog", 1), ("lag_report", 1), ("batch_highwater", 1)):
+        df = q.QUERIES[name](spark, SF)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") <= 2 * parses
+    for name in ("convergence", "status"):
+        assert "NestedLoop" not in _plan(q.QUERIES[name](spark, SF))
+
+
+def test_delta_merge_is_one_shuffle(spark):
+    from changeflow.session import fresh_dir
+    from changeflow.sources.store import VersionedStore
+    from changeflow.streaming.stream import initialise
+    store = VersionedStore(spark, fresh_dir(spark, "plan-store"), buckets=4)
+    initialise(store, {TPCH_ORDERS.name: fd.orders_source(spark, SF)}, [TPCH_ORDERS], fd.L0)
+    ops = to_ops(parse_feed(fd.land(fd.feed_o(spark, SF), "plan-m")), TPCH_ORDERS)
+    store.apply_batch("s", 0, {TPCH_ORDERS.name: (fo.coalesce(ops, TPCH_ORDERS.fields), TPCH_ORDERS.fields)}, {"max_lsn": 1})
+    df = store.read(TPCH_ORDERS.name)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("Exchange hashpartitioning") == 1 and "Join" not in final
