@@ -36,11 +36,10 @@ def feed_columns(feed: DataFrame) -> DataFrame:
 def schema_diff(live: DataFrame, tracked: DataFrame) -> DataFrame:
     """added = live - tracked, removed = tracked - live, per (table, column)."""
     keys = ["table", "column"]
-    lk = live.select(*keys).distinct()
-    tk = tracked.select(*keys).distinct()
-    added = lk.join(tk, keys, "left_anti").withColumn("change", F.lit("added"))
-    removed = tk.join(lk, keys, "left_anti").withColumn("change", F.lit("removed"))
-    return added.unionByName(removed)
+    flagged = lambda df, here, there: df.select(*keys, F.lit(True).alias(here), F.lit(False).alias(there))
+    both = flagged(live, "live", "known").unionByName(flagged(tracked, "known", "live"))
+    seen = both.groupBy(*keys).agg(F.bool_or("live").alias("live"), F.bool_or("known").alias("known"))
+    return seen.where("live <> known").select(*keys, F.when(F.col("live"), "added").otherwise("removed").alias("change"))
 
 
 def drift(feed: DataFrame, registry: DataFrame) -> DataFrame:

@@ -50,7 +50,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None
     return df
 
 
-def land(feed: DataFrame, name: str, files: int | None = None) -> DataFrame:
+def land(feed: DataFrame, name: str) -> DataFrame:
     """Land a derived feed as JSON-lines files in the shared folder; read it back.
 
     Feeds reach the engine as files (or a message bus), never as an expression
@@ -63,6 +63,13 @@ def land(feed: DataFrame, name: str, files: int | None = None) -> DataFrame:
     return spark.read.text(path)
 
 
+def land_rows(df: DataFrame, name: str) -> DataFrame:
+    """Land typed rows (parsed changes that several steps read) as parquet, so that the feed is parsed once."""
+    path = fresh_dir(df.sparkSession, f"rows-{name}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _user_img(df: DataFrame) -> DataFrame:
     return df.select(
         "event_id", "ts", "user_id", "event_type",
@@ -104,6 +111,12 @@ def feed_u(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _u_record(events_ops_frame(spark, sf_dir))
 
 
+def feed_s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed U keyed by sessions of three events: some keys are deleted, most live."""
+    e = events_ops_frame(spark, sf_dir)
+    return _u_record(e.withColumn("user_id", F.expr("event_id div 3")))
+
+
 def feed_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _u_record(events_ops_frame(spark, sf_dir), null_status=True)
 

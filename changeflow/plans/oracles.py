@@ -326,6 +326,7 @@ ORACLES = {
     "user_state": USER_STATE,
     "user_live": _live(USER_STATE, "deleted_at IS NULL"),
     "user_tombstones": _live(USER_STATE, "deleted_at IS NOT NULL"),
+    "session_live": _live(_user_fold(src="(SELECT * REPLACE (event_id // 3 AS user_id) FROM events)"), "deleted_at IS NULL"),
     "orders_live": _live(ORDERS_FIELD, "deleted_at IS NULL"),
     "user_nulls": USER_NULLS,
     "user_state_images": USER_STATE_IMAGES,

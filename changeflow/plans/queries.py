@@ -98,6 +98,12 @@ def user_live(spark, sf_dir):
     return render(fo.live(users_state(fd.land(fd.feed_u(spark, sf_dir), "u"))), USERS)
 
 
+def session_live(spark, sf_dir):
+    """P10 on keys of which some are deleted and some live (feed S)."""
+    ensure_utc(spark)
+    return render(fo.live(users_state(fd.land(fd.feed_s(spark, sf_dir), "s"))), USERS)
+
+
 def orders_live(spark, sf_dir):
     """P10 on the orders target: snapshot plus changes, rows without a tombstone."""
     ensure_utc(spark)
@@ -312,7 +318,7 @@ def snapshot_counts(spark, sf_dir):
 def _reverse_batches(spark, sf_dir, mode: str) -> DataFrame:
     """Apply the O changes in descending position batches (inserts, deletes,
     updates, stale) to the snapshot."""
-    ops = orders_ops(spark, sf_dir)
+    ops = fd.land_rows(orders_ops(spark, sf_dir), "o")
     state = orders_snapshot(spark, sf_dir)
     for lo, hi in ((fd.POS_INSERT, None), (fd.POS_DELETE, fd.POS_INSERT),
                    (fd.POS_UPDATE, fd.POS_DELETE), (None, fd.L0)):
@@ -635,6 +641,7 @@ QUERIES = {
     "user_state": user_state,
     "user_live": user_live,
     "user_tombstones": user_tombstones,
+    "session_live": session_live,
     "orders_live": orders_live,
     "user_nulls": user_nulls,
     "user_state_images": user_state_images,
