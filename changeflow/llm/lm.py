@@ -43,7 +43,7 @@ from changeflow.llm.common import cut
 ALPHA, LEAST, TOP, SHARE = 0.4, 2, 65_000, 2_000_000
 _RARE, _SAME, _END, _START = 0xFFFF, 0xFFFE, 0xFFFD, 0xFFFC       # codes above those of the top words
 _NO_ID = -(1 << 63)                                             # stands for a null doc_id
-_PART = 8_000_000                                               # bytes of text worked on at once
+_PART = 4_000_000                                               # bytes of text worked on at once
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
