@@ -329,7 +329,8 @@ class VersionedStore:
         """Unregistered columns seen so far, each with its first position: reported once."""
         seen = rec.get("drift") or {}
         for table, cols in (drift or {}).items():
-            seen[table] = cols | seen.get(table, {})
+            old = seen.get(table, {})
+            seen[table] = old | {c: min(lsn, old.get(c, lsn)) for c, lsn in cols.items()}
         return seen
 
     def _apply_rows(self, stream, batch_id, folded, meta):
