@@ -5,7 +5,8 @@ slides; the Shannon entropy of the characters in it is kept by incremental count
 character in, one out). A window is judged by its character class (hexadecimal, or the
 larger key alphabet), and only if it mixes letters and digits as keys do. Windows over the
 threshold are joined to spans. An allow-list suppresses what is known to be
-harmless (UUIDs, dates, paths, example keys). Spans of the fixed patterns always stay; the
+harmless (UUIDs, dates, paths, example keys); its patterns have one way to match a
+string, so long strings take linear time. Spans of the fixed patterns always stay; the
 entropy adds spans only where none of those lies.
 
 Whole texts are scanned; nulls and empty texts have no spans. A text is one task's row,
@@ -17,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,7 +39,7 @@ THRESHOLD = {"hex": 2.9, "key": 3.6}
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % WINDOW)
 ALLOW = (
     re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"),   # UUID
-    re.compile(r"[A-Za-z0-9_-]+(/[A-Za-z0-9_-]*[a-z_-]{3}[A-Za-z0-9_-]*)+/?"),                       # path of words
+    re.compile(r"[A-Za-z0-9_-]++(?:/(?=[A-Za-z0-9_-]*[a-z_-]{3})[A-Za-z0-9_-]++)+/?"),          # path of words
     re.compile(r"(?i).*(example|sample|test|dummy|placeholder).*"),                                # said to be none
 )
 _HEX_CHARS = frozenset("0123456789abcdefABCDEF")
@@ -83,6 +85,18 @@ def hot_windows(s: str, width: int = WINDOW, threshold: dict[str, float] = THRES
 def entropy_spans(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Spans of joined hot windows that touch no span of ``taken`` and no allowed string."""
     out = []
+    starts, ends = [], []                   # the taken spans, overlapping ones joined
+    for a, b, _ in sorted(taken):
+        if starts and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+
+    def free(a: int, b: int) -> bool:
+        i = bisect_left(starts, b)
+        return i == 0 or ends[i - 1] <= a
+
     for m in CANDIDATE.finditer(text):
         s = m.group()
         if not any(c.isdigit() for c in s) or any(a.fullmatch(s) for a in ALLOW):
@@ -94,7 +108,7 @@ def entropy_spans(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[in
                 spans[-1][1] = b
             else:
                 spans.append([a, b])
-        out += [(a, b, "entropy") for a, b in spans if not any(a < e and x < b for x, e, _ in taken)]
+        out += [(a, b, "entropy") for a, b in spans if free(a, b)]
     return out
 
 

@@ -270,6 +270,27 @@ def test_added_and_allowed():
         assert secrets.scan(text)[1] == []
 
 
+def test_long_strings_take_linear_time():
+    """Paths that end in another key character once took a time exponential in their steps, and many
+    secrets in one text a quadratic one."""
+    path = "v1" + "/abcdefg" * 2000
+    assert secrets.ALLOW[1].fullmatch(path) and not secrets.ALLOW[1].fullmatch(path + "+") and not secrets.ALLOW[1].fullmatch(path + "/X1")
+    assert secrets.scan(path + "+x")[0] == []
+    key, hexa = "aB3xQ9zLp0RtY7uKw2Vn5", "0123456789abcdef" * 2
+    base, every = secrets.scan(f"{key} {hexa} " * 20_000)
+    assert len(base) == 20_000 and len(every) == 40_000
+
+
+def test_entropy_touches_no_base_span():
+    rng = np.random.default_rng(3)
+    parts = ["token=", "aB3xQ9zLp0RtY7uKw2Vn5", " ", "0123456789abcdef" * 2, "/", "AKIA" + "Z9" * 9, "word", "\n"]
+    for _ in range(300):
+        text = "".join(parts[i] for i in rng.integers(0, len(parts), 12))
+        base, every = secrets.scan(text)
+        free = secrets.entropy_spans(text, [])
+        assert sorted(x for x in every if x[2] == "entropy") == [(a, b, k) for a, b, k in free if not any(a < e and s < b for s, e, _ in base)]
+
+
 # --- chat -----------------------------------------------------------------------------
 
 def test_roles_are_recovered(spark):
