@@ -10,6 +10,7 @@ Scale: a conversation of any length is decoded in spans of ``SPAN`` lines. A spa
 by a matrix of best path scores from each state before it to each state at its end; those are
 combined ``FAN`` at a time, level by level, and the best states handed down again, so no task
 holds more than a span or ``FAN`` matrices of a conversation, and the path is the exact one.
+:func:`transcript_lines` numbers lines without gaps or equal places, so its spans are ``SPAN`` lines.
 
 Defined cases: a null line is an empty one; a null conversation id is a conversation of
 its own; lines at equal places are in order of their text; an empty table gives an empty
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from changeflow.llm.common import cut
@@ -78,15 +79,16 @@ def learn(lines: DataFrame) -> Hmm:
     """Count over all labelled ``lines``: (turn_key, prev_role, role, begins, line)."""
     code = F.coalesce(*[F.when(F.col("role") == r, F.lit(i)) for i, r in enumerate(ROLES)])
     emits, moves = np.zeros((S, SEEN)), np.zeros((S + 1, S))
-    known = lines.withColumn("r", code).where("r is not null")
-    for x in known.groupBy("r", "begins", observed(F.col("line")).alias("o")).agg(F.count(F.lit(1)).alias("n")).collect():
-        emits[STATES.index((x["r"], int(x["begins"]))), x["o"]] += x["n"]
     before = F.when(F.col("begins") & F.col("prev_role").isNull(), F.lit(START)).otherwise(
         F.coalesce(*[F.when(F.col("prev_role") == r, F.lit(2 * i) + F.when(F.col("prev_one"), 0).otherwise(1))
                      for i, r in enumerate(ROLES)]))
-    rows = known.select("r", "begins", before.alias("b")).where("b is not null").groupBy("r", "begins", "b")
-    for x in rows.agg(F.count(F.lit(1)).alias("n")).collect():
-        moves[x["b"], STATES.index((x["r"], int(x["begins"])))] += x["n"]
+    known = lines.select(code.alias("r"), "begins", before.alias("b"), observed(F.col("line")).alias("o")).where("r is not null")
+    # S * SEEN * (S + 2) rows at most
+    for x in known.groupBy("r", "begins", "b", "o").agg(F.count(F.lit(1)).alias("n")).collect():
+        state = STATES.index((x["r"], int(x["begins"])))
+        emits[state, x["o"]] += x["n"]
+        if x["b"] is not None:
+            moves[x["b"], state] += x["n"]
     return Hmm(emits, moves)
 
 
@@ -248,12 +250,31 @@ def render(decoded: DataFrame) -> DataFrame:
 
 # --- transcripts of the conversations table -----------------------------------------------
 
-STEP = 64       # lines of a turn take places turn * STEP on; longer turns share the last place
+BUCKETS, TURNS = 64, 256    # rows of one turn are numbered in buckets, turns in blocks
+
+
+def places(turns: DataFrame) -> DataFrame:
+    """(conv, turn, bucket, base, p): the place of a bucket's first line in its transcript, and the turn before.
+
+    Line counts are summed in blocks of ``TURNS`` turns and over one row for each block, so no window
+    holds a whole transcript.
+    """
+    before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    per = (turns.groupBy("conv", "turn", "bucket").agg(F.sum("n").alias("n"), F.max(F.struct("role", "one")).alias("p"))
+           .withColumn("block", F.floor(F.col("turn") / F.lit(TURNS))))
+    blocks = (per.groupBy("conv", "block").agg(F.sum("n").alias("n"))
+              .select("conv", "block", before(Window.partitionBy("conv").orderBy("block")).alias("start")))
+    last = per.groupBy("conv", (F.col("turn") + 1).alias("turn")).agg(F.max("p").alias("p"))
+    inside = before(Window.partitionBy("conv", "block").orderBy("turn", "bucket"))
+    return (per.select("conv", "block", "turn", "bucket", inside.alias("inside")).join(blocks, ["conv", "block"])
+            .join(last, ["conv", "turn"], "left")
+            .select("conv", "turn", "bucket", (F.col("start") + F.col("inside")).alias("base"), "p"))
 
 
 def transcript_lines(conversations: DataFrame) -> DataFrame:
     """Plain transcripts of ``conversations`` (conv_id, turn, role, text), a row for each line: (conv_id, turn,
-    pos, line, role, begins, prev_role, prev_one). Each turn's first line gets one of its role's
+    pos, line, role, begins, prev_role, prev_one). Lines are numbered from 0 on without gaps; rows that share a
+    turn follow each other by a hash of their text, then by it. Each turn's first line gets one of its role's
     speaker marks, or "-", or none, by a hash of its place; later lines have none."""
     marks = {"system": ["System: ", "Instructions: ", "[system] "], "user": ["User: ", "Human: ", "Q: ", "[user] "],
              "assistant": ["Assistant: ", "AI: ", "A: ", "[assistant] "]}
@@ -262,16 +283,19 @@ def transcript_lines(conversations: DataFrame) -> DataFrame:
     said = F.when(pick < 3, F.lit("")).when(pick < 5, F.lit("- "))
     for role, all_ in marks.items():
         said = said.when(F.col("role") == role, F.element_at(F.array(*[F.lit(m) for m in all_]), style % len(all_) + 1))
-    turns = conversations.select("conv_id", F.coalesce(F.col("turn").cast("long"), F.lit(0)).alias("turn"), "role",
-                                 F.coalesce("text", F.lit("")).alias("text"))
-    before = turns.select(F.col("conv_id").alias("c"), (F.col("turn") + 1).alias("t"), F.col("role").alias("prev_role"),
-                          (~F.col("text").contains("\n")).alias("prev_one"))
-    before = before.groupBy("c", "t").agg(F.max(F.struct("prev_role", "prev_one")).alias("p")).select("c", "t", "p.*")
-    turns = turns.withColumn("said", said.otherwise(F.lit(""))).join(
-        before, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("turn") == F.col("t")), "left").drop("c", "t")
-    lines = turns.select("*", F.posexplode(F.split("text", "\n")).alias("no", "one"))
+    n = F.size(F.split("text", "\n"))
+    # a struct as key: null ids are equal, and the window and the join below share one shuffle
+    turns = (conversations.select(F.struct("conv_id").alias("conv"), F.coalesce(F.col("turn").cast("long"), F.lit(0)).alias("turn"),
+                                  "role", F.coalesce("text", F.lit("")).alias("text"))
+             .select("*", n.alias("n"), (n == 1).alias("one"), F.pmod(F.xxhash64("text", "role"), F.lit(BUCKETS)).alias("bucket")))
+    rows = Window.partitionBy("conv", "turn", "bucket").orderBy("text", "role").rowsBetween(Window.unboundedPreceding, -1)
+    placed = (turns.withColumn("ahead", F.coalesce(F.sum("n").over(rows), F.lit(0))).join(places(turns), ["conv", "turn", "bucket"])
+              .select("conv.conv_id", "turn", "role", "text", (F.col("base") + F.col("ahead")).alias("first"),
+                      F.col("p.role").alias("prev_role"), F.col("p.one").alias("prev_one"))
+              .withColumn("said", said.otherwise(F.lit(""))))
+    lines = placed.select("*", F.posexplode(F.split("text", "\n")).alias("no", "one"))
     begins = F.col("no") == 0
-    return lines.select("conv_id", "turn", (F.col("turn") * STEP + F.least(F.col("no"), F.lit(STEP - 1))).alias("pos"),
+    return lines.select("conv_id", "turn", (F.col("first") + F.col("no")).alias("pos"),
                         F.when(begins, F.concat("said", "one")).otherwise(F.col("one")).alias("line"), "role", begins.alias("begins"),
                         F.when(begins, F.col("prev_role")).otherwise(F.col("role")).alias("prev_role"),
                         F.when(begins, F.col("prev_one")).otherwise(F.col("no") == 1).alias("prev_one"))

@@ -302,6 +302,28 @@ def test_roles_are_recovered(spark):
     assert np.mean([r["role_pred"] == truth[r["conv_id"], r["pos"]][0] for r in held]) > 0.9
 
 
+def test_lines_keep_their_order(spark):
+    """Every line has a place of its own; long turns, many turns and repeated turns keep their lines together."""
+    rng = np.random.default_rng(8)
+    long_turn = "\n".join(f"line {i}" for i in rng.permutation(500))
+    have = [(1, 3, "user", "hello\nthere"), (1, 4, "assistant", long_turn), (1, 5, "user", "a\nb"), (1, 5, "user", "c\nd"), (1, 5, "user", "c\nd"),
+            (1, 700, "assistant", "bye"), (None, 0, "user", "x\ny"), (None, None, "user", "z")]
+    have += [(2, int(t), ("user", "assistant")[t % 2], f"{t}\nmore {t}") for t in rng.permutation(600)]
+    lines = chat.transcript_lines(spark.createDataFrame(have, "conv_id long, turn long, role string, text string").repartition(5)).collect()
+    by = defaultdict(list)
+    for r in sorted(lines, key=lambda r: r["pos"]):
+        by[r["conv_id"]].append(r)
+    for conv, got in by.items():
+        assert [r["pos"] for r in got] == list(range(len(got)))
+        assert [r["turn"] for r in got] == sorted(r["turn"] for r in got)
+    bare = lambda r: re.sub(chat._PATTERN, "", r["line"]) if r["begins"] else r["line"]
+    assert [bare(r) for r in by[1]][:502] == ["hello", "there"] + long_turn.split("\n")
+    assert sorted(bare(a) + bare(b) for a, b in zip(by[1][502:508:2], by[1][503:508:2], strict=True)) == ["ab", "cd", "cd"]
+    assert [bare(r) for r in by[2]] == [x for t in range(600) for x in (str(t), f"more {t}")]
+    before = {(r["conv_id"], r["turn"]): (r["prev_role"], r["prev_one"]) for r in lines if r["begins"]}
+    assert before[1, 3] == before[1, 700] == (None, None) and before[1, 5] == ("assistant", False) and before[1, 4] == ("user", False)
+
+
 def test_viterbi_in_spans_is_the_plain_one(spark):
     rng = np.random.default_rng(5)
     hmm = chat.Hmm(rng.integers(0, 50, (chat.S, chat.SEEN)), rng.integers(0, 50, (chat.S + 1, chat.S)))
