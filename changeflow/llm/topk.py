@@ -104,8 +104,8 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10, scale: int = SCALE)
     n, m = all_.count(), asked.count()
     blocks, chunks = max(1, math.ceil(n / BLOCK)), max(1, math.ceil(m / CHUNK))
     deal = lambda c, parts: F.pmod(F.xxhash64(c), F.lit(parts)).cast("int")
-    row = F.xxhash64("vec_id", "v")
-    left = all_.withColumn("block", F.pmod(row, F.lit(blocks)).cast("int")).withColumn(
+    # by place in the written files, so that repeated rows spread over the blocks
+    left = all_.withColumn("block", deal(F.monotonically_increasing_id(), blocks)).withColumn(
         "chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
     right = asked.withColumn("chunk", deal("vec_id", chunks)).withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
