@@ -230,8 +230,9 @@ def training_sample(docs: DataFrame, where: Column, sample: int = SAMPLE, window
     """About ``sample`` (text, lang) windows of the rows that hold ``where``, an equal share for each language.
 
     Counting reads (doc_id, lang) only; rows are chosen by a hash threshold, so the same rows come each time.
+    A doc_id gives one window, however many rows have it; rows without one give none.
     """
-    rows = docs.where(where & F.col("lang").isNotNull())
+    rows = docs.where(where & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return []
@@ -243,8 +244,9 @@ def training_sample(docs: DataFrame, where: Column, sample: int = SAMPLE, window
     n = F.length("text")
     at = F.floor(uniform(F.lit("at"), F.col("doc_id")) * F.greatest(n - window + 1, F.lit(1))).cast("int") + 1
     got = rows.where((draw < share) & F.col("text").isNotNull()).select(
-        "doc_id", F.substring("text", at, F.lit(window)).alias("text"), "lang").collect()
-    return [(r["text"], r["lang"]) for r in sorted(got, key=lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["text"]))]
+        "doc_id", F.struct(F.substring("text", at, F.lit(window)).alias("text"), "lang").alias("w"))
+    got = got.groupBy("doc_id").agg(F.min("w").alias("w")).select("doc_id", "w.*").collect()
+    return [(r["text"], r["lang"]) for r in sorted(got, key=lambda r: r["doc_id"])]
 
 
 def held_out(doc_id: Column) -> Column:
