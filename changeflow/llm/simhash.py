@@ -199,6 +199,6 @@ def dedup(docs: DataFrame, k: int = SHINGLE, most: int = DISTANCE) -> DataFrame:
     doc_id stays (one of them, if rows repeat). Rows without doc_id stay as they are."""
     named = docs.where("doc_id is not null")
     kept = (simhash_groups(named, k, most).where("doc_id = component_id")
-            .select(F.col("doc_id").alias("_kept")).distinct())
-    one = named.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
+            .select("doc_id").distinct())
+    one = named.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return one.unionByName(docs.where("doc_id is null"))

@@ -59,7 +59,6 @@ def intervals(entries: DataFrame, period: int = PERIOD) -> DataFrame:
     key = ["kind", "value"]
     inside = Window.partitionBy(*key, "period").orderBy("at")
     over = Window.partitionBy(*key).orderBy("period")
-    whole = Window.partitionBy(*key, "period")
     runs = last.withColumn("before", F.lag("action").over(inside))
     # a row stays if the state changes there; the first of a period is judged against the period before
     ends = (last.groupBy(*key, "period").agg(F.max_by("action", "at").alias("final"))
@@ -72,13 +71,13 @@ def intervals(entries: DataFrame, period: int = PERIOD) -> DataFrame:
               .withColumn("following", F.lead("first").over(over)).select(*key, "period", "following"))
     return (changes.join(firsts, [*key, "period"])
             .withColumn("until", F.coalesce(F.lead("at").over(inside), "following"))
-            .withColumn("_n", F.count(F.lit(1)).over(whole))
             .where("action = 'add'").select(*key, F.col("at").alias("since"), "until"))
 
 
 def judge(captures: DataFrame, entries: DataFrame, period: int = PERIOD) -> DataFrame:
     """``captures`` (page_id, url, fetched, ...) with blocked, kind, value and since of the rule that
-    held at the time fetched (the most exact kind, then the longest value). Times are whole numbers."""
+    held at the time fetched (the most exact kind, then the longest value). Times are whole numbers.
+    Columns of captures that have the name of an added one are replaced."""
     spans = intervals(entries, period)
     horizon = captures.agg(F.max("fetched")).scalar()                    # one value, as a subquery
     listed = (spans.withColumn("h", horizon)
@@ -94,12 +93,16 @@ def judge(captures: DataFrame, entries: DataFrame, period: int = PERIOD) -> Data
                      & (F.col("fetched") >= F.col("since")) & (F.col("until").isNull() | (F.col("fetched") < F.col("until"))))
     place = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
     first = F.min(F.struct(place.alias("place"), (-F.length("value")).alias("size"), "value", "kind", "since"))
-    rule = met.groupBy(*cols).agg(first.alias("r")).select(
-        F.col("page_id").alias("_id"), F.col("url").alias("_url"), F.col("fetched").alias("_at"),
-        F.col("r.kind").alias("_kind"), F.col("r.value").alias("_value"), F.col("r.since").alias("_since"))
-    return (captures.join(rule, F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("url") == F.col("_url")) & (F.col("fetched") == F.col("_at")), "left")
-            .select(*[F.col(c) for c in captures.columns], F.col("_kind").isNotNull().alias("blocked"),
-                    F.col("_kind").alias("rule_kind"), F.col("_value").alias("rule_value"), F.col("_since").alias("rule_since")))
+    # captures are one struct here, so no column of theirs meets a helper's name
+    rule = met.groupBy(*cols).agg(first.alias("r")).select(F.struct(*cols).alias("met"), "r")
+    added = ["blocked", "rule_kind", "rule_value", "rule_since"]
+    own = [F.col("row")[c].alias(c) for c in captures.columns if c not in added]
+    rows = captures.select(F.struct(*captures.columns).alias("row"))
+    same = (F.col("row.page_id").eqNullSafe(F.col("met.page_id")) & (F.col("row.url") == F.col("met.url"))
+            & (F.col("row.fetched") == F.col("met.fetched")))
+    return rows.join(rule, same, "left").select(
+        *own, F.col("r").isNotNull().alias("blocked"), F.col("r.kind").alias("rule_kind"), F.col("r.value").alias("rule_value"),
+        F.col("r.since").alias("rule_since"))
 
 
 # --- dated captures and entries of the pages table --------------------------------------

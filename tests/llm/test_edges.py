@@ -86,6 +86,39 @@ def test_vectors(spark):
     assert topk.top_k(empty, empty).count() == 0
 
 
+def test_repeated_vectors_count_each(spark):
+    have = [(7, [1.0, 1.0])] * 400 + [(100, [1.0, 1.0]), (8, [0.5, 0.5])]
+    rows = spark.createDataFrame(have, "vec_id long, embedding array<float>")
+    old, topk.BLOCK = topk.BLOCK, 16
+    try:
+        got = [r["vec_id"] for r in topk.top_k(rows, rows.where("vec_id = 100"), 10).collect()]
+    finally:
+        topk.BLOCK = old
+    assert got == [7] * 10
+
+
+def test_a_sample_has_a_window_for_each_id(spark):
+    have = [(1, "the dog and the cat", "en")] * 300 + [(None, "der hund", "de")] * 300 + [(i, "der hund und die katze", "de") for i in range(2, 40)]
+    docs = spark.createDataFrame(have, "doc_id long, text string, lang string")
+    assert len(crf.training_sample(docs, F.lit(True), sample=2000)) == 39
+
+
+def test_names_that_clash(spark, docs):
+    """Columns that have the name of a helper or of an added column."""
+    odd = docs
+    for name in ("_kept", "_key", "_row", "_no", "_times", "_copies", "component_id", "copies", "target", "lang_pred", "score", "kept", "root"):
+        odd = odd.withColumn(name, F.lit("own"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, odd, "")
+        assert got.columns == odd.columns and {r["_kept"] for r in got.collect()} == {"own"}, name
+    pages = spark.createDataFrame([(1, "http://b.com/", 20)], "page_id long, url string, fetched long")
+    log = spark.createDataFrame([("domain", "b.com", 10, "add")], "kind string, value string, at long, action string")
+    for name in ("_id", "_url", "_kind", "blocked", "rule_kind", "kind", "value", "period", "key", "r", "row", "met"):
+        pages = pages.withColumn(name, F.lit("own"))
+    got = urls.judge(pages, log)
+    assert len(got.columns) == len(set(got.columns)) and got.first()["blocked"] is True and got.first()["_kind"] == got.first()["r"] == "own"
+
+
 def test_captures(spark):
     pages = spark.createDataFrame([(1, "http://a.b.com/x/y", "h"), (1, "http://a.b.com/x/y", "h"), (2, None, "h"), (None, "http://a.b.com", "h"),
                                    (3, "no url", "h"), (4, "", "h")], "page_id long, url string, value string")
