@@ -36,7 +36,7 @@ END = 2
 #: the tokenizers file and is five times as fast (tests compare both). All else,
 #: and texts with very long runs or a special token's string, goes to tokenizers.
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7E¡-¬®-ɏ–-…]*")
-_LONG = re.compile(r"\S{2000}|\s{2000}")
+_SHORT_RUNS = re.compile(r"\s{0,1999}+(?:\S{1,1999}+\s{1,1999}+)*+\S{0,1999}+")     # one pass, whatever the runs
 _SPECIAL = "<|endoftext|>"
 
 
@@ -55,7 +55,7 @@ class Encoder:
         self.fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str) -> list[int]:
-        if _SPECIAL not in text and _PLAIN.fullmatch(text) and not _LONG.search(text):
+        if _SPECIAL not in text and _PLAIN.fullmatch(text) and _SHORT_RUNS.fullmatch(text):
             return self.fast.encode_ordinary(text)
         return self.slow.encode(text, add_special_tokens=False).ids
 
