@@ -26,6 +26,7 @@ from changeflow.llm.common import WORD, cut, uniform
 
 BLOCK = 1024
 SUPER = 1024
+STEP = 100_000
 
 
 def word_count(text: Column) -> Column:
@@ -66,8 +67,11 @@ def pareto_mix(sizes: DataFrame, per_source: DataFrame, seed: int = 42) -> DataF
            .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
            .withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK)).cast("long")))
     # equal rows are told apart by a number, so that each has a draw of its own
+    # (numbered in steps, so that no array grows with how often a row repeats)
     rows = (sizes.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("m"))
-            .select("doc_id", "source", "size", F.explode(F.sequence(F.lit(1), F.col("m"))).alias("no")))
+            .select("doc_id", "source", "size", "m", F.explode(F.sequence(F.lit(1), F.col("m"), F.lit(STEP))).alias("lo"))
+            .select("doc_id", "source", "size",
+                    F.explode(F.sequence(F.col("lo"), F.least(F.col("m"), F.col("lo") + (STEP - 1)))).alias("no")))
     u = uniform(F.lit(seed), F.col("doc_id"), F.coalesce(F.col("source"), F.lit("")), F.col("size"), F.col("no"))
     odds = (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")))  # Pareto's ranking key
     drawn = (rows.withColumn("u", u)

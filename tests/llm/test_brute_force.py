@@ -138,6 +138,11 @@ def test_fast_ids_are_the_same():
                 assert enc.fast.encode_ordinary(text) == enc.slow.encode(text, add_special_tokens=False).ids
     for text in ("<|endoftext|>", "a" * 5000, " " * 5000, "日本語 テキスト", "x\x85y\x1cz"):
         assert enc.ids(text) == enc.slow.encode(text, add_special_tokens=False).ids
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        text = "".join("x "[int(rng.integers(2))] * int(rng.choice((1, 3, 1999, 2000, 2001))) for _ in range(int(rng.integers(7))))
+        assert bool(pack._SHORT_RUNS.fullmatch(text)) == (re.search(r"\S{2000}|\s{2000}", text) is None)
+    assert pack._SHORT_RUNS.fullmatch(("x" * 1999 + " ") * 20_000)
 
 
 def best_bins(items, capacity):

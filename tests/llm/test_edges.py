@@ -103,6 +103,15 @@ def test_a_sample_has_a_window_for_each_id(spark):
     assert len(crf.training_sample(docs, F.lit(True), sample=2000)) == 39
 
 
+def test_mix_of_repeated_rows(spark, monkeypatch):
+    docs = spark.createDataFrame([(None, "a b c", "s")] * 25 + [(1, "d e", "s")] * 7 + [(2, "f", None)], "doc_id long, text string, source string")
+    take = lambda: sorted(map(str, mix.mix_sizes(docs).collect()))
+    whole = take()
+    assert len(whole) == 33
+    monkeypatch.setattr(mix, "STEP", 4)
+    assert take() == whole
+
+
 def test_names_that_clash(spark, docs):
     """Columns that have the name of a helper or of an added column."""
     odd = docs
