@@ -48,10 +48,15 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = syncmer.fingerprint_documents(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    of = lambda places, hashes: F.struct(F.col(places).alias("places"), F.col(hashes).alias("hashes"))
+    text, edited, nxt = of("places", "fp"), of("edited_places", "edited_fp"), of("next_places", "next_fp")
     return rows.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-                       syncmer.spell(F.col("fp")).alias("fingerprint"), syncmer.spell(F.col("edited_fp")).alias("edited_fingerprint"),
+                       syncmer.spell(syncmer.digest(F.col("fp"))).alias("fingerprint"),
+                       syncmer.spell(syncmer.digest(F.col("edited_fp"))).alias("edited_fingerprint"),
                        syncmer.likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
-                       syncmer.likeness(F.col("fp"), F.col("next_fp")).alias("near_next"))
+                       syncmer.likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
+                       "places", F.col("fp").alias("hashes"), syncmer.same_places(text, edited).alias("same_places_edited"),
+                       syncmer.matches(text, nxt).alias("matches_next"))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

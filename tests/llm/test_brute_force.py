@@ -9,6 +9,7 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from changeflow.llm import chat, crf, mix, pack, queries, secrets, simhash, syncmer
@@ -391,6 +392,55 @@ def test_syncmers_in_steps(spark):
         assert all(r["f"] == sorted(plain_syncmers(r["t"].encode()))[:syncmer.SIZE] for r in got)
 
 
+def plain_anchors(data: bytes):
+    k, out = syncmer.K, []
+    for i in range(max(1, len(data) - k + 1) if data else 0):
+        out += [(i, h) for h in plain_syncmers(data[i:i + k])]
+    return out
+
+
+def plain_matches(a, b):
+    there, seen, out = defaultdict(list), Counter(), []
+    for p, h in b:
+        there[h].append(p)
+    for p, h in a:
+        if h in there:
+            out.append((p, there[h][min(seen[h], len(there[h]) - 1)]))
+            seen[h] += 1
+    return out
+
+
+def test_all_syncmers_with_places(result, texts):
+    rows = {r["doc_id"]: r for r in result("op7_fingerprints")}
+    order = sorted(texts, reverse=True)
+    some = [n for n in range(len(order)) if len(texts[order[n]]) < 6000][::9]
+    assert any(len(rows[order[n]]["hashes"]) > 2 * syncmer.SIZE for n in some)
+    for n in some:
+        i, nxt = order[n], order[(n + 1) % len(order)]
+        cut = len(texts[i]) // 3
+        a, e, b = (plain_anchors(t.encode()) for t in (texts[i], texts[i][:len(texts[i]) - cut] + texts[nxt][:cut], texts[nxt]))
+        r = rows[i]
+        assert list(zip(r["places"], r["hashes"], strict=True)) == a
+        assert r["same_places_edited"] == len(set(a) & set(e))
+        assert [tuple(x) for x in r["matches_next"]] == plain_matches(a, b)
+        for near, other in ((r["near_edited"], e), (r["near_next"], b)):
+            x, y = {h for _, h in a}, {h for _, h in other}
+            assert near == pytest.approx(len(x & y) / len(x | y) if x | y else 1)
+
+
+def test_a_shared_passage_of_long_texts_is_found(spark):
+    rng = np.random.default_rng(5)
+    text = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    passage = text(300)
+    first, second = text(20_000) + passage + text(12_700), text(4_000) + passage + text(28_700) + passage[:100]
+    rows = syncmer.fingerprint_documents(spark.createDataFrame([(2, first), (1, second)], "doc_id long, text string"))
+    of = lambda places, hashes: F.struct(F.col(places).alias("places"), F.col(hashes).alias("hashes"))
+    found = rows.where("doc_id = 2").select(syncmer.matches(of("places", "fp"), of("next_places", "next_fp")).alias("m"),
+                                            syncmer.likeness(F.col("fp"), F.col("next_fp")).alias("near")).first()
+    assert [tuple(x) for x in found["m"]] == [(20_000 + p, 4_000 + p) for p, _ in plain_anchors(passage.encode())]
+    assert found["near"] > 0
+
+
 # --- near duplicates --------------------------------------------------------------------
 
 def plain_fingerprint(text):
