@@ -5,8 +5,9 @@ slides; the Shannon entropy of the characters in it is kept by incremental count
 character in, one out). A window is judged by its character class (hexadecimal, or the
 larger key alphabet), and only if it mixes letters and digits as keys do. Windows over the
 threshold are joined to spans. An allow-list suppresses what is known to be
-harmless (UUIDs, dates, paths, example keys); its patterns have one way to match a
-string, so long strings take linear time. Spans of the fixed patterns always stay; the
+harmless: of the parts between slashes, UUIDs, words of a path and those that an example word marks,
+and known example keys. A window counts unless all of it lies in such parts, so a key after a path
+stays. The patterns have one way to match a string, so long strings take linear time. Spans of the fixed patterns always stay; the
 entropy adds spans only where none of those lies.
 
 Whole texts are scanned; nulls and empty texts have no spans. A text is one task's row,
@@ -18,7 +19,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,11 +38,19 @@ WINDOW = 20
 #: on average, random key characters 4.1.
 THRESHOLD = {"hex": 2.9, "key": 3.6}
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % WINDOW)
+# a word (or words in camel case; up to four digits after three letters), capitals, a letter, a number or version
+_TOKEN = r"(?:(?:[A-Z]?[a-z]{2,}+)++(?:(?<=[a-z]{3})[0-9]{1,4}+)?|[A-Z]{2,}+|[A-Za-z]|[vV]?[0-9]{1,8}+)"
+_PART = rf"{_TOKEN}(?:[_-]++{_TOKEN})*+"
+_SAID = ("example", "sample", "test", "dummy", "placeholder")
 ALLOW = (
     re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"),   # UUID
-    re.compile(r"[A-Za-z0-9_-]++(?:/(?=[A-Za-z0-9_-]*[a-z_-]{3})[A-Za-z0-9_-]++)+/?"),          # path of words
-    re.compile(r"(?i).*(example|sample|test|dummy|placeholder).*"),                                # said to be none
+    re.compile(rf"{_PART}(?:/{_PART})++/?"),                                                       # path of words
+    re.compile("|".join([rf"(?<![A-Za-z])(?:{'|'.join(_SAID)})(?![a-z])",                          # said to be none:
+                         rf"(?<![A-Z])(?:{'|'.join(_SAID).upper()})(?![A-Z])",                     # a word by itself
+                         rf"(?<![A-Z])(?:{'|'.join(w.title() for w in _SAID)})(?![a-z])"])),
+    re.compile("wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"),                                        # known example
 )
+_PATH_PART = re.compile(_PART)
 _HEX_CHARS = frozenset("0123456789abcdefABCDEF")
 
 
@@ -82,8 +91,25 @@ def hot_windows(s: str, width: int = WINDOW, threshold: dict[str, float] = THRES
                 yield i - width + 1
 
 
+def allowed(s: str) -> list[tuple[int, int]]:
+    """Stretches of a candidate that are harmless: its allowed parts, with the slashes between neighbours."""
+    uuid, path, said, known = ALLOW
+    if uuid.fullmatch(s) or path.fullmatch(s):
+        return [(0, len(s))]
+    parts, at = s.split("/"), 0
+    out: list[tuple[int, int]] = []
+    for part in parts:
+        if uuid.fullmatch(part) or said.search(part) or (len(parts) > 1 and _PATH_PART.fullmatch(part)):
+            if out and out[-1][1] == at - 1:
+                out[-1] = (out[-1][0], at + len(part))
+            else:
+                out.append((at, at + len(part)))
+        at += len(part) + 1
+    return sorted(out + [m.span() for m in known.finditer(s)]) if known.search(s) else out
+
+
 def entropy_spans(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    """Spans of joined hot windows that touch no span of ``taken`` and no allowed string."""
+    """Spans of joined hot windows, but for those all in allowed stretches, that touch no span of ``taken``."""
     out = []
     starts, ends = [], []                   # the taken spans, overlapping ones joined
     for a, b, _ in sorted(taken):
@@ -99,10 +125,13 @@ def entropy_spans(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[in
 
     for m in CANDIDATE.finditer(text):
         s = m.group()
-        if not any(c.isdigit() for c in s) or any(a.fullmatch(s) for a in ALLOW):
+        if not any(c.isdigit() for c in s):
             continue
+        harmless = allowed(s)
         spans: list[list[int]] = []
         for at in hot_windows(s):
+            if any(x <= at and at + WINDOW <= y for x, y in harmless[max(0, bisect_right(harmless, (at, len(s))) - 2):][:2]):
+                continue
             a, b = m.start() + at, m.start() + at + WINDOW
             if spans and a <= spans[-1][1]:
                 spans[-1][1] = b

@@ -297,6 +297,24 @@ def test_entropy_touches_no_base_span():
         assert sorted(x for x in every if x[2] == "entropy") == [(a, b, k) for a, b, k in free if not any(a < e and s < b for s, e, _ in base)]
 
 
+def test_keys_in_allowed_company_are_found():
+    """A path, or a word that holds an example word, once hid the key that follows it."""
+    rng = np.random.default_rng(11)
+    key = lambda n, letters: "".join(rng.choice(list(letters), n))
+    plain = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+
+    def all_found(before, key):
+        """Is every hot window of the key by itself in a span?"""
+        spans = [(x - len(before), y - len(before)) for x, y, _ in secrets.scan(before + key)[1]]
+        return all(any(x <= at and at + secrets.WINDOW <= y for x, y in spans) for at in secrets.hot_windows(key))
+    for before in ("", "v1/keys/", "latest/sk_live_", "greatest-", "docs/test/contest/"):
+        assert all(all_found(before, key(40, plain)) for _ in range(300))
+    assert all(all_found("", key(n, plain + "+/")) for n in (40, 64, 88) for _ in range(300))
+    for text in ("sk_test_4eC39HqLyjWDarjtT1zdp7dc", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "src/UserProfile/v2/part-2024-05/chapter12",
+                 "objects/123e4567-e89b-12d3-a456-426614174000/data"):
+        assert secrets.scan(text)[1] == []
+
+
 # --- chat -----------------------------------------------------------------------------
 
 def test_roles_are_recovered(spark):
