@@ -8,7 +8,8 @@ threshold are joined to spans. An allow-list suppresses what is known to be
 harmless: of the parts between slashes, UUIDs, words of a path and those that an example word marks,
 and known example keys. A window counts unless all of it lies in such parts, so a key after a path
 stays. The patterns have one way to match a string, so long strings take linear time. Spans of the fixed patterns always stay; the
-entropy adds spans only where none of those lies.
+entropy adds spans only where none of those lies. If a joined span meets one of those, what is left of it
+on either side with a hot window of its own is a span of kind ``beside``.
 
 Whole texts are scanned; nulls and empty texts have no spans. A text is one task's row,
 read in one pass with bounded memory besides it.
@@ -19,14 +20,14 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # fixed values: the kinds and patterns of the base scan, in the order of listing
-KINDS = ("assign", "access", "hex", "entropy")
+KINDS = ("assign", "access", "hex", "entropy", "beside")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                     re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -109,7 +110,8 @@ def allowed(s: str) -> list[tuple[int, int]]:
 
 
 def entropy_spans(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    """Spans of joined hot windows, but for those all in allowed stretches, that touch no span of ``taken``."""
+    """Spans of joined hot windows, but for those all in allowed stretches, less ``taken``:
+    entropy if they touch none of those, beside for each rest that holds a hot window."""
     out = []
     starts, ends = [], []                   # the taken spans, overlapping ones joined
     for a, b, _ in sorted(taken):
@@ -119,25 +121,40 @@ def entropy_spans(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[in
             starts.append(a)
             ends.append(b)
 
-    def free(a: int, b: int) -> bool:
-        i = bisect_left(starts, b)
-        return i == 0 or ends[i - 1] <= a
+    def rests(a: int, b: int) -> list[tuple[int, int]]:
+        """What of a span lies between the taken ones."""
+        left, i = [], bisect_right(ends, a)
+        while i < len(starts) and starts[i] < b:
+            if a < starts[i]:
+                left.append((a, starts[i]))
+            a = ends[i]
+            i += 1
+        return left + [(a, b)] if a < b else left
 
     for m in CANDIDATE.finditer(text):
         s = m.group()
         if not any(c.isdigit() for c in s):
             continue
         harmless = allowed(s)
+
+        def counts(at: int) -> bool:
+            near = harmless[max(0, bisect_right(harmless, (at, len(s))) - 2):][:2]
+            return not any(x <= at and at + WINDOW <= y for x, y in near)
         spans: list[list[int]] = []
         for at in hot_windows(s):
-            if any(x <= at and at + WINDOW <= y for x, y in harmless[max(0, bisect_right(harmless, (at, len(s))) - 2):][:2]):
+            if not counts(at):
                 continue
             a, b = m.start() + at, m.start() + at + WINDOW
             if spans and a <= spans[-1][1]:
                 spans[-1][1] = b
             else:
                 spans.append([a, b])
-        out += [(a, b, "entropy") for a, b in spans if free(a, b)]
+        for a, b in spans:
+            for x, y in rests(a, b):
+                if (x, y) == (a, b):
+                    out.append((a, b, "entropy"))
+                elif any(counts(x - m.start() + at) for at in hot_windows(text[x:y])):
+                    out.append((x, y, "beside"))
     return out
 
 
@@ -174,13 +191,13 @@ def scan_documents(docs: DataFrame) -> DataFrame:
                 base, every = scan(t.as_py())
                 n = [sum(k == kind for _, _, k in every) for kind in KINDS]
                 rows.append((*n, hashlib.sha256(spell(base).encode()).hexdigest(), spell(every)))
-            cols = list(zip(*rows, strict=True)) if rows else [()] * 6
+            cols = list(zip(*rows, strict=True)) if rows else [()] * (len(KINDS) + 2)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, pa.int64()) for c in cols[:4]), *(pa.array(c, pa.string()) for c in cols[4:])],
-                names=["doc_id", "n_assign", "n_access", "n_hex", "n_entropy", "base_sha256", "spans"])
+                [batch.column(0), *(pa.array(c, pa.int64()) for c in cols[:len(KINDS)]), *(pa.array(c, pa.string()) for c in cols[len(KINDS):])],
+                names=["doc_id", *(f"n_{kind}" for kind in KINDS), "base_sha256", "spans"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n_assign long, n_access long, n_hex long, n_entropy long, base_sha256 string, spans string")
+        run, "doc_id long, n_assign long, n_access long, n_hex long, n_entropy long, n_beside long, base_sha256 string, spans string")
 
 
 def redact_documents(docs: DataFrame) -> DataFrame:
