@@ -10,7 +10,9 @@ Scale: the text is read once into (doc_id, source, size). The prefix of the rank
 found without sorting a source: the key cuts each source into blocks of about
 ``BLOCK`` documents, block sums locate the one block in which the target falls (two-level
 running sums), earlier blocks are taken whole, and only that block is walked in order,
-taking what still fits. A source with a third of all rows has more blocks, not larger ones.
+taking what still fits. The words left go on to the blocks after it, of which only documents
+that fit count, and so on until none fits: all of a source is walked, a block a round. A source
+with a third of all rows has more blocks, not larger ones.
 
 Defined cases: null text has size 0; a null source is a source of its own, last in order;
 repeated rows are separate documents; an empty table gives an empty result; a source
@@ -82,8 +84,48 @@ def pareto_mix(sizes: DataFrame, per_source: DataFrame, seed: int = 42) -> DataF
              .withColumn("block", F.least(F.floor(F.col("even") * F.col("blocks")), F.col("blocks") - 1)))
     drawn = cut(drawn.select("doc_id", "source", "size", "source_size", "target", "whole", "rest", "q", "block"), "mix")
 
-    sums = (drawn.where("q is not null").groupBy("source", "block")
-            .agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
+    # a round: of the blocks after ``after``, documents of ``most`` words or fewer are left to take
+    ranked = drawn.where("q is not null")
+    state = cut(per.select(F.col("source").alias("s"), F.lit(-1).cast("long").alias("after"),
+                           F.col("rest").cast("double").alias("most"), F.lit(0).cast("long").alias("least")), "mix-round")
+    rounds, walks = [], []
+    while True:
+        walked = cut(_walk(ranked, state), "mix-walk")
+        walks.append(walked)
+        ended = walked.groupBy("source").agg(F.first("edge").alias("edge"), F.first("left").alias("left"))
+        ended = cut(state.join(ended, F.col("s").eqNullSafe(F.col("source")), "left").drop("source"), "mix-round")
+        rounds.append(ended)
+        # empty documents need no words: those after the first edge are not gone on for
+        state = ended.where("edge is not null").select("s", F.col("edge").alias("after"), F.col("left").alias("most"),
+                                                       F.lit(1).cast("long").alias("least"))
+        if _open(ranked, state).isEmpty():
+            rounds.append(state.withColumn("edge", F.lit(None).cast("long")).withColumn("left", F.col("most")))
+            break
+    spans = rounds[0]
+    for x in rounds[1:]:
+        spans = spans.unionByName(x)
+    spans = cut(spans, "mix-rounds")
+    out = ["doc_id", "source", "size", "source_size", "target"]
+    # outside the walked blocks, what fits is taken: without an edge block, to the end of the ranking
+    placed = ranked.join(spans, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") > F.col("after"))
+                         & (F.col("edge").isNull() | (F.col("block") < F.col("edge"))))
+    done = (drawn.where("q is null").select(*out, F.col("whole").alias("copies"))
+            .unionByName(placed.select(*out, (F.col("whole") + F.col("size").between(F.col("least"), F.col("most")).cast("long")).alias("copies"))))
+    for x in walks:
+        done = done.unionByName(x.select(*out, "copies"))
+    return done
+
+
+def _open(ranked: DataFrame, state: DataFrame) -> DataFrame:
+    """The ranked documents that a round may still take."""
+    return ranked.join(state, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") > F.col("after"))
+                       & F.col("size").between(F.col("least"), F.col("most"))).drop("s")
+
+
+def _walk(ranked: DataFrame, state: DataFrame) -> DataFrame:
+    """The documents of each source's edge block, with copies, and the words left after it."""
+    sums = (_open(ranked, state).groupBy("source", "block")
+            .agg(F.sum("size").alias("words"), F.first("most").alias("rest"))
             .withColumn("super", F.floor(F.col("block") / SUPER)))
     above = (sums.groupBy("source", "super").agg(F.sum("words").alias("all"))
              .withColumn("base", F.coalesce(F.sum("all").over(
@@ -91,34 +133,27 @@ def pareto_mix(sizes: DataFrame, per_source: DataFrame, seed: int = 42) -> DataF
              .select(F.col("source").alias("s"), F.col("super").alias("sup"), "base"))
     inner = Window.partitionBy("source", "super").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     edge = (sums.withColumn("before", F.coalesce(F.sum("words").over(inner), F.lit(0)))
-            .join(above, F.col("source").eqNullSafe(F.col("s")) & (F.col("super") == F.col("sup")))
+            .join(above, F.col("source").eqNullSafe(F.col("s")) & (F.col("super") == F.col("sup"))).drop("s")
             .withColumn("before", F.col("before") + F.col("base"))
             .where((F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("words")))
-            .select(F.col("source").alias("s"), F.col("block").alias("edge"),
-                    (F.col("rest") - F.col("before")).alias("left")))
-    placed = drawn.join(edge, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-    out = ["doc_id", "source", "size", "source_size", "target"]
-    # without an edge block, the whole ranking fits (or there is nothing to rank)
-    extra = F.when(F.col("q").isNull(), F.lit(0)).when(F.col("edge").isNull() | (F.col("block") < F.col("edge")),
-                                                       F.lit(1)).otherwise(F.lit(0))
-    outside = F.col("edge").isNull() | F.col("q").isNull() | (F.col("block") != F.col("edge"))
-    plain = placed.where(outside).select(*out, (F.col("whole") + extra).alias("copies"))
-    # the edge block, in order of the key: a document is taken if it still fits
+            .join(state, F.col("source").eqNullSafe(F.col("s")))
+            .select("s", F.col("block").alias("edge"), "least", (F.col("rest") - F.col("before")).alias("left")))
+    # in order of the key: a document is taken if it still fits
     item = F.struct("q", "doc_id", "size")
+    fits = lambda acc, x: (x["size"] <= acc["left"]) & (x["size"] >= acc["least"])
     walk = F.aggregate(
         F.array_sort(F.collect_list(item)),
-        F.struct(F.first("left").cast("double").alias("left"), F.array().cast("array<int>").alias("took")),
+        F.struct(F.first("left").cast("double").alias("left"), F.first("least").alias("least"), F.array().cast("array<int>").alias("took")),
         lambda acc, x: F.struct(
-            F.when(x["size"] <= acc["left"], acc["left"] - x["size"]).otherwise(acc["left"]).alias("left"),
-            F.concat(acc["took"], F.array(F.when(x["size"] <= acc["left"], 1).otherwise(0))).alias("took")),
-        lambda acc: acc["took"])
-    walked = (placed.where(~outside).groupBy("source", "source_size", "target", "whole")
-              .agg(F.array_sort(F.collect_list(item)).alias("items"), walk.alias("took"))
-              .select("source", "source_size", "target", "whole",
-                      F.explode(F.arrays_zip("items", "took")).alias("x"))
-              .select(F.col("x.items.doc_id").alias("doc_id"), "source", F.col("x.items.size").alias("size"),
-                      "source_size", "target", (F.col("whole") + F.col("x.took")).alias("copies")))
-    return plain.unionByName(walked.select(*out, "copies"))
+            F.when(fits(acc, x), acc["left"] - x["size"]).otherwise(acc["left"]).alias("left"), acc["least"].alias("least"),
+            F.concat(acc["took"], F.array(F.when(fits(acc, x), 1).otherwise(0))).alias("took")))
+    blocks = ranked.join(edge, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("edge")))
+    return (blocks.groupBy("source", "source_size", "target", "whole", "edge")
+            .agg(F.array_sort(F.collect_list(item)).alias("items"), walk.alias("walk"))
+            .select("source", "source_size", "target", "whole", "edge", F.col("walk.left").alias("left"),
+                    F.explode(F.arrays_zip("items", F.col("walk.took").alias("took"))).alias("x"))
+            .select(F.col("x.items.doc_id").alias("doc_id"), "source", F.col("x.items.size").alias("size"),
+                    "source_size", "target", (F.col("whole") + F.col("x.took")).alias("copies"), "edge", "left"))
 
 
 def mix_sizes(docs: DataFrame, seed: int = 42, weights=(3, 1, 2), share: float = 1.5, cap: float = 2.0) -> DataFrame:

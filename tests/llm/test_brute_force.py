@@ -102,6 +102,23 @@ def test_pareto_inclusion(spark):
         assert abs(np.mean(got) - share[s]) < 0.05 and np.std(got) < 0.25
 
 
+def test_mix_goes_on_after_the_edge_block(spark, monkeypatch):
+    """A long document that does not fit once ended its source: the rest of the ranking is walked as well."""
+    have = [(i, "ab"[i % 2], 5000 if i % 97 < 2 else 1 + i % 7) for i in range(1200)] + [(i, None, 3) for i in range(1200, 1300)]
+    sizes = spark.createDataFrame(have, "doc_id long, source string, size long").cache()
+    per = mix.targets(sizes, (3, 1, 2), 0.8).cache()
+    copies = lambda: {r["doc_id"]: r["copies"] for r in mix.pareto_mix(sizes, per).collect()}
+    whole = copies()                                # one block is a plain walk
+    monkeypatch.setattr(mix, "BLOCK", 16)
+    monkeypatch.setattr(mix, "SUPER", 4)
+    assert len(whole) == len(have) and copies() == whole
+    size = {i: n for i, _, n in have}
+    for r in per.collect():
+        own = [i for i, s, _ in have if s == r["source"]]
+        left = r["target"] - sum(whole[i] * size[i] for i in own)
+        assert -1e-6 <= left and all(size[i] > left for i in own if whole[i] <= int(r["target"] / r["source_size"]))
+
+
 # --- packing --------------------------------------------------------------------------
 
 def test_pack(result, texts):
