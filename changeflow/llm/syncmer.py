@@ -211,9 +211,10 @@ def fingerprint_documents(docs: DataFrame, k: int = K, s: int = S) -> DataFrame:
         have = F.octet_length(kept)
         tail = F.concat(F.substring(kept, F.greatest(have - (k - 2), F.lit(1)), F.lit(k - 1)), new)
         seam = F.when(F.octet_length(tail) >= k, syncmers(tail, k, s)).otherwise(_none())
-        both = lambda x: F.struct(
-            F.concat(known["places"], F.transform(x["places"], lambda p: p + (have - (k - 1)))).alias("places"),
-            F.concat(known["hashes"], x["hashes"]).alias("hashes"))
+        # the offset is bound first: inside the lambda it would be evaluated anew for each syncmer
+        both = lambda x: let(have - (k - 1), lambda off: F.struct(
+            F.concat(known["places"], F.transform(x["places"], lambda p: p + off)).alias("places"),
+            F.concat(known["hashes"], x["hashes"]).alias("hashes")))
         return (F.when(have + F.octet_length(new) < k, syncmers(F.concat(kept, new), k, s))
                 .when(have < k, seam).otherwise(let(seam, both)))
 
