@@ -40,6 +40,11 @@ _SHORT_RUNS = re.compile(r"\s{0,1999}+(?:\S{1,1999}+\s{1,1999}+)*+\S{0,1999}+")
 _SPECIAL = "<|endoftext|>"
 
 
+def is_plain(text: str) -> bool:
+    """Whether tiktoken gives the ids of the tokenizers file for this text (special tokens' strings aside)."""
+    return bool(_PLAIN.fullmatch(text) and _SHORT_RUNS.fullmatch(text))
+
+
 class Encoder:
     """ids of texts as tokenizers gives them for ``byte_bpe_50k.json``."""
 
@@ -55,7 +60,7 @@ class Encoder:
         self.fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str) -> list[int]:
-        if _SPECIAL not in text and _PLAIN.fullmatch(text) and _SHORT_RUNS.fullmatch(text):
+        if _SPECIAL not in text and is_plain(text):
             return self.fast.encode_ordinary(text)
         return self.slow.encode(text, add_special_tokens=False).ids
 

@@ -7,11 +7,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import chat, crf, lm, mix, pack, secrets, simhash, syncmer, topk, urls
+from changeflow.llm import align, chat, crf, lm, mix, pack, personal, resample, secrets, simhash, syncmer, topk, urls
 from changeflow.llm.common import read
 
 JSON = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,8 +75,21 @@ def op10_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(docs).withColumn("score", F.round("score", 6))
 
 
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank", "n_words")
+
+
+def op12_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.scan_documents(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.link_counts(read(spark, sf_dir, "documents").select("doc_id", "text"), JSON, RANKS, PIECES)
+
+
 QUERIES = {f.__name__: f for f in (op1_mix, op2_pack, op3_topk, op4_language, op5_secrets, op6_chat, op7_fingerprints,
-                                   op8_simhash, op9_urls, op10_backoff)}
+                                   op8_simhash, op9_urls, op10_backoff, op11_resample, op12_personal, op13_align)}
 
 ORACLES = {
     "op3_topk": """
