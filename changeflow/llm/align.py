@@ -12,7 +12,7 @@ document is; all other pairs are joined by pair, and none of them holds more tha
 in ``FREQUENT`` of all links, so no task holds a hot pair.
 
 Scale: both tokenizers run once; what is written per document is its distinct pairs with their number. The
-memory of windows is bounded (``KEPT`` windows, then it starts anew).
+memory of windows is bounded (``KEPT`` windows twice over: when full, the older half goes).
 
 Defined cases: null and empty texts, and those whose joined tokens of A or B are not space + text
 in bytes, have no tokens: zeros, and '' for ``groups_sha256``. Special tokens' strings in a text are plain
@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from itertools import accumulate
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +35,7 @@ from changeflow.llm.common import cut
 from changeflow.llm.pack import encoder, is_plain
 
 FREQUENT = 1 << 16
-KEPT = 1 << 18            # windows a worker remembers
+KEPT, LONGEST = 1 << 17, 24      # windows a worker remembers, twice over, and the most tokens of such a window
 _BYTE = re.compile(r"<0x([0-9A-Fa-f]{2})>")
 
 
@@ -63,7 +63,10 @@ class Pair:
         self.b = [self._piece(i) for i in range(self.pieces.get_piece_size())]
         self.len_a, self.len_b = (np.array([len(t) for t in x], dtype=np.int64) for x in (self.a, self.b))
         self.space_a, self.space_b = (np.array([t[:1] == b" " for t in x]) for x in (self.a, self.b))
+        self.size_a, self.size_b = self.len_a.tolist(), self.len_b.tolist()
+        self.said_a, self.said_b = ([str(i) for i in range(len(x))] for x in (self.a, self.b))
         self.known: dict[tuple, tuple] = {}
+        self.before: dict[tuple, tuple] = {}         # the windows known when the memory was full last
 
     def _piece(self, i: int) -> bytes:
         piece = self.pieces.id_to_piece(i)
@@ -83,48 +86,58 @@ class Pair:
             return None
         return a, b
 
-    def window(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[str, tuple[int, ...], int]:
-        """(groups as text, linked pairs, number of groups) of the ids of one window, which begin and end together."""
-        found = self.known.get((a, b))
+    def window(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[str, list[int]]:
+        """(groups as text, linked pairs) of the ids of one window, which begin and end together."""
+        found = self.before.get((a, b))
         if found is None:
-            ends_a, ends_b = (list(accumulate(len(t[i]) for i in ids)) for t, ids in ((self.a, a), (self.b, b)))
-            places = {end: j for j, end in enumerate(ends_b)}
-            groups, links, first_a, first_b = [], [], 0, 0
-            for i, end in enumerate(ends_a):
-                j = places.get(end)
-                if j is not None:
-                    groups.append(",".join(map(str, a[first_a:i + 1])) + "|" + ",".join(map(str, b[first_b:j + 1])))
-                    links.append((a[i] << 32) | b[j])
-                    first_a, first_b = i + 1, j + 1
-            found = (";".join(groups), tuple(links), len(groups))
-            if len(a) + len(b) <= 64:
-                if len(self.known) >= KEPT:
-                    self.known.clear()
-                self.known[a, b] = found
+            size_a, size_b, said_a, said_b = self.size_a, self.size_b, self.said_a, self.said_b
+            groups, links = [], []
+            end_a = end_b = first_a = first_b = j = 0
+            for i, x in enumerate(a, 1):
+                end_a += size_a[x]
+                while end_b < end_a:
+                    y = b[j]
+                    end_b += size_b[y]
+                    j += 1
+                if end_a == end_b:
+                    if i - first_a == 1 == j - first_b:
+                        groups.append(f"{said_a[x]}|{said_b[y]}")
+                    else:
+                        groups.append(",".join([said_a[k] for k in a[first_a:i]]) + "|" + ",".join([said_b[k] for k in b[first_b:j]]))
+                    links.append((x << 32) | y)
+                    first_a, first_b = i, j
+            found = (";".join(groups), links)
+        if len(a) + len(b) <= LONGEST:
+            if len(self.known) >= KEPT:
+                self.before, self.known = self.known, {}
+            self.known[a, b] = found
         return found
 
-    def windows(self, a: list[int], b: list[int]):
-        """The windows of a document: its ids between the anchors."""
+    def cuts(self, a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
+        """Where the anchors cut the ids of a document, in A's and in B's tokens, with both ends."""
         ia, ib = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
         start_a, start_b = np.cumsum(self.len_a[ia]) - self.len_a[ia], np.cumsum(self.len_b[ib]) - self.len_b[ib]
         at_a, at_b = np.flatnonzero(self.space_a[ia]), np.flatnonzero(self.space_b[ib])
-        _, x, y = np.intersect1d(start_a[at_a], start_b[at_b], assume_unique=True, return_indices=True)
-        cuts_a, cuts_b = [0, *at_a[x].tolist(), len(a)], [0, *at_b[y].tolist(), len(b)]
-        for k in range(len(cuts_a) - 1):
-            if cuts_a[k] < cuts_a[k + 1]:
-                yield self.window(tuple(a[cuts_a[k]:cuts_a[k + 1]]), tuple(b[cuts_b[k]:cuts_b[k + 1]]))
+        marked = np.zeros((2, int(max(start_a[-1], start_b[-1])) + 1), dtype=bool)       # bytes of the text
+        marked[0, start_a[at_a]] = True
+        marked[1, start_b[at_b]] = True
+        x, y = at_a[marked[1, start_a[at_a]]].tolist(), at_b[marked[0, start_b[at_b]]].tolist()
+        first = 1 if x and x[0] == 0 else 0                                              # the text's own beginning is no cut
+        return [0, *x[first:], len(a)], [0, *y[first:], len(b)]
 
     def align(self, text: str | None):
         """(n_a, n_b, n_groups, groups as text, linked pairs in order) of a whole text."""
         both = self.ids(text or "")
         if both is None:
             return 0, 0, 0, "", []
-        texts, links, n = [], [], 0
-        for groups, pairs, k in self.windows(*both):
-            texts.append(groups)
-            links.extend(pairs)
-            n += k
-        return len(both[0]), len(both[1]), n, ";".join(texts), links
+        a, b = map(tuple, both)
+        cuts_a, cuts_b = self.cuts(*both)
+        keys = list(zip([a[i:j] for i, j in pairwise(cuts_a)], [b[i:j] for i, j in pairwise(cuts_b)], strict=True))
+        found = list(map(self.known.get, keys))
+        if None in found:
+            found = [x or self.window(*key) for x, key in zip(found, keys, strict=True)]
+        links = list(chain.from_iterable([x[1] for x in found]))
+        return len(a), len(b), len(links), ";".join([x[0] for x in found]), links     # every group ends in one link
 
 
 _pairs: dict[tuple[str, str, str], Pair] = {}
