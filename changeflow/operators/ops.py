@@ -135,8 +135,9 @@ def pk_changes(feed: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def envelope_rejects(feed: DataFrame, tables) -> DataFrame:
-    """Records that are corrupt or address an unknown table (J feed)."""
-    bad = F.col("_corrupt") | (F.col("action").isin("I", "U", "D") & ~F.col("table").isin(list(tables)))
+    """Records that are corrupt or address an unknown table or none (J feed)."""
+    known = F.coalesce(F.col("table").isin(list(tables)), F.lit(False))
+    bad = F.col("_corrupt") | (F.col("action").isin("I", "U", "D") & ~known)
     return feed.where(bad).select(
         F.coalesce(F.col("table"), F.lit("")).alias("table"), "lsn", "seq", "action",
         F.when(F.col("_corrupt"), F.lit("corrupt")).otherwise(F.lit("unknown_table")).alias("reason"),

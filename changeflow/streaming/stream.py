@@ -52,13 +52,14 @@ def batch_drift(batch: DataFrame, registered: dict) -> dict:
 
 
 def batch_handler(store: VersionedStore, names: list[str], stream: str, mode: str = "field"):
-    def handle(batch: DataFrame, batch_id: int) -> None:
+    """Apply one micro-batch of parsed changes. ``covered``: the position up to which the feed is then applied."""
+    def handle(batch: DataFrame, batch_id: int, covered: int | None = None) -> None:
         begun = time.time()
         if batch_id <= store.batch_of(stream):
             return
         ensure_utc(batch.sparkSession)
         rec = store.record() or {}
-        specs = {n: store.spec(n) for n in names}
+        specs = {n: store.spec(n, rec) for n in names}
         missing = [n for n, s in specs.items() if s is None]
         if missing:
             raise ValueError(f"not in the registry: {', '.join(missing)}; load a snapshot or register them")
@@ -80,7 +81,8 @@ def batch_handler(store: VersionedStore, names: list[str], stream: str, mode: st
             meta = {"read": m["read"], "rejected": rejected, "written": m["due"] - n_bad, "skipped": m["read"] - m["due"] - m["envelope"],
                     "max_lsn": m["max_lsn"], "first_commit": m["first_commit"], "last_commit": m["last_commit"], "seconds": time.time() - begun}
             drift = batch_drift(batch, {n: s.column_names for n, s in specs.items()})
-            store.apply_batch(stream, batch_id, folded, meta, rejects, drift, mode=mode)
+            syncs = {n: rec["tables"][n]["syncs"] for n in names}
+            store.apply_batch(stream, batch_id, folded, meta, rejects, drift, mode, syncs, covered)
         finally:
             for df in kept:
                 df.unpersist()
@@ -166,9 +168,14 @@ def schema_sync(store: VersionedStore, live: TableSpec, source: DataFrame | None
     if source is not None:
         names = [r["column"] for r in live_columns(source, live.name).orderBy("ordinal").collect()]
         live = TableSpec(live.name, live.pk, tuple((c, source.schema[c].dataType.simpleString()) for c in names))
+    known = store.spec(live.name)
     diff = schema_diff(registry_frame(spark, {live.name: live.column_names}),
-                       registry_frame(spark, {live.name: store.tracked(live.name) or []}))
+                       registry_frame(spark, {live.name: known.column_names if known else []}))
     rows = [tuple(r) for r in diff.collect()]                       # a row for each changed column
+    if known:
+        types = dict(known.columns)
+        rows += [(live.name, c, "retyped") for c in live.column_names
+                 if c in types and known.spark_type(c) != live.spark_type(c)]
     store.sync_columns(live)
     return spark.createDataFrame(rows, diff.schema)
 

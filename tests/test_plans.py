@@ -50,15 +50,15 @@ def test_no_nested_loop_join_and_one_parse_in_the_reports(spark):
         assert "NestedLoop" not in _plan(q.QUERIES[name](spark, SF))
 
 
-def test_delta_merge_is_one_shuffle(spark):
+def test_delta_merge_is_no_shuffle(spark):
     from changeflow.session import fresh_dir
     from changeflow.sources.store import VersionedStore
     from changeflow.streaming.stream import initialise
-    store = VersionedStore(spark, fresh_dir(spark, "plan-store"), buckets=4)
+    store = VersionedStore(spark, fresh_dir(spark, "plan-store"), buckets=4, small=0)
     initialise(store, {TPCH_ORDERS.name: fd.orders_source(spark, SF)}, [TPCH_ORDERS], fd.L0)
     ops = to_ops(parse_feed(fd.land(fd.feed_o(spark, SF), "plan-m")), TPCH_ORDERS)
-    store.apply_batch("s", 0, {TPCH_ORDERS.name: (fo.coalesce(ops, TPCH_ORDERS.fields), TPCH_ORDERS.fields)}, {"max_lsn": 1})
+    store.apply_batch("s", 0, {TPCH_ORDERS.name: (fo.coalesce(ops, TPCH_ORDERS.fields), TPCH_ORDERS.fields)}, {"max_lsn": 1, "written": 1})
     df = store.read(TPCH_ORDERS.name)
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert final.count("Exchange hashpartitioning") == 1 and "Join" not in final
+    assert "Exchange" not in final and "Join" not in final

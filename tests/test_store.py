@@ -1,7 +1,6 @@
 """The store loses nothing: writers that meet, restarts, syncs, odd records, empty tables."""
 
 import json
-import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +11,7 @@ from changeflow.operators.ops import to_ops
 from changeflow.session import fresh_dir
 from changeflow.sources.feed import parse_feed
 from changeflow.sources.snapshot import snapshot_state
-from changeflow.sources.store import VersionedStore
+from changeflow.sources.store import DamagedRecord, VersionedStore
 from changeflow.specs import TableSpec
 from changeflow.streaming.stream import drain_and_stop, initialise, position_valid, resnapshot, run_stream, schema_sync, store_status
 
@@ -108,15 +107,17 @@ def test_resnapshot_then_stream(spark):
     assert store.record()["snapshot"]["counts"] == {"box": 3} and store_status(store).first()["snapshot_rows"] == 3
 
 
-def test_unreadable_record_is_passed_over(spark):
+def test_unreadable_record_is_an_error(spark):
     store = store_of(spark)
     store.apply_batch("s", 0, folded(spark, line(1, 1, label="one")), {"max_lsn": 1})
     version = store.record()["version"]
-    open(store._record_path(version + 1).removeprefix("file:"), "w").close()    # a writer died here
+    open(store._record_path(version + 1).removeprefix("file:"), "w").close()    # records are renamed whole: this is damage
     again = VersionedStore(spark, store.root)
-    assert labels(again.read("box")) == {1: "one"}
-    again.apply_batch("s", 1, folded(spark, line(2, 2, label="two")), {"max_lsn": 2})
-    assert labels(VersionedStore(spark, store.root).read("box")) == {1: "one", 2: "two"} and again.record()["version"] == version + 2
+    with pytest.raises(DamagedRecord):
+        again.read("box")
+    with pytest.raises(DamagedRecord):
+        again.apply_batch("s", 1, folded(spark, line(2, 2, label="two")), {"max_lsn": 2})
+    assert labels(again.read("box", version)) == {1: "one"}
 
 
 def test_empty_table(spark):
@@ -189,7 +190,7 @@ def test_sync_reaches_a_running_stream_and_keeps_removed_columns(spark):
     got = {r["pk"]: r for r in store.read("box").collect()}
     assert got[1]["colour"] == "red" and got[2]["size"] == 4 and got[2]["colour"] is None and "label" not in store.read("box").columns
     schema_sync(store, WIDE)
-    assert labels(store.read("box"))[1] == "one"                                # it was kept in storage
+    assert labels(store.read("box"))[1] is None                                 # tracked again: NULL until it next changes
 
 
 def test_unregistered_table_stops_the_stream(spark):
@@ -200,13 +201,104 @@ def test_unregistered_table_stops_the_stream(spark):
         batch_handler(store, ["box", "unknown"], "s")(feed, 0)
 
 
+def plan_of(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_layers_are_merged_without_a_shuffle(spark):
+    store = store_of(spark, buckets=8, small=0)
+    for n in range(3):
+        store.apply_batch("s", n, folded(spark, *[line(i, n + 1, label=str(n)) for i in range(n, 200, n + 1)]), {"max_lsn": n, "written": 200})
+    df = store.read("box")
+    text = plan_of(df)
+    assert len(store.table("box")["deltas"]) == 3 and "Exchange" not in text and text.count("SelectedBucketsCount: 8 out of 8") == 3
+    want = {i: "0" for i in range(200)} | {i: "1" for i in range(1, 200, 2)} | {i: "2" for i in range(2, 200, 3)}
+    assert labels(df) == want
+    store.compact("box", force=True)                                            # nothing moves here either
+    assert labels(store.read("box")) == want and store.table("box")["base"]["rows"] == 200
+
+
+def test_only_a_small_delta_is_dealt_to_the_buckets(spark):
+    store = store_of(spark, buckets=8, small=10)
+    source = spark.range(5000).selectExpr("id", "'base' AS label", "1 AS size")
+    initialise(store, {"box": source}, [BOX], 0)
+    store.apply_batch("s", 0, folded(spark, line(3, 1, label="new"), line(7000, 1, label="far")), {"max_lsn": 1, "written": 2})
+    t = store.table("box")
+    assert (t["base"]["buckets"], [x["buckets"] for x in t["deltas"]]) == (8, [0])
+    text = plan_of(store.read("box"))
+    assert text.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in text
+    base, delta = text.split("Union")[1].split("SelectedBucketsCount: 8 out of 8")          # the exchange lies above the delta alone
+    assert "Exchange" not in base and "Exchange" in delta
+    assert store.read("box").where("label <> 'base'").count() == 2 and store.read("box").count() == 5001
+
+
 def test_lookup_opens_the_buckets_concerned(spark):
-    store = store_of(spark, buckets=8)
-    store.apply_batch("s", 0, folded(spark, *[line(i, 1, label=str(i)) for i in range(200)]), {"max_lsn": 1})
+    store = store_of(spark, buckets=8, small=0)
+    for n in range(2):
+        store.apply_batch("s", n, folded(spark, *[line(i, n + 1, label=str(i)) for i in range(200)]), {"max_lsn": 1, "written": 200})
     df = store.lookup("box", [17])
-    assert labels(df) == {17: "17"} and "PartitionFilters: [" in df._jdf.queryExecution().executedPlan().toString()
-    assert len({os.path.dirname(f) for f in df.inputFiles()}) <= 8
-    assert "_bucket" in df._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+    assert labels(df) == {17: "17"} and plan_of(df).count("SelectedBucketsCount: 1 out of 8") == 2
+
+
+@pytest.mark.parametrize("compact", [False, True])
+def test_a_column_tracked_again_is_null(spark, compact):
+    """Track, untrack, change, track again: the old value does not come back (T-10)."""
+    store = store_of(spark)
+    step = iter(range(9))
+    put = lambda spec, *lines: store.apply_batch("s", next(step), folded(spark, *lines, spec=spec), {"max_lsn": 1})
+    put(BOX, line(1, 1, label="old", size="1"), line(2, 1, label="kept", size="2"))
+    narrow = TableSpec("box", "id", (("id", "bigint"), ("size", "int")))
+    schema_sync(store, narrow)
+    put(narrow, line(1, 2, label="unseen", size="3"))
+    if compact:
+        store.compact("box", force=True)
+    assert [tuple(r) for r in schema_sync(store, BOX).collect()] == [("box", "label", "added")]
+    put(BOX, line(2, 5, label="newer"))
+    if compact:
+        store.compact("box", force=True)
+    assert {r["pk"]: (r["label"], r["size"]) for r in store.read("box").collect()} == {1: (None, 3), 2: ("newer", 2)}
+    assert schema_sync(store, BOX).collect() == [] and labels(store.lookup("box", [1])) == {1: None}
+
+
+def test_a_changed_type_is_reported_and_taken(spark):
+    store = store_of(spark)
+    store.apply_batch("s", 0, folded(spark, line(1, 1, label="12"), line(2, 1, label="word")), {"max_lsn": 1})
+    other = TableSpec("box", "id", (("id", "bigint"), ("label", "bigint"), ("size", "int")))
+    assert [tuple(r) for r in schema_sync(store, other).collect()] == [("box", "label", "retyped")]
+    store.apply_batch("s", 1, folded(spark, line(3, 2, label="7"), spec=other), {"max_lsn": 2})
+    for _ in range(2):
+        df = store.read("box")
+        assert dict(df.dtypes)["label"] == "bigint" and labels(df) == {1: 12, 2: None, 3: 7}
+        store.compact("box", force=True)
+    with pytest.raises(ValueError, match="cannot change"):
+        schema_sync(store, TableSpec("box", "id", (("id", "string"), ("label", "bigint"), ("size", "int"))))
+
+
+@pytest.mark.parametrize("mode", ["field", "row"])
+def test_every_reject_is_stored(spark, mode):
+    """Counted is stored, in both modes; a change without a table name is a reject like any other."""
+    store, path = store_of(spark), fresh_dir(spark, "t-land")
+    land(spark, path, line(1, 1, label="good"), line(2, 2, size="big"), "{broken", line(3, 4, table=None, label="x"), line(4, 5, table="else"),
+         line(5, 6, extra="drifted", size="1"), line(6, 7, action="B", table=None))
+    run_stream(spark, path, store, [BOX], mode=mode)
+    p = store.progress().first()
+    assert (p["read"], p["written"], p["rejected"], p["skipped"]) == (7, 2, 4, 1)
+    got = sorted((r["table"], r["reason"]) for r in store.rejects().collect())
+    assert got == [("", "corrupt"), ("", "unknown_table"), ("box", "size"), ("else", "unknown_table")]
+    assert [tuple(r) for r in store.drift().collect()] == [("box", "extra", 6)]
+
+
+def test_maintenance_beside_the_stream(spark):
+    store = store_of(spark, compact_after=3)
+    initialise(store, {"box": spark.range(100).selectExpr("id", "'base' AS label", "1 AS size")}, [BOX], 0)
+    assert store.maintain() == []
+    for n in range(6):
+        store.apply_batch("s", n, folded(spark, *[line(10 * n + i, n + 1, label=str(n)) for i in range(10)]), {"max_lsn": 1, "written": 10})
+    t = store.table("box")
+    assert t["base"]["rows"] == 100 and len(t["deltas"]) < 3                     # batches never rewrote the base
+    assert VersionedStore(spark, store.root).maintain() == ["box"] and store.table("box")["deltas"] == []
+    assert labels(store.read("box")) == {i: str(i // 10) if i < 60 else "base" for i in range(100)}
 
 
 def test_parity_counts_missing_rows(spark):
