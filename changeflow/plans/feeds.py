@@ -17,6 +17,7 @@ O  tpch orders snapshot at L0, then: update price + 1 (key % 3 = 0), delete
 T  O plus a second update at the same position with seq 2 (price + 2, must win).
 J  U plus bad records on event_id % 50 = 0: bad decimal, bad timestamp, unknown
    table, begin record.
+K  J plus changes that name no table on event_id % 50 = 25.
 D  U with an extra, unregistered column promo_code on even event_id.
 """
 
@@ -143,6 +144,14 @@ def feed_j(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good.unionByName(badf)
 
 
+def feed_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J, and changes that name no table (event_id % BAD_EVERY = 25)."""
+    e = events_ops_frame(spark, sf_dir).where(F.col("event_id") % BAD_EVERY == BAD_EVERY // 2)
+    uid = [entry("user_id", "bigint", F.col("user_id"))]
+    v = record(F.col("event_id"), F.lit(1), F.lit("U"), F.lit(None).cast("string"), wal_ts_text(F.col("ts")), uid, uid)
+    return feed_j(spark, sf_dir).unionByName(e.select(v.alias("value"), F.col("event_id").alias("lsn_sort"), "event_id", "user_id"))
+
+
 def feed_i(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = previous_by_key(events_ops_frame(spark, sf_dir), "user_id", "event_id",
                         ["event_type", "amount", "k"])

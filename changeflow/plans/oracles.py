@@ -315,7 +315,24 @@ SELECT 'tpch_orders', count(DISTINCT k), count(DISTINCT k) - count(DISTINCT k) F
   UNION ALL SELECT o_orderkey + {OFF}, false, {INS} + o_orderkey FROM orders WHERE o_orderkey % 5 = 0
   UNION ALL SELECT o_orderkey, false, 0 FROM orders WHERE o_orderkey % 11 = 0)"""
 
-MAX_ID_EMPTY = "SELECT 'tpch_orders' AS \"table\", CAST(0 AS BIGINT) AS max_id"
+MAX_ID_EMPTY = f"SELECT 'users' AS \"table\", coalesce(max(user_id), 0) AS max_id FROM ({USER_STATE}) WHERE deleted_at IS NULL"
+
+REJECTS_ROW = f"""
+{REJECTS}
+UNION ALL SELECT '' AS "table", event_id, 'U', 'unknown_table' FROM events WHERE event_id % {fd.BAD_EVERY} = {fd.BAD_EVERY // 2}"""
+
+LOG_GAPS = f"""
+WITH w AS (SELECT max(event_id) // 4 + 1 AS w FROM events)
+SELECT 2 * any_value(w) - 1 AS lost_after, 3 * any_value(w) - 1 AS lost_upto,
+       count(*) + count(*) FILTER (WHERE {_BAD}) AS records_held, CAST(3 AS BIGINT) AS landings
+FROM events, w WHERE event_id < 2 * w OR event_id >= 3 * w"""
+
+COLUMN_USAGE = """
+WITH n AS (SELECT count(*) FILTER (WHERE o_orderkey % 3 = 0) + count(*) FILTER (WHERE o_orderkey % 5 = 0) + count(*) FILTER (WHERE o_orderkey % 11 = 0) AS n
+           FROM orders),
+c AS (SELECT * FROM (VALUES ('o_orderkey', 0, 'bigint'), ('o_custkey', 1, 'bigint'), ('o_orderstatus', 2, 'text'), ('o_totalprice', 3, 'numeric'),
+      ('o_orderdate', 4, 'timestamp with time zone'), ('o_orderpriority', 5, 'text')) AS t("column", ordinal, type))
+SELECT 'tpch_orders' AS "table", "column", CAST(ordinal AS INTEGER) AS ordinal, n AS n_records, n AS n_values, type AS type_min, type AS type_max FROM c, n"""
 
 
 def _live(q: str, cond: str) -> str:
@@ -352,7 +369,12 @@ ORACLES = {
     "stream_replay": USER_STATE,
     "stream_restart": USER_STATE,
     "stream_rejects": REJECTS,
+    "stream_rejects_row": REJECTS_ROW,
     "stream_drift": STREAM_DRIFT,
+    "stream_resync": SCHEMA_BACKFILL,
+    "log_stream": USER_STATE,
+    "log_gaps": LOG_GAPS,
+    "column_usage": COLUMN_USAGE,
     "stream_schema_sync": SCHEMA_BACKFILL,
     "stream_two_tables": STREAM_TWO,
     "point_lookup": f"SELECT * FROM ({SNAPSHOT_DOCS}) WHERE o_orderkey IN (1, 2, 500, 999)",

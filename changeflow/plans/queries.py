@@ -21,19 +21,21 @@ from changeflow.operators import reports as rp
 from changeflow.operators.ops import envelope_rejects, to_generic_ops, to_ops, to_ops_with_rejects
 from changeflow.plans import feeds as fd
 from changeflow.session import ensure_utc, fresh_dir
-from changeflow.sources.feed import dml_filter, fence, parse_feed, pick, table_filter
+from changeflow.sources.feed import dml_filter, entries_map, fence, parse_feed, pick, table_filter, types_map
+from changeflow.sources.log import ChangeLog
 from changeflow.sources.records import entry, record
 from changeflow.sources.snapshot import snapshot_state, snapshot_tables
 from changeflow.sources.store import VersionedStore
 from changeflow.specs import (
     CUSTOMERS, DELETED_AT, PRESENT_PREFIX, ROW_LSN, TPCH_ORDERS, USERS, TableSpec,
 )
-from changeflow.streaming.stream import drain_and_stop, initialise, run_stream, schema_sync, store_status
+from changeflow.streaming.stream import drain_and_stop, initialise, run_log, run_stream, schema_sync, store_status
 
 USER_FIELDS = USERS.fields
 ORDER_FIELDS = TPCH_ORDERS.fields
 USERS_DRIFT = USERS.with_column(fd.DRIFT_COLUMN, "string", "text")
 SYNC_AT = "2024-01-16 00:00:00"       # schema-sync point of the backfill query (UTC)
+RESYNC_AT = ("2024-01-10 00:00:00", "2024-01-16 00:00:00")    # untracked and tracked again (UTC)
 BATCH_EVENTS = 1000                   # events per batch in the batch reports
 
 
@@ -353,24 +355,27 @@ def handoff(spark, sf_dir):
 
 # ------------------------------------------------------------------ streaming (T-1 ... T-14)
 
-FEED_FILES = 4        # files of a landed test feed, so that a stream has several batches
+FEED_FILES = 4        # least number of files of a landed test feed, so that a stream has several batches
 
 
-def _land_stream(spark, feed: DataFrame, name: str) -> str:
-    """A derived feed as a landing folder of several files, dealt by position."""
-    path = fresh_dir(spark, f"landing-{name}")
-    lines = parse_position(feed)
-    lines.repartition(FEED_FILES, F.col("_p") % FEED_FILES).select("value").write.text(path)
-    return path
+def _dealt(lines: DataFrame) -> tuple[DataFrame, int]:
+    """Lines as the feed's own partitions deal them, in ``FEED_FILES`` at least; half of their number (two batches)."""
+    n = lines.rdd.getNumPartitions()
+    return (lines if n >= FEED_FILES else lines.repartition(FEED_FILES, "value")), -(-max(n, FEED_FILES) // 2)
 
 
-def parse_position(feed: DataFrame) -> DataFrame:
-    return feed.select("value", F.crc32(F.col("value").cast("binary")).alias("_p"))
+def _land_stream(spark, feed: DataFrame, name: str) -> tuple[str, int]:
+    """A derived feed as a landing folder, and how many of its files make a batch."""
+    path = fresh_dir(spark, f"landing-{name}")
+    lines, half = _dealt(feed.select("value"))
+    lines.write.text(path)
+    return path, half
 
 
-def _stream_users(spark, feed: DataFrame, name: str) -> VersionedStore:
+def _stream_users(spark, feed: DataFrame, name: str, mode: str = "field") -> VersionedStore:
     store = VersionedStore(spark, fresh_dir(spark, f"store-{name}"), buckets=8)
-    run_stream(spark, _land_stream(spark, feed, name), store, [USERS], max_files_per_trigger=2)
+    path, half = _land_stream(spark, feed, name)
+    run_stream(spark, path, store, [USERS], max_files_per_trigger=half, mode=mode)
     return store
 
 
@@ -385,11 +390,11 @@ def stream_replay(spark, sf_dir):
     file-arrival order: result equals one ordered pass."""
     ensure_utc(spark)
     path = fresh_dir(spark, "landing-r")
-    lines = parse_position(fd.feed_u(spark, sf_dir))
+    lines, half = _dealt(fd.feed_u(spark, sf_dir).select("value"))
     for copy in ("one", "two"):
-        lines.repartition(FEED_FILES, F.col("_p") % FEED_FILES).select("value").write.text(f"{path}/{copy}")
+        lines.write.text(f"{path}/{copy}")
     store = VersionedStore(spark, fresh_dir(spark, "store-r"), buckets=8)
-    run_stream(spark, path + "/*", store, [USERS], max_files_per_trigger=3)
+    run_stream(spark, path + "/*", store, [USERS], max_files_per_trigger=half + 1)
     return render(store.read(USERS.name), USERS)
 
 
@@ -414,6 +419,12 @@ def stream_rejects(spark, sf_dir):
     return _stream_users(spark, fd.feed_j(spark, sf_dir), "j").rejects().select("table", "lsn", "action", "reason")
 
 
+def stream_rejects_row(spark, sf_dir):
+    """Q17 in row mode, feed K: changes that name no table are rejects like the others."""
+    ensure_utc(spark)
+    return _stream_users(spark, fd.feed_k(spark, sf_dir), "k", "row").rejects().select("table", "lsn", "action", "reason")
+
+
 def stream_drift(spark, sf_dir):
     """T-8, J4: unregistered columns the stream met (feed D), each once, with its first position."""
     ensure_utc(spark)
@@ -440,12 +451,68 @@ def stream_schema_sync(spark, sf_dir):
     return render(store.read(USERS.name), USERS_DRIFT)
 
 
+def stream_resync(spark, sf_dir):
+    """T-10 over time: feed D; the column is tracked, untracked and tracked again between loads. What it held
+    before is NULL afterwards, until a later change sets it."""
+    ensure_utc(spark)
+    path, ckpt = fresh_dir(spark, "landing-resync"), fresh_dir(spark, "ckpt-resync")
+    store = VersionedStore(spark, fresh_dir(spark, "store-resync"), buckets=8)
+    store.register([USERS_DRIFT])
+    at = parse_ts(F.get_json_object("value", "$.change.timestamp"))
+    lines = fd.feed_d(spark, sf_dir).select("value", at.alias("at")).persist()
+    begins = [F.lit(x).cast("timestamp") for x in RESYNC_AT]
+    loads = [(F.col("at") < begins[0], USERS), ((F.col("at") >= begins[0]) & (F.col("at") < begins[1]), USERS_DRIFT), (F.col("at") >= begins[1], None)]
+    for n, (due, then) in enumerate(loads):
+        lines.where(due).select("value").write.text(f"{path}/{n}")
+        run_stream(spark, path + "/*", store, [USERS], checkpoint=ckpt)
+        if then:
+            schema_sync(store, then)
+    lines.unpersist()
+    return render(store.read(USERS.name), USERS_DRIFT)
+
+
+def _users_log(spark, sf_dir, name: str) -> tuple[ChangeLog, DataFrame, int]:
+    """An empty log, feed J's lines (among them another table's, which no reader of users opens) with their
+    position, and the width of a quarter of the positions."""
+    log = ChangeLog(spark, fresh_dir(spark, f"log-{name}"))
+    lines = fd.feed_j(spark, sf_dir).select("value", F.col("event_id").alias("at"))
+    top = fd.table(spark, sf_dir, "events", ["event_id"]).agg(F.max("event_id")).first()[0]
+    return log, lines, (top or 0) // 4 + 1
+
+
+def log_stream(spark, sf_dir):
+    """S1, P1, P2, T-2, T-4: the change log in four landings by position, streamed two at a time; a lost checkpoint
+    midway: the new stream goes on from the position the store has applied."""
+    ensure_utc(spark)
+    log, lines, width = _users_log(spark, sf_dir, "u")
+    lines = lines.persist()
+    store = VersionedStore(spark, fresh_dir(spark, "store-log"), buckets=8)
+    for half in range(2):
+        for n in (2 * half, 2 * half + 1):
+            log.append(lines.where((F.col("at") >= n * width) & (F.col("at") < (n + 1) * width)), upto=(n + 1) * width - 1)
+        run_log(spark, log, store, [USERS], landings_per_trigger=2)
+    lines.unpersist()
+    return render(store.read(USERS.name), USERS)
+
+
+def log_gaps(spark, sf_dir):
+    """T-7, F13: the log with its third landing lost: what it lacks, how far the store gets, and that it says so."""
+    ensure_utc(spark)
+    log, lines, width = _users_log(spark, sf_dir, "g")
+    for n in (0, 1, 3):
+        log.append(lines.where((F.col("at") >= n * width) & (F.col("at") < (n + 1) * width)), after=max(0, n * width - 1), upto=(n + 1) * width - 1)
+    held = log.landings().agg(F.sum("records").alias("records"), F.count(F.lit(1)).alias("landings"))
+    lost = log.gaps().select(F.col("after").alias("lost_after"), F.col("upto").alias("lost_upto"))
+    return lost.withColumn("records_held", held.select("records").scalar()).withColumn("landings", held.select("landings").scalar())
+
+
 def stream_two_tables(spark, sf_dir):
     """A4: one feed with the changes of two tables, routed by table; rows and live rows of both."""
     ensure_utc(spark)
     both = fd.feed_u(spark, sf_dir).select("value").unionByName(fd.feed_o(spark, sf_dir).select("value"))
     store = VersionedStore(spark, fresh_dir(spark, "store-two"), buckets=8)
-    run_stream(spark, _land_stream(spark, both, "two"), store, [USERS, TPCH_ORDERS], max_files_per_trigger=2)
+    path, half = _land_stream(spark, both, "two")
+    run_stream(spark, path, store, [USERS, TPCH_ORDERS], max_files_per_trigger=half)
     out = None
     for spec in (USERS, TPCH_ORDERS):
         one = store.read(spec.name).agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(DELETED_AT).isNull()).alias("live_rows"),
@@ -468,7 +535,8 @@ def progress(spark, sf_dir):
 def _orders_stream(spark, sf_dir) -> VersionedStore:
     store = VersionedStore(spark, fresh_dir(spark, "store-o"), buckets=8)
     initialise(store, {TPCH_ORDERS.name: fd.orders_source(spark, sf_dir)}, [TPCH_ORDERS], fd.L0)
-    run_stream(spark, _land_stream(spark, fd.feed_o(spark, sf_dir), "o"), store, [TPCH_ORDERS], max_files_per_trigger=2)
+    path, half = _land_stream(spark, fd.feed_o(spark, sf_dir), "o")
+    run_stream(spark, path, store, [TPCH_ORDERS], max_files_per_trigger=half)
     return store
 
 
@@ -613,12 +681,22 @@ def max_id(spark, sf_dir):
 
 
 def max_id_empty(spark, sf_dir):
-    """A8 on a registered table without rows: 0."""
+    """A8 on a result without rows: the live users (each was deleted once), 0."""
     ensure_utc(spark)
-    store = VersionedStore(spark, fresh_dir(spark, "store-empty"), buckets=4)
-    src = fd.orders_source(spark, sf_dir)
-    initialise(store, {TPCH_ORDERS.name: src.where(F.col("o_orderkey").isNull())}, [TPCH_ORDERS], fd.L0)
-    return rp.max_id(TPCH_ORDERS.name, store.read(TPCH_ORDERS.name), "pk")
+    return rp.max_id(USERS.name, fo.live(users_state(fd.land(fd.feed_u(spark, sf_dir), "u"))), "pk")
+
+
+def column_usage(spark, sf_dir):
+    """For each live column in ordinal order, how many records of the feed carry it, how many of
+    them with a value, and the least and greatest type name they give it."""
+    ensure_utc(spark)
+    live = rg.live_columns(fd.orders_source(spark, sf_dir), TPCH_ORDERS.name).where(F.col("ordinal") >= 0).orderBy("ordinal")
+    maps = fence(_parsed(fd.feed_o(spark, sf_dir), "o").select("table", entries_map(F.col("columns")).alias("v"), types_map(F.col("columns")).alias("t")))
+    used = maps.select("table", F.explode(F.map_keys("v")).alias("column"), "v", "t").select(
+        "table", "column", F.try_element_at("v", F.col("column")).alias("value"), F.try_element_at("t", F.col("column")).alias("type"))
+    per = used.groupBy("table", "column").agg(F.count(F.lit(1)).alias("n_records"), F.count_if(~F.is_variant_null("value")).alias("n_values"),
+                                              F.min("type").alias("type_min"), F.max("type").alias("type_max"))
+    return live.join(per, ["table", "column"], "left").select("table", "column", "ordinal", "n_records", "n_values", "type_min", "type_max")
 
 
 APPLY_DELAY_S = 3     # the batch reports take a batch as applied so long after its last change
@@ -667,7 +745,12 @@ QUERIES = {
     "stream_replay": stream_replay,
     "stream_restart": stream_restart,
     "stream_rejects": stream_rejects,
+    "stream_rejects_row": stream_rejects_row,
     "stream_drift": stream_drift,
+    "stream_resync": stream_resync,
+    "log_stream": log_stream,
+    "log_gaps": log_gaps,
+    "column_usage": column_usage,
     "stream_schema_sync": stream_schema_sync,
     "stream_two_tables": stream_two_tables,
     "point_lookup": point_lookup,

@@ -22,6 +22,7 @@ from changeflow.operators.ops import envelope_rejects, split_staged, stage_ops
 from changeflow.operators.registry import feed_columns, live_columns, registry_frame, schema_diff
 from changeflow.session import ensure_utc, fresh_dir
 from changeflow.sources.feed import DML_ACTIONS, read_feed_stream
+from changeflow.sources.log import ChangeLog, FeedGap
 from changeflow.sources.snapshot import snapshot_state
 from changeflow.sources.store import VersionedStore
 from changeflow.specs import DELETED_AT, FIELD_LSN_PREFIX, FIELD_SEQ_PREFIX, TableSpec
@@ -89,12 +90,17 @@ def batch_handler(store: VersionedStore, names: list[str], stream: str, mode: st
     return handle
 
 
-def initialise(store: VersionedStore, sources: dict, specs, l0: int) -> bool:
-    """T-7: load the snapshot as the first version unless a completed one is recorded whose position the stream
-    has not passed. Returns True when a snapshot was loaded; its row counts are in the record."""
-    snap = (store.record() or {}).get("snapshot") or {}
+def initialise(store: VersionedStore, sources: dict, specs, l0: int, log: ChangeLog | None = None) -> bool:
+    """T-7: load the snapshot as the first version unless a completed one is recorded and the log, if given,
+    still follows on what is applied; if it does not, the snapshot is taken anew (:func:`resnapshot`). Returns
+    True when a snapshot was loaded; its row counts are in the record."""
+    rec = store.record() or {}
+    snap = rec.get("snapshot") or {}
     if snap.get("done") and snap.get("lsn") is not None:
-        return False
+        if log is None or log.reaches(rec.get("covered")):
+            return False
+        resnapshot(store, sources, specs, l0)
+        return True
     states = {s.name: snapshot_state(sources[s.name], s, l0) for s in specs}
     store.replace(states, specs, meta={"snapshot": {"done": True, "lsn": l0}})
     return True
@@ -152,6 +158,43 @@ def run_stream(spark: SparkSession, feed_path: str, store: VersionedStore, specs
     return q
 
 
+def log_handler(log: ChangeLog, store: VersionedStore, names: list[str], stream: str, mode: str = "field"):
+    """Apply the landings a micro-batch of the manifest names: those not applied yet, in order, from the files
+    of the registered tables. A gap stops the stream before anything beyond it is applied."""
+    apply = batch_handler(store, names, stream, mode)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        covered = (store.record() or {}).get("covered") or 0
+        due = batch.where(F.col("upto") > F.lit(covered))
+        at = covered
+        landed = due.where("kind = 'none'").select("after", "upto").collect()    # a row for each landing of the batch
+        for after, upto in sorted(map(tuple, landed)):
+            if after > at:
+                raise FeedGap(at, after)
+            at = max(at, upto)
+        wanted = due.where((F.col("kind") == "dml") & (F.col("table").isin(names) | F.col("table").isNull()))
+        files = [r["file"] for r in wanted.select("file").collect()]             # bounded by the landings of the batch
+        apply(log.read(files, covered), batch_id, at)
+    return handle
+
+
+def run_log(spark: SparkSession, log: ChangeLog, store: VersionedStore, specs, checkpoint: str | None = None,
+            landings_per_trigger: int | None = None, available_now: bool = True, processing_time: str = "500 milliseconds",
+            mode: str = "field"):
+    """Start (and for ``available_now`` drain) the stream of a change log into the store. It goes on from the position
+    the store has applied, also with a new checkpoint; a batch is bounded by landings, those by records (T-2)."""
+    ensure_utc(spark)
+    ckpt = checkpoint or fresh_dir(spark, "checkpoint")
+    store.register(specs)
+    writer = (log.stream(landings_per_trigger).writeStream
+              .foreachBatch(log_handler(log, store, [s.name for s in specs], ckpt, mode)).option("checkpointLocation", ckpt))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
+    q = writer.start()
+    if available_now:
+        q.awaitTermination()
+    return q
+
+
 def drain_and_stop(query) -> None:
     """T-12: let a continuously triggered query apply everything already landed,
     then stop it (its checkpoint and the store stay consistent for a restart)."""
