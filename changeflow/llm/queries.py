@@ -52,8 +52,8 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     of = lambda places, hashes: F.struct(F.col(places).alias("places"), F.col(hashes).alias("hashes"))
     text, edited, nxt = of("places", "fp"), of("edited_places", "edited_fp"), of("next_places", "next_fp")
     return rows.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-                       syncmer.spell(syncmer.digest(F.col("fp"))).alias("fingerprint"),
-                       syncmer.spell(syncmer.digest(F.col("edited_fp"))).alias("edited_fingerprint"),
+                       syncmer.seal(F.col("fp")).alias("fingerprint"),
+                       syncmer.seal(F.col("edited_fp")).alias("edited_fingerprint"),
                        syncmer.likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
                        syncmer.likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
                        "places", F.col("fp").alias("hashes"), syncmer.same_places(text, edited).alias("same_places_edited"),
@@ -102,10 +102,12 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
     "op9_urls": r"""
 WITH p AS (SELECT page_id, url, CAST('0x' || substr(md5(CAST(page_id AS VARCHAR)), 1, 7) AS BIGINT) % 365 AS fetched,
     lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)', 1)) AS host,
-    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?[^/?#]*(/[^/?#]*)', 1) AS step FROM pages),
-k AS (SELECT *, CASE WHEN step <> '' AND host <> '' THEN host || step ELSE '' END AS prefix FROM p),
+    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?[^/?#]*(/[^/?#]*)', 1) AS step,
+    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?[^/?#]*(/[^/?#]*/[^/?#]*)', 1) AS two FROM pages),
+k AS (SELECT *, CASE WHEN step <> '' AND host <> '' THEN host || step ELSE '' END AS prefix,
+             CASE WHEN two <> '' AND host <> '' THEN host || two ELSE '' END AS prefix2 FROM p),
 vals AS (SELECT DISTINCT 'domain' AS kind, host AS value, 3 AS every, 150 AS span, 60 AS days, 140 AS again FROM k
-    UNION SELECT 'prefix', prefix, 8, 250, 45, 100 FROM k UNION SELECT 'url', url, 10, 300, 30, 50 FROM k),
+    UNION SELECT 'prefix', prefix, 8, 250, 45, 100 FROM k UNION SELECT 'prefix', prefix2, 5, 200, 70, 120 FROM k UNION SELECT 'url', url, 10, 300, 30, 50 FROM k),
 n AS (SELECT *, CAST('0x' || substr(md5(value), 1, 7) AS BIGINT) AS n FROM vals WHERE value <> ''),
 d AS (SELECT kind, value, (n // 64) % span AS day, days, again FROM n WHERE n % every = 0),
 i AS (SELECT kind, value, day AS since, day + days AS until FROM d UNION ALL SELECT kind, value, day + again, NULL FROM d),
@@ -113,7 +115,7 @@ m AS (SELECT k.page_id, k.url, k.fetched, i.kind, i.value, i.since,
         row_number() OVER (PARTITION BY k.page_id, k.url, k.fetched ORDER BY CASE i.kind WHEN 'url' THEN 1 WHEN 'prefix' THEN 2 ELSE 3 END,
                            length(i.value) DESC, i.value, i.since) AS r
       FROM k JOIN i ON fetched >= since AND (until IS NULL OR fetched < until)
-       AND ((i.kind = 'url' AND i.value = url) OR (i.kind = 'prefix' AND i.value = prefix)
+       AND ((i.kind = 'url' AND i.value = url) OR (i.kind = 'prefix' AND i.value IN (prefix, prefix2))
             OR (i.kind = 'domain' AND (i.value = host OR ends_with(host, '.' || i.value)))))
 SELECT p.page_id, p.url, p.fetched, m.kind IS NOT NULL AS blocked, m.kind AS rule_kind, m.value AS rule_value, m.since AS rule_since
 FROM p LEFT JOIN m ON m.r = 1 AND p.page_id IS NOT DISTINCT FROM m.page_id AND p.url = m.url AND p.fetched = m.fetched""",

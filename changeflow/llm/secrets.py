@@ -5,8 +5,8 @@ slides; the Shannon entropy of the characters in it is kept by incremental count
 character in, one out). A window is judged by its character class (hexadecimal, or the
 larger key alphabet), and only if it mixes letters and digits as keys do. Windows over the
 threshold are joined to spans. An allow-list suppresses what is known to be
-harmless: of the parts between slashes, UUIDs, words of a path and those that an example word marks,
-and known example keys. A window counts unless all of it lies in such parts, so a key after a path
+harmless: of the parts between slashes, UUIDs and words of a path, and known example keys (an
+example word beside a key frees nothing). A window counts unless all of it lies in such parts, so a key after a path
 stays. The patterns have one way to match a string, so long strings take linear time. Spans of the fixed patterns always stay; the
 entropy adds spans only where none of those lies. If a joined span meets one of those, what is left of it
 on either side with a hot window of its own is a span of kind ``beside``.
@@ -42,14 +42,10 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % WINDOW)
 # a word (or words in camel case; up to four digits after three letters), capitals, a letter, a number or version
 _TOKEN = r"(?:(?:[A-Z]?[a-z]{2,}+)++(?:(?<=[a-z]{3})[0-9]{1,4}+)?|[A-Z]{2,}+|[A-Za-z]|[vV]?[0-9]{1,8}+)"
 _PART = rf"{_TOKEN}(?:[_-]++{_TOKEN})*+"
-_SAID = ("example", "sample", "test", "dummy", "placeholder")
 ALLOW = (
     re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"),   # UUID
     re.compile(rf"{_PART}(?:/{_PART})++/?"),                                                       # path of words
-    re.compile("|".join([rf"(?<![A-Za-z])(?:{'|'.join(_SAID)})(?![a-z])",                          # said to be none:
-                         rf"(?<![A-Z])(?:{'|'.join(_SAID).upper()})(?![A-Z])",                     # a word by itself
-                         rf"(?<![A-Z])(?:{'|'.join(w.title() for w in _SAID)})(?![a-z])"])),
-    re.compile("wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"),                                        # known example
+    re.compile("wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY|sk_test_4eC39HqLyjWDarjtT1zdp7dc"),       # known examples
 )
 _PATH_PART = re.compile(_PART)
 _HEX_CHARS = frozenset("0123456789abcdefABCDEF")
@@ -94,13 +90,13 @@ def hot_windows(s: str, width: int = WINDOW, threshold: dict[str, float] = THRES
 
 def allowed(s: str) -> list[tuple[int, int]]:
     """Stretches of a candidate that are harmless: its allowed parts, with the slashes between neighbours."""
-    uuid, path, said, known = ALLOW
+    uuid, path, known = ALLOW
     if uuid.fullmatch(s) or path.fullmatch(s):
         return [(0, len(s))]
     parts, at = s.split("/"), 0
     out: list[tuple[int, int]] = []
     for part in parts:
-        if uuid.fullmatch(part) or said.search(part) or (len(parts) > 1 and _PATH_PART.fullmatch(part)):
+        if uuid.fullmatch(part) or (len(parts) > 1 and _PATH_PART.fullmatch(part)):
             if out and out[-1][1] == at - 1:
                 out[-1] = (out[-1][0], at + len(part))
             else:

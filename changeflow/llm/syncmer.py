@@ -9,8 +9,8 @@ average 2 of K - S + 1 windows are chosen.
 The fingerprint is the whole list of syncmers in order, each with the byte it begins at and its hash.
 The likeness of two texts is the Jaccard likeness of their whole sets of hashes. Matching by place
 pairs the anchors that two texts share, wherever they lie in either; versions are also compared by
-the anchors that have the same hash at the same place. The ``SIZE`` least distinct hashes are a short
-digest beside that, and nothing is taken from it. Since syncmers are context-free, the syncmers of a
+the anchors that have the same hash at the same place. As one string, the whole list is sealed by its
+sha256 (:func:`seal`); the ``SIZE`` least distinct hashes are a short digest, and nothing is taken from it. Since syncmers are context-free, the syncmers of a
 text that is put together from known parts follow from the parts: theirs, and those across the seam.
 
 Scale: everything is per-row expressions; long texts are worked off in steps of ``STEP``
@@ -136,6 +136,11 @@ def matches(a: Column, b: Column) -> Column:
     return let(F.sort_array(F.array_intersect(a["hashes"], b["hashes"])), of)
 
 
+def seal(hashes: Column) -> Column:
+    """The sha256 of the whole list of hashes, in order and in decimal, comma-joined."""
+    return F.sha2(F.array_join(hashes.cast("array<string>"), ",").cast("binary"), 256)
+
+
 def spell(hashes: Column) -> Column:
     return F.concat_ws("", F.transform(hashes, lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")))
 

@@ -2,8 +2,8 @@
 
 A list is a log of dated entries (kind, value, at, action). Entries become validity
 intervals [since, until): an entry holds until the next one for its (kind, value). A capture's
-URL gives the keys it can be listed under (its URL, each path prefix of one step, its host
-and every parent domain); an equi-join on key and period with the interval as condition
+URL gives the keys it can be listed under (its URL, each path prefix step by step, as deep as the list
+goes, its host and every parent domain); an equi-join on key and period with the interval as condition
 finds what was active when it was fetched.
 
 Scale: entries equal in key and time are reduced first; a key with very many entries is
@@ -25,25 +25,38 @@ from pyspark.sql import functions as F
 PERIOD = 30
 KINDS = ("url", "prefix", "domain")         # in order of precedence
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)"
-PREFIX = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?[^/?#]*(/[^/?#]*)"
+PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?[^/?#]*(/[^?#]*)"
 
 
 def host(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, HOST, 1))
 
 
-def prefix(url: Column) -> Column:
-    """Host and first step of the path; empty without either."""
-    step = F.regexp_extract(url, PREFIX, 1)
-    return F.when((step != "") & (host(url) != ""), F.concat(host(url), step)).otherwise(F.lit(""))
+def depth(value: Column) -> Column:
+    """Steps of a listed prefix."""
+    return F.size(F.split(value, "/")) - 1
 
 
-def keys(url: Column) -> Column:
-    """The (kind, value) keys a URL can be listed under."""
+def prefixes(url: Column, deepest: Column) -> Column:
+    """Host and the first steps of the path: of one step, two, and so on up to ``deepest``; none without host or path."""
+    steps = F.split(F.regexp_extract(url, PATH, 1), "/")
+    n = F.least(F.size(steps) - 1, deepest)
+    found = F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(host(url), F.lit("/"), F.array_join(F.slice(steps, 2, i), "/")))
+    return F.when((n > 0) & (host(url) != ""), found).otherwise(F.array().cast("array<string>"))
+
+
+def prefix(url: Column, steps: int = 1) -> Column:
+    """Host and the first steps of the path; empty without as many."""
+    return F.coalesce(F.get(prefixes(url, F.lit(steps)), steps - 1), F.lit(""))
+
+
+def keys(url: Column, deepest: Column) -> Column:
+    """The (kind, value) keys a URL can be listed under, prefixes of at most ``deepest`` steps."""
     labels = F.split(host(url), r"\.")
     domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     pair = lambda kind, v: F.struct(F.lit(kind).alias("kind"), v.alias("value"))
-    all_ = F.concat(F.array(pair("url", url), pair("prefix", prefix(url))), F.transform(domains, lambda d: pair("domain", d)))
+    all_ = F.concat(F.array(pair("url", url)), F.transform(prefixes(url, deepest), lambda p: pair("prefix", p)),
+                    F.transform(domains, lambda d: pair("domain", d)))
     return F.array_distinct(F.filter(all_, lambda k: k["value"] != ""))
 
 
@@ -80,6 +93,7 @@ def judge(captures: DataFrame, entries: DataFrame, period: int = PERIOD) -> Data
     Columns of captures that have the name of an added one are replaced."""
     spans = intervals(entries, period)
     horizon = captures.agg(F.max("fetched")).scalar()                    # one value, as a subquery
+    deepest = spans.where("kind = 'prefix'").agg(F.coalesce(F.max(depth(F.col("value"))), F.lit(0))).scalar()
     listed = (spans.withColumn("h", horizon)
               .where("h is not null and since <= h")
               .withColumn("last", F.floor(F.least(F.coalesce(F.col("until") - 1, F.col("h")), F.col("h")) / F.lit(period)))
@@ -87,7 +101,7 @@ def judge(captures: DataFrame, entries: DataFrame, period: int = PERIOD) -> Data
               .select(F.col("kind").alias("k"), F.col("value").alias("v"), F.col("period").alias("p"), "since", "until"))
     cols = ["page_id", "url", "fetched"]
     asked = (captures.select(*cols).where("url is not null and fetched is not null")
-             .withColumn("key", F.explode(keys(F.col("url"))))
+             .withColumn("deepest", deepest).withColumn("key", F.explode(keys(F.col("url"), F.col("deepest"))))
              .select(*cols, "key.kind", "key.value", F.floor(F.col("fetched") / F.lit(period)).alias("period")))
     met = asked.join(listed, (F.col("kind") == F.col("k")) & (F.col("value") == F.col("v")) & (F.col("period") == F.col("p"))
                      & (F.col("fetched") >= F.col("since")) & (F.col("until").isNull() | (F.col("fetched") < F.col("until"))))
@@ -130,4 +144,4 @@ def dated_entries(pages: DataFrame) -> DataFrame:
         return some.select(F.lit(kind).alias("kind"), "value", F.explode(steps).alias("s")).select("kind", "value", "s.at", "s.action")
 
     return (log("domain", host(F.col("url")), 3, 150, 60, 140).unionByName(log("prefix", prefix(F.col("url")), 8, 250, 45, 100))
-            .unionByName(log("url", F.col("url"), 10, 300, 30, 50)))
+            .unionByName(log("prefix", prefix(F.col("url"), 2), 5, 200, 70, 120)).unionByName(log("url", F.col("url"), 10, 300, 30, 50)))

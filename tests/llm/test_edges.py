@@ -154,3 +154,33 @@ def test_conversations(spark):
     assert set(r["role"] for r in done.collect()) <= set(chat.ROLES)
     empty = chat.transcript_lines(spark.createDataFrame([], schema))
     assert chat.render(chat.decode(empty.select("conv_id", "pos", "line"), chat.learn(empty))).count() == 0
+
+
+@pytest.mark.parametrize("top", [5.0, 6e4, 3e9, 1e15, 3e38, 1e308])
+def test_scores_of_large_components_are_exact(spark, top):
+    """Every finite component counts in full, whatever its size; a score beyond a long ranks by its value."""
+    import math
+    import random
+    from fractions import Fraction
+    rng = random.Random(int(top))
+    rows = [(i, [rng.choice([rng.uniform(-1, 1), top * (2 * rng.random() - 1)]) for _ in range(6)]) for i in range(60)] + [(60, [0.0] * 6), (60, [1.0] * 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = {}
+    for r in topk.top_k(df, df.where("vec_id % 20 = 0"), 5).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    whole = [(i, [math.floor(Fraction(c) * 1024) for c in v]) for i, v in rows]
+    for q, v in whole:
+        if q % 20 == 0 and (q, v) != whole[-1]:
+            every = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in whole if i != q)
+            want = [(n + 1, i, max(-2 ** 63, min(2 ** 63 - 1, -s))) for n, (s, i) in enumerate(every[:5])]
+            assert [r[0] for r in sorted(got[q])] == [1, 2, 3, 4, 5] and [r[1:] for r in sorted(got[q])] == [w[1:] for w in want]
+
+
+def test_prefixes_of_any_depth(spark):
+    """A listed prefix of several steps holds for what lies below it, step by step."""
+    pages = spark.createDataFrame([(1, "http://h.org/a/b/c?x=/q", 5), (2, "http://h.org/a/bc", 5), (3, "http://h.org/a/b/", 5), (4, "http://h.org", 5),
+                                   (5, "http://u@H.org:80/a/b/c/d", 5), (6, "/a/b", 5), (7, "http://h.org/" + "a/" * 20_000, 5)], "page_id long, url string, fetched long")
+    log = spark.createDataFrame([("prefix", "h.org/a/b", 1, "add"), ("prefix", "h.org/a/b/c", 2, "add"), ("prefix", "h.org/a/b/c/d/e", 1, "add"),
+                                 ("prefix", "h.org/a/a/a", 1, "add")], "kind string, value string, at long, action string")
+    got = {r["page_id"]: r["rule_value"] for r in urls.judge(pages, log).collect()}
+    assert got == {1: "h.org/a/b/c", 2: None, 3: "h.org/a/b", 4: None, 5: "h.org/a/b/c", 6: None, 7: "h.org/a/a/a"}
