@@ -97,7 +97,7 @@ class Lists:
 
     def top(self, q: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the k best for ``q``, ties to smaller ids."""
-        reach = len(q) * self.most * most(q)                # no sum is larger
+        reach = max(len(q) * self.most * most(q), self.most, most(q))       # no sum, and no part, is larger
         form = np.float64 if reach < 2 ** 53 else np.int64 if reach < LONG else object
         x, value = self.form(form)
         weight = in_form(q, form)
