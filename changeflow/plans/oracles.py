@@ -44,6 +44,15 @@ FROM {src} GROUP BY user_id"""
 
 USER_STATE = _user_fold()
 
+STREAM_POISON = _user_fold(src="(SELECT * FROM events WHERE event_id NOT IN (7, 701))")
+
+STREAM_POISON_REJECTS = """
+WITH n AS (SELECT count(*) AS read, count(*) FILTER (WHERE event_id IN (7, 701)) AS rejected FROM events)
+SELECT 'users' AS "table", event_id AS lsn,
+       CASE event_type WHEN 'error' THEN 'D' ELSE 'U' END AS action, 'poison' AS reason,
+       read, read - rejected AS written, rejected, CAST(0 AS BIGINT) AS skipped
+FROM events, n WHERE event_id IN (7, 701)"""
+
 USER_NULLS = _user_fold(
     status_expr=f"CASE WHEN event_id % {fd.NULL_STATUS_EVERY} = 0 THEN NULL ELSE event_type END",
     status_filter=(f"event_type <> 'error' AND (event_type IN ('signup','click') "
@@ -220,6 +229,17 @@ SELECT "column", count(*) AS rows_compared, count(*) FILTER (WHERE gone) AS rows
        count(*) FILTER (WHERE NOT bad) AS rows_matched, count(*) FILTER (WHERE bad) AS rows_mismatched
 FROM u GROUP BY 1"""
 
+PARITY_DIGEST = f"""
+WITH s AS ({_SRC}), t AS (SELECT * REPLACE (CASE WHEN o_orderkey % 997 = 0 THEN CAST(p + 1 AS DECIMAL(12,2)) ELSE p END AS p) FROM s WHERE o_orderkey % 1009 <> 0),
+sx AS (SELECT o_orderkey, unnest(['o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderdate', 'o_orderpriority']) AS "column",
+              unnest([CAST(o_custkey AS VARCHAR), o_orderstatus, CAST(p AS VARCHAR), {cts('o_orderdate')}, o_orderpriority]) AS source FROM s),
+tx AS (SELECT o_orderkey, unnest(['o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderdate', 'o_orderpriority']) AS "column",
+              unnest([CAST(o_custkey AS VARCHAR), o_orderstatus, CAST(p AS VARCHAR), {cts('o_orderdate')}, o_orderpriority]) AS target FROM t)
+SELECT sx.o_orderkey, sx."column", sx.source, tx.target, tx.o_orderkey IS NOT NULL AS found
+FROM sx LEFT JOIN tx ON sx.o_orderkey = tx.o_orderkey AND sx."column" = tx."column"
+WHERE tx.o_orderkey IS NULL OR sx.source IS DISTINCT FROM tx.target
+UNION ALL SELECT -1 - o_orderkey, NULL, NULL, NULL, true FROM s WHERE o_orderkey % 1013 = 0"""
+
 PARITY_SAMPLE = """
 WITH keys AS (SELECT o_orderkey FROM orders ORDER BY md5('parity' || CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 100)
 SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 11 = 0 THEN 6 ELSE (CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END)
@@ -369,6 +389,8 @@ ORACLES = {
     "stream_replay": USER_STATE,
     "stream_restart": USER_STATE,
     "stream_rejects": REJECTS,
+    "stream_poison": STREAM_POISON,
+    "stream_poison_rejects": STREAM_POISON_REJECTS,
     "stream_rejects_row": REJECTS_ROW,
     "stream_drift": STREAM_DRIFT,
     "stream_resync": SCHEMA_BACKFILL,
@@ -384,6 +406,8 @@ ORACLES = {
     "status": STATUS,
     "progress": PROGRESS,
     "parity_report": PARITY_REPORT,
+    "parity_digest": PARITY_DIGEST,
+    "parity_digest_report": PARITY_REPORT,
     "parity_sample": PARITY_SAMPLE,
     "presence": PRESENCE,
     "missing_keys": MISSING_KEYS,

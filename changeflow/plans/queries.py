@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from changeflow.functions import (
     canonical_text, canonical_ts, int_to_lsn, lsn_to_int, parse_ts, typed_from_text,
 )
+from changeflow.operators import digest as dg
 from changeflow.operators import fold as fo
 from changeflow.operators import registry as rg
 from changeflow.operators import reports as rp
@@ -29,6 +30,7 @@ from changeflow.sources.store import VersionedStore
 from changeflow.specs import (
     CUSTOMERS, DELETED_AT, PRESENT_PREFIX, ROW_LSN, TPCH_ORDERS, USERS, TableSpec,
 )
+from changeflow.streaming.supervise import supervise
 from changeflow.streaming.stream import drain_and_stop, initialise, run_log, run_stream, schema_sync, store_status
 
 USER_FIELDS = USERS.fields
@@ -419,6 +421,35 @@ def stream_rejects(spark, sf_dir):
     return _stream_users(spark, fd.feed_j(spark, sf_dir), "j").rejects().select("table", "lsn", "action", "reason")
 
 
+POISON = (7, 701)                      # positions of the records that make their batch fail
+
+
+def _poisoned_users(spark, sf_dir) -> VersionedStore:
+    """Feed U through a supervised stream whose preparation fails at the records of ``POISON``."""
+    store = VersionedStore(spark, fresh_dir(spark, "store-p"), buckets=8)
+    path, half = _land_stream(spark, fd.feed_u(spark, sf_dir), "p")
+    ckpt = fresh_dir(spark, "checkpoint-p")
+    strict = lambda df: df.withColumn("action", F.when(F.col("lsn").isin(*POISON), F.raise_error(F.lit("cannot decode"))).otherwise(F.col("action")))
+    supervise(store, lambda isolate: run_stream(spark, path, store, [USERS], checkpoint=ckpt, max_files_per_trigger=half,
+                                                prepare=strict, isolate=isolate), first=0.05)
+    return store
+
+
+def stream_poison(spark, sf_dir):
+    """T-11, Q17: a supervised stream with records that make their batch fail: all other changes are applied."""
+    ensure_utc(spark)
+    return render(_poisoned_users(spark, sf_dir).read(USERS.name), USERS)
+
+
+def stream_poison_rejects(spark, sf_dir):
+    """T-11, Q17: what the supervised stream set aside, with read = written + rejected + skipped from its commits."""
+    ensure_utc(spark)
+    store = _poisoned_users(spark, sf_dir)
+    p = store.progress()
+    n = store.rejects().select("table", "lsn", "action", F.split("reason", ":")[0].alias("reason"))
+    return n.withColumns({c: p.select(c).scalar() for c in ("read", "written", "rejected", "skipped")})
+
+
 def stream_rejects_row(spark, sf_dir):
     """Q17 in row mode, feed K: changes that name no table are rejects like the others."""
     ensure_utc(spark)
@@ -587,6 +618,34 @@ def parity_report(spark, sf_dir):
                              TPCH_ORDERS.pk, ORDER_FIELDS + [DELETED_AT])
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = fresh_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def parity_digest(spark, sf_dir):
+    """J2, A9 by the tree of digests: a stored copy of the orders that lost every 1009th, has every 997th at another
+    price and some keys of its own. The fields that differ, and the keys that only the copy has."""
+    ensure_utc(spark)
+    src, pk = fd.orders_source(spark, sf_dir), TPCH_ORDERS.pk
+    price = F.when(F.col(pk) % 997 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).cast("decimal(12,2)")
+    own = src.where(F.col(pk) % 1013 == 0).withColumn(pk, -1 - F.col(pk))
+    copy = _written(src.where(F.col(pk) % 1009 != 0).withColumn("o_totalprice", price).unionByName(own), "copy")
+    at = dg.narrow(src, copy, pk, ORDER_FIELDS)
+    extra = dg.extra_keys(src, copy, pk, ORDER_FIELDS, at).select(
+        pk, F.lit(None).cast("string").alias("column"), F.lit(None).cast("string").alias("source"),
+        F.lit(None).cast("string").alias("target"), F.lit(True).alias("found"))
+    return dg.parity(src, copy, pk, ORDER_FIELDS, at).unionByName(extra)
+
+
+def parity_digest_report(spark, sf_dir):
+    """A12 by the tree of digests, against the folded target that lacks some orders: what ``parity_report`` gives."""
+    ensure_utc(spark)
+    return dg.parity_summary(_orders_source_with_deleted(spark, sf_dir), _written(_partial_target(spark, sf_dir), "target"),
+                             TPCH_ORDERS.pk, ORDER_FIELDS + [DELETED_AT])
+
+
 def parity_sample(spark, sf_dir):
     """O3 + J2: 100 keys sampled by a seeded hash, differing fields per key; the ops and the snapshot
     are cut down to the keys before they are folded."""
@@ -745,6 +804,8 @@ QUERIES = {
     "stream_replay": stream_replay,
     "stream_restart": stream_restart,
     "stream_rejects": stream_rejects,
+    "stream_poison": stream_poison,
+    "stream_poison_rejects": stream_poison_rejects,
     "stream_rejects_row": stream_rejects_row,
     "stream_drift": stream_drift,
     "stream_resync": stream_resync,
@@ -760,6 +821,8 @@ QUERIES = {
     "status": status,
     "progress": progress,
     "parity_report": parity_report,
+    "parity_digest": parity_digest,
+    "parity_digest_report": parity_digest_report,
     "parity_sample": parity_sample,
     "presence": presence,
     "missing_keys": missing_keys,

@@ -26,6 +26,7 @@ from changeflow.sources.log import ChangeLog, FeedGap
 from changeflow.sources.snapshot import snapshot_state
 from changeflow.sources.store import VersionedStore
 from changeflow.specs import DELETED_AT, FIELD_LSN_PREFIX, FIELD_SEQ_PREFIX, TableSpec
+from changeflow.streaming.supervise import poison_rejects, poisoned, without
 
 
 def batch_metrics(batch: DataFrame, tables: list[str], after: int | None) -> dict:
@@ -52,10 +53,20 @@ def batch_drift(batch: DataFrame, registered: dict) -> dict:
     return out
 
 
-def batch_handler(store: VersionedStore, names: list[str], stream: str, mode: str = "field"):
-    """Apply one micro-batch of parsed changes. ``covered``: the position up to which the feed is then applied."""
+def batch_handler(store: VersionedStore, names: list[str], stream: str, mode: str = "field", prepare=None, isolate: bool = False):
+    """Apply one micro-batch of parsed changes. ``covered``: the position up to which the feed is then applied.
+
+    ``prepare`` turns parsed records into parsed records, one for one (decoding, masking), before they are applied. With
+    ``isolate``, a batch that fails is searched for the records that make it fail (:mod:`supervise`): those become rejects.
+    """
+    ready = prepare or (lambda records: records)
+
+    def work(records: DataFrame, specs: dict) -> None:
+        """What applying does with each record, without writing anything (folding only compares places)."""
+        for spec in specs.values():
+            stage_ops(ready(records), spec).write.format("noop").mode("overwrite").save()
+
     def handle(batch: DataFrame, batch_id: int, covered: int | None = None) -> None:
-        begun = time.time()
         if batch_id <= store.batch_of(stream):
             return
         ensure_utc(batch.sparkSession)
@@ -64,10 +75,25 @@ def batch_handler(store: VersionedStore, names: list[str], stream: str, mode: st
         missing = [n for n, s in specs.items() if s is None]
         if missing:
             raise ValueError(f"not in the registry: {', '.join(missing)}; load a snapshot or register them")
-        after = (rec.get("snapshot") or {}).get("lsn")
         batch = batch.persist()
-        kept = [batch]
         try:
+            apply(batch, batch_id, covered, rec, specs, {})
+        except Exception:
+            found = poisoned(batch, lambda records: work(records, specs)) if isolate else {}
+            if not found:
+                raise
+            apply(batch, batch_id, covered, rec, specs, found)
+        finally:
+            batch.unpersist()
+
+    def apply(records: DataFrame, batch_id: int, covered: int | None, rec: dict, specs: dict, poison: dict) -> None:
+        begun = time.time()
+        after = (rec.get("snapshot") or {}).get("lsn")
+        batch = ready(without(records, poison) if poison else records)
+        kept = []
+        try:
+            if prepare or poison:
+                kept.append(batch := batch.persist())
             m = batch_metrics(batch, names, after)
             due = batch if after is None else batch.where(F.col("lsn") > F.lit(after))
             folded, rejects, n_bad = {}, envelope_rejects(batch, names), 0
@@ -78,9 +104,15 @@ def batch_handler(store: VersionedStore, names: list[str], stream: str, mode: st
                 folded[name] = (fo.coalesce(ops, spec.fields), spec.fields)
                 rejects = rejects.unionByName(bad)
                 n_bad += staged.where(F.size("_bad") > 0).count()
-            rejected = m["envelope"] + n_bad
-            meta = {"read": m["read"], "rejected": rejected, "written": m["due"] - n_bad, "skipped": m["read"] - m["due"] - m["envelope"],
-                    "max_lsn": m["max_lsn"], "first_commit": m["first_commit"], "last_commit": m["last_commit"], "seconds": time.time() - begun}
+            n_poison, places = 0, [m["max_lsn"]]
+            if poison:
+                aside = poison_rejects(records, poison)
+                rejects = rejects.unionByName(aside)
+                n_poison, high = aside.agg(F.count(F.lit(1)), F.max("lsn")).first()
+                places.append(high)
+            meta = {"read": m["read"] + n_poison, "rejected": m["envelope"] + n_bad + n_poison, "written": m["due"] - n_bad,
+                    "skipped": m["read"] - m["due"] - m["envelope"], "max_lsn": max((x for x in places if x is not None), default=None),
+                    "first_commit": m["first_commit"], "last_commit": m["last_commit"], "seconds": time.time() - begun}
             drift = batch_drift(batch, {n: s.column_names for n, s in specs.items()})
             syncs = {n: rec["tables"][n]["syncs"] for n in names}
             store.apply_batch(stream, batch_id, folded, meta, rejects, drift, mode, syncs, covered)
@@ -141,14 +173,14 @@ def resnapshot(store: VersionedStore, sources: dict, specs, l0: int,
 def run_stream(spark: SparkSession, feed_path: str, store: VersionedStore, specs,
                checkpoint: str | None = None, max_files_per_trigger: int | None = None,
                available_now: bool = True, processing_time: str = "500 milliseconds",
-               mode: str = "field", max_bytes_per_trigger: str | None = None):
+               mode: str = "field", max_bytes_per_trigger: str | None = None, prepare=None, isolate: bool = False):
     """Start (and for ``available_now`` drain to completion) the change stream. Tables the registry does not know
-    are registered first. A batch is bounded by bytes or files (T-2)."""
+    are registered first. A batch is bounded by bytes or files (T-2). ``prepare``, ``isolate``: see :func:`batch_handler`."""
     ensure_utc(spark)
     ckpt = checkpoint or fresh_dir(spark, "checkpoint")
     store.register(specs)
     feed = read_feed_stream(spark, feed_path, max_files_per_trigger, max_bytes_per_trigger)
-    writer = (feed.writeStream.foreachBatch(batch_handler(store, [s.name for s in specs], ckpt, mode))
+    writer = (feed.writeStream.foreachBatch(batch_handler(store, [s.name for s in specs], ckpt, mode, prepare, isolate))
               .option("checkpointLocation", ckpt))
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime=processing_time)
@@ -158,10 +190,10 @@ def run_stream(spark: SparkSession, feed_path: str, store: VersionedStore, specs
     return q
 
 
-def log_handler(log: ChangeLog, store: VersionedStore, names: list[str], stream: str, mode: str = "field"):
+def log_handler(log: ChangeLog, store: VersionedStore, names: list[str], stream: str, mode: str = "field", prepare=None, isolate: bool = False):
     """Apply the landings a micro-batch of the manifest names: those not applied yet, in order, from the files
     of the registered tables. A gap stops the stream before anything beyond it is applied."""
-    apply = batch_handler(store, names, stream, mode)
+    apply = batch_handler(store, names, stream, mode, prepare, isolate)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         covered = (store.record() or {}).get("covered") or 0
@@ -180,14 +212,14 @@ def log_handler(log: ChangeLog, store: VersionedStore, names: list[str], stream:
 
 def run_log(spark: SparkSession, log: ChangeLog, store: VersionedStore, specs, checkpoint: str | None = None,
             landings_per_trigger: int | None = None, available_now: bool = True, processing_time: str = "500 milliseconds",
-            mode: str = "field"):
+            mode: str = "field", prepare=None, isolate: bool = False):
     """Start (and for ``available_now`` drain) the stream of a change log into the store. It goes on from the position
     the store has applied, also with a new checkpoint; a batch is bounded by landings, those by records (T-2)."""
     ensure_utc(spark)
     ckpt = checkpoint or fresh_dir(spark, "checkpoint")
     store.register(specs)
     writer = (log.stream(landings_per_trigger).writeStream
-              .foreachBatch(log_handler(log, store, [s.name for s in specs], ckpt, mode)).option("checkpointLocation", ckpt))
+              .foreachBatch(log_handler(log, store, [s.name for s in specs], ckpt, mode, prepare, isolate)).option("checkpointLocation", ckpt))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     q = writer.start()
     if available_now:
