@@ -13,11 +13,13 @@ is not the records' fault: the error is raised, nothing is set aside.
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MOST = 100                                       # poison records of a batch beyond which the batch fails as a whole
+AT_ONCE = 8                                      # parts tried side by side
 FATAL = ("FeedGap", "DamagedRecord")             # errors that another start cannot mend
 
 
@@ -62,25 +64,31 @@ def poisoned(batch: DataFrame, work, most: int = MOST) -> dict[int, str]:
     """mark -> cause of the records of ``batch`` that make ``work(records)`` fail, each by itself. About two runs of
     ``work`` on ever smaller parts for each halving and poison record; the driver holds marks of poison records only."""
     found: dict[int, str] = {}
-    parts = [(-(1 << 63), (1 << 63) - 1)]
     marked = batch.withColumn("_mark", mark(batch))
-    while parts:
-        part = marked.where(F.col("_mark").between(*parts.pop()))
+
+    def halved(bounds: tuple[int, int]) -> list[tuple[int, int]]:
+        """Nothing, if the part's work is done; else its halves, or its one record among ``found``."""
+        part = marked.where(F.col("_mark").between(*bounds))
         try:
             work(part.drop("_mark"))
-            continue
+            return []
         except Exception as e:  # noqa: BLE001 - what the work raises is what is looked for
             error = e
         least, greatest = part.agg(F.min("_mark"), F.max("_mark")).first()
         if least is None:                                           # fails without records
             raise error
-        if least == greatest:
-            found[least] = cause(error)
-            if len(found) > most:
-                raise TooManyPoisoned(f"more than {most} records make the batch fail, one by: {found[least]}") from error
-        else:
+        if least < greatest:
             middle = (least + greatest) // 2
-            parts += [(middle + 1, greatest), (least, middle)]
+            return [(least, middle), (middle + 1, greatest)]
+        found[least] = cause(error)
+        if len(found) > most:
+            raise TooManyPoisoned(f"more than {most} records make the batch fail, one by: {found[least]}") from error
+        return []
+
+    parts = [(-(1 << 63), (1 << 63) - 1)]
+    with ThreadPoolExecutor(AT_ONCE) as pool:                       # small parts: their jobs run side by side
+        while parts:
+            parts = [x for halves in pool.map(halved, parts) for x in halves]
     return found
 
 
