@@ -12,7 +12,8 @@ document is; all other pairs are joined by pair, and none of them holds more tha
 in ``FREQUENT`` of all links, so no task holds a hot pair.
 
 Scale: both tokenizers run once; what is written per document is its distinct pairs with their number. The
-memory of windows is bounded (``KEPT`` windows twice over: when full, the older half goes).
+memory of windows is bounded (``KEPT`` windows twice over: when full, the older half goes); windows not
+remembered are aligned in one pass over those of ``TOGETHER`` characters of texts.
 
 Defined cases: null and empty texts, and those whose joined tokens of A or B are not space + text
 in bytes, have no tokens: zeros, and '' for ``groups_sha256``. Special tokens' strings in a text are plain
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterable, Iterator
 from itertools import chain, pairwise
 
 import numpy as np
@@ -36,6 +38,7 @@ from changeflow.llm.pack import encoder, is_plain
 
 FREQUENT = 1 << 16
 KEPT, LONGEST = 1 << 17, 24      # windows a worker remembers, twice over, and the most tokens of such a window
+TOGETHER = 1 << 19               # characters of texts whose unknown windows are aligned in one pass
 _BYTE = re.compile(r"<0x([0-9A-Fa-f]{2})>")
 
 
@@ -63,10 +66,11 @@ class Pair:
         self.b = [self._piece(i) for i in range(self.pieces.get_piece_size())]
         self.len_a, self.len_b = (np.array([len(t) for t in x], dtype=np.int64) for x in (self.a, self.b))
         self.space_a, self.space_b = (np.array([t[:1] == b" " for t in x]) for x in (self.a, self.b))
-        self.size_a, self.size_b = self.len_a.tolist(), self.len_b.tolist()
-        self.said_a, self.said_b = ([str(i) for i in range(len(x))] for x in (self.a, self.b))
-        self.known: dict[tuple, tuple] = {}
-        self.before: dict[tuple, tuple] = {}         # the windows known when the memory was full last
+        # an id as it is said inside its group, and as the last of its side there
+        self.first_b = len(self.a)
+        self.said = [f"{i}{m}" for x, marks in ((self.a, ",|"), (self.b, ",;")) for i in range(len(x)) for m in marks]
+        self.known: dict[bytes, tuple] = {}
+        self.before: dict[bytes, tuple] = {}         # the windows known when the memory was full last
 
     def _piece(self, i: int) -> bytes:
         piece = self.pieces.id_to_piece(i)
@@ -86,58 +90,91 @@ class Pair:
             return None
         return a, b
 
-    def window(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[str, list[int]]:
-        """(groups as text, linked pairs) of the ids of one window, which begin and end together."""
-        found = self.before.get((a, b))
-        if found is None:
-            size_a, size_b, said_a, said_b = self.size_a, self.size_b, self.said_a, self.said_b
-            groups, links = [], []
-            end_a = end_b = first_a = first_b = j = 0
-            for i, x in enumerate(a, 1):
-                end_a += size_a[x]
-                while end_b < end_a:
-                    y = b[j]
-                    end_b += size_b[y]
-                    j += 1
-                if end_a == end_b:
-                    if i - first_a == 1 == j - first_b:
-                        groups.append(f"{said_a[x]}|{said_b[y]}")
-                    else:
-                        groups.append(",".join([said_a[k] for k in a[first_a:i]]) + "|" + ",".join([said_b[k] for k in b[first_b:j]]))
-                    links.append((x << 32) | y)
-                    first_a, first_b = i, j
-            found = (";".join(groups), links)
-        if len(a) + len(b) <= LONGEST:
-            if len(self.known) >= KEPT:
-                self.before, self.known = self.known, {}
-            self.known[a, b] = found
+    def windows(self, keys: list[bytes]) -> list[tuple[str, bytes]]:
+        """(groups as text, linked pairs) of each window. A window begins and ends together, so windows one after the other
+        are aligned in one pass: a group ends where tokens of both end."""
+        ids = np.frombuffer(b"".join(keys), np.int32).astype(np.int64)
+        if not len(ids):
+            return []
+        is_b = ids >= self.first_b
+        a, b = ids[~is_b], ids[is_b] - self.first_b
+        tokens = np.cumsum(np.fromiter(map(len, keys), np.int64, len(keys)) // 4)
+        end_a, end_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
+        shared = np.intersect1d(end_a, end_b, assume_unique=True)
+        last_a, last_b = np.searchsorted(end_a, shared), np.searchsorted(end_b, shared)
+        links = ((a[last_a] << 32) | b[last_b]).tobytes()
+        # tokens in the order of the text: a group's A ids, then its B ids; the last of either has another mark behind it
+        code_a, code_b = a * 2, (b + self.first_b) * 2
+        code_a[last_a] += 1
+        code_b[last_b] += 1
+        order = np.empty(len(ids), np.int64)
+        order[np.arange(len(a)) + np.append(0, last_b + 1)[np.searchsorted(shared, end_a)]] = code_a
+        order[np.arange(len(b)) + (last_a + 1)[np.searchsorted(shared, end_b)]] = code_b
+        said = list(map(self.said.__getitem__, order.tolist()))
+        groups = 8 * (np.searchsorted(shared, end_a[np.cumsum(~is_b)[tokens - 1] - 1]) + 1)
+        return [("".join(said[i:j])[:-1], links[g:h])
+                for (i, j), (g, h) in zip(pairwise([0, *tokens.tolist()]), pairwise([0, *groups.tolist()]), strict=True)]
+
+    def learn(self, keys: set[bytes]) -> dict[bytes, tuple]:
+        """The alignments of windows that ``known`` lacks, remembered from now on unless long."""
+        found = {k: self.before[k] for k in keys if k in self.before}
+        new = [k for k in keys if k not in found]
+        found.update(zip(new, self.windows(new), strict=True))
+        for key, x in found.items():
+            if len(key) <= 4 * LONGEST:
+                if len(self.known) >= KEPT:
+                    self.before, self.known = self.known, {}
+                self.known[key] = x
         return found
 
-    def cuts(self, a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
-        """Where the anchors cut the ids of a document, in A's and in B's tokens, with both ends."""
-        ia, ib = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+    def split(self, text: str | None) -> tuple[int, int, list[bytes]]:
+        """(n_a, n_b, windows) of a whole text, cut at its anchors. A window is the tuple of its A ids and its B ids, the
+        latter ``first_b`` higher, as the bytes of 32-bit numbers: one key that nothing else shares."""
+        both = self.ids(text or "")
+        if both is None:
+            return 0, 0, []
+        ia, ib = (np.array(x, dtype=np.int64) for x in both)
         start_a, start_b = np.cumsum(self.len_a[ia]) - self.len_a[ia], np.cumsum(self.len_b[ib]) - self.len_b[ib]
         at_a, at_b = np.flatnonzero(self.space_a[ia]), np.flatnonzero(self.space_b[ib])
         marked = np.zeros((2, int(max(start_a[-1], start_b[-1])) + 1), dtype=bool)       # bytes of the text
         marked[0, start_a[at_a]] = True
         marked[1, start_b[at_b]] = True
-        x, y = at_a[marked[1, start_a[at_a]]].tolist(), at_b[marked[0, start_b[at_b]]].tolist()
-        first = 1 if x and x[0] == 0 else 0                                              # the text's own beginning is no cut
-        return [0, *x[first:], len(a)], [0, *y[first:], len(b)]
-
-    def align(self, text: str | None):
-        """(n_a, n_b, n_groups, groups as text, linked pairs in order) of a whole text."""
-        both = self.ids(text or "")
-        if both is None:
-            return 0, 0, 0, "", []
-        a, b = map(tuple, both)
-        cuts_a, cuts_b = self.cuts(*both)
-        keys = list(zip([a[i:j] for i, j in pairwise(cuts_a)], [b[i:j] for i, j in pairwise(cuts_b)], strict=True))
-        found = list(map(self.known.get, keys))
-        if None in found:
-            found = [x or self.window(*key) for x, key in zip(found, keys, strict=True)]
-        links = list(chain.from_iterable([x[1] for x in found]))
-        return len(a), len(b), len(links), ";".join([x[0] for x in found]), links     # every group ends in one link
+        x, y = at_a[marked[1, start_a[at_a]]], at_b[marked[0, start_b[at_b]]]
+        first = 1 if len(x) and x[0] == 0 else 0                                         # the text's own beginning is no cut
+        x, y = np.append(x[first:], len(ia)), np.append(y[first:], len(ib))              # ends of the windows
+        n_a, n_b = np.diff(x, prepend=0), np.diff(y, prepend=0)
+        ids = np.empty(len(ia) + len(ib), np.int32)
+        ids[np.arange(len(ia)) + np.repeat(y - n_b, n_a)] = ia
+        ids[np.arange(len(ib)) + np.repeat(x, n_b)] = ib + self.first_b
+        raw = ids.tobytes()
+        return len(ia), len(ib), [raw[i:j] for i, j in pairwise([0, *(4 * (x + y)).tolist()])]
+
+    def align(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, str, np.ndarray]]:
+        """(n_a, n_b, n_groups, groups as text, linked pairs in order) of each whole text; the windows of all of them that
+        are not known yet are aligned together."""
+        docs = [self.split(t) for t in texts]
+        known = [list(map(self.known.get, keys)) for *_, keys in docs]
+        unknown = {key for (*_, keys), found in zip(docs, known, strict=True) if None in found
+                   for key, x in zip(keys, found, strict=True) if x is None}
+        learned = self.learn(unknown)
+        for (n_a, n_b, keys), found in zip(docs, known, strict=True):
+            if None in found:
+                found = [x or learned[key] for x, key in zip(found, keys, strict=True)]
+            links = np.frombuffer(b"".join([x[1] for x in found]), np.int64)
+            yield n_a, n_b, len(links), ";".join([x[0] for x in found]), links       # every group ends in one link
+
+
+def together(texts: Iterable[str | None], size: int = TOGETHER) -> Iterator[list[str | None]]:
+    """Texts in lists of up to ``size`` characters, or of one longer text."""
+    out, n = [], 0
+    for t in texts:
+        if out and n + len(t or "") > size:
+            yield out
+            out, n = [], 0
+        out.append(t)
+        n += len(t or "")
+    if out:
+        yield out
 
 
 _pairs: dict[tuple[str, str, str], Pair] = {}
@@ -160,10 +197,9 @@ def aligned(docs: DataFrame, json_path: str, ranks_path: str, model_path: str) -
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 rows, ends, pairs, times = [], [0], [], []
-                for t in part.column(1):
-                    n_a, n_b, n, groups, links = both.align(t.as_py())
+                for n_a, n_b, n, groups, links in chain.from_iterable(map(both.align, together(t.as_py() for t in part.column(1)))):
                     rows.append((n_a, n_b, n, len(links), hashlib.sha256(groups.encode()).hexdigest() if n_a else ""))
-                    p, c = np.unique(np.array(links, dtype=np.int64), return_counts=True)
+                    p, c = np.unique(links, return_counts=True)
                     pairs.append(p)
                     times.append(c.astype(np.int32))
                     ends.append(ends[-1] + len(p))

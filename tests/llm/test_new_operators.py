@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -258,9 +259,9 @@ def test_align_empty_table(edges):
 def test_windows_put_together_are_the_whole(both, text):
     """Anchors and windows change nothing: groups and links are those of the whole text."""
     p = align.pair(queries.JSON, queries.RANKS, queries.PIECES)
-    n_a, n_b, n, groups, links = p.align(text)
+    n_a, n_b, n, groups, links = next(p.align([text]))
     assert (0, n_a, n_b, n, len(links)) == plain_alignment([(0, text)], both)[0][:5]
     whole = both(text)
     if whole:
-        found = p.window(tuple(whole[0]), tuple(whole[1]))
-        assert (found[0], found[1], len(found[1])) == (groups, links, n)
+        one = np.array([*whole[0], *(i + p.first_b for i in whole[1])], np.int32).tobytes()
+        assert p.windows([one]) == [(groups, links.tobytes())] and len(links) == n
