@@ -12,7 +12,7 @@ document is; all other pairs are joined by pair, and none of them holds more tha
 in ``FREQUENT`` of all links, so no task holds a hot pair.
 
 Scale: both tokenizers run once; what is written per document is its distinct pairs with their number. The
-memory of windows is bounded (``KEPT`` windows twice over: when full, the older half goes); windows not
+memory of windows is bounded (``KEPT`` windows and those of one pass, twice over: when full, the older half goes); windows not
 remembered are aligned in one pass over those of ``TOGETHER`` characters of texts.
 
 Defined cases: null and empty texts, and those whose joined tokens of A or B are not space + text
@@ -117,14 +117,13 @@ class Pair:
 
     def learn(self, keys: set[bytes]) -> dict[bytes, tuple]:
         """The alignments of windows that ``known`` lacks, remembered from now on unless long."""
-        found = {k: self.before[k] for k in keys if k in self.before}
-        new = [k for k in keys if k not in found]
+        before = self.before
+        found = {k: before[k] for k in keys if k in before} if before else {}
+        new = [k for k in keys if k not in found] if found else list(keys)
         found.update(zip(new, self.windows(new), strict=True))
-        for key, x in found.items():
-            if len(key) <= 4 * LONGEST:
-                if len(self.known) >= KEPT:
-                    self.before, self.known = self.known, {}
-                self.known[key] = x
+        if len(self.known) >= KEPT:
+            self.before, self.known = self.known, {}
+        self.known.update({k: x for k, x in found.items() if len(k) <= 4 * LONGEST})
         return found
 
     def split(self, text: str | None) -> tuple[int, int, list[bytes]]:
