@@ -403,6 +403,7 @@ ORACLES = {
     "value_equality": VALUE_EQUALITY,
     "max_id_empty": MAX_ID_EMPTY,
     "stream_snapshot": ORDERS_FIELD,
+    "snapshot_resume": ORDERS_FIELD,
     "status": STATUS,
     "progress": PROGRESS,
     "parity_report": PARITY_REPORT,

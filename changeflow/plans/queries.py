@@ -22,6 +22,7 @@ from changeflow.operators import reports as rp
 from changeflow.operators.ops import envelope_rejects, to_generic_ops, to_ops, to_ops_with_rejects
 from changeflow.plans import feeds as fd
 from changeflow.session import ensure_utc, fresh_dir
+from changeflow.sources.chunks import load_chunks
 from changeflow.sources.feed import dml_filter, entries_map, fence, parse_feed, pick, table_filter, types_map
 from changeflow.sources.log import ChangeLog
 from changeflow.sources.records import entry, record
@@ -577,6 +578,33 @@ def stream_snapshot(spark, sf_dir):
     return _render_orders(_orders_stream(spark, sf_dir).read(TPCH_ORDERS.name))
 
 
+class _Ended(Exception):
+    """A load that is ended midway."""
+
+
+def snapshot_resume(spark, sf_dir):
+    """S2, S6, T-7: the snapshot in six ranges of keys, ended after three and gone on with in another store object; then
+    the change stream on top."""
+    ensure_utc(spark)
+    root, source = fresh_dir(spark, "store-c"), {TPCH_ORDERS.name: fd.orders_source(spark, sf_dir)}
+    asked = []
+
+    def position():
+        asked.append(fd.L0)
+        if len(asked) == 4:
+            raise _Ended
+        return fd.L0
+    try:
+        load_chunks(VersionedStore(spark, root, buckets=8), source, [TPCH_ORDERS], position, 6)
+    except _Ended:
+        pass
+    store = VersionedStore(spark, root, buckets=8)
+    load_chunks(store, source, [TPCH_ORDERS], position, 6)
+    path, half = _land_stream(spark, fd.feed_o(spark, sf_dir), "o")
+    run_stream(spark, path, store, [TPCH_ORDERS], max_files_per_trigger=half)
+    return _render_orders(store.read(TPCH_ORDERS.name))
+
+
 def status(spark, sf_dir):
     """T-14: applied position, backlog to the feed's head, snapshot rows and row counts of the store."""
     ensure_utc(spark)
@@ -818,6 +846,7 @@ QUERIES = {
     "value_equality": value_equality,
     "max_id_empty": max_id_empty,
     "stream_snapshot": stream_snapshot,
+    "snapshot_resume": snapshot_resume,
     "status": status,
     "progress": progress,
     "parity_report": parity_report,

@@ -293,13 +293,16 @@ class VersionedStore:
     def replace(self, states: dict, specs, meta: dict | None = None) -> dict:
         """Write whole tables as a new version (snapshot load): ``states`` maps names to DataFrames in target
         layout. Their counts go into the record; tables not named stay."""
-        layers = {s.name: self._write(s.name, states[s.name], typed_fields(s), 0) for s in specs}
+        return self.adopt({s.name: self._write(s.name, states[s.name], typed_fields(s), 0) for s in specs}, specs, meta)
 
+    def adopt(self, layers: dict, specs, meta: dict | None = None) -> dict:
+        """Make layers that are written the whole of their tables, in a new version; a load in chunks ends with it."""
         def change(rec):
             tables = rec.setdefault("tables", {})
             for s in specs:
                 tables[s.name] = self._new_table(s) | {"base": layers[s.name]}
             rec |= {"meta": {}, "batch_id": None, "rejects": None}
+            rec.pop("loading", None)
             if meta and "snapshot" in meta:
                 rec["snapshot"] = meta["snapshot"] | {"counts": {n: x["rows"] for n, x in layers.items()}}
                 rec["applied_lsn"] = max([x for x in (rec.get("applied_lsn"), meta["snapshot"]["lsn"]) if x is not None], default=None)
@@ -456,8 +459,10 @@ class VersionedStore:
         latest = self.latest_version()
         if latest is None:
             return []
-        used = {x["path"] for v in range(max(0, latest - keep_last + 1), latest + 1)
-                for t in ((self.record(v) or {}).get("tables") or {}).values() for x in self._layers(t)}
+        records = [self.record(v) or {} for v in range(max(0, latest - keep_last + 1), latest + 1)]
+        used = {x["path"] for rec in records for t in (rec.get("tables") or {}).values() for x in self._layers(t)}
+        used |= {x["path"] for rec in records for t in (rec.get("loading") or {"tables": {}})["tables"].values()
+                 for x in [*t["parts"].values(), *([t["base"]] if t["base"] else [])]}     # a load under way
         names = {u.rsplit("/", 2)[-2] + "/" + u.rsplit("/", 1)[-1] for u in used}
         fs, data = self._fs(f"{self.root}/data")
         out, limit = [], (time.time() - older_than_s) * 1000

@@ -21,6 +21,7 @@ from changeflow.operators import fold as fo
 from changeflow.operators.ops import envelope_rejects, split_staged, stage_ops
 from changeflow.operators.registry import feed_columns, live_columns, registry_frame, schema_diff
 from changeflow.session import ensure_utc, fresh_dir
+from changeflow.sources.chunks import load_chunks
 from changeflow.sources.feed import DML_ACTIONS, read_feed_stream
 from changeflow.sources.log import ChangeLog, FeedGap
 from changeflow.sources.snapshot import snapshot_state
@@ -122,9 +123,10 @@ def batch_handler(store: VersionedStore, names: list[str], stream: str, mode: st
     return handle
 
 
-def initialise(store: VersionedStore, sources: dict, specs, l0: int, log: ChangeLog | None = None) -> bool:
+def initialise(store: VersionedStore, sources: dict, specs, l0: int, log: ChangeLog | None = None, chunks: int | None = None) -> bool:
     """T-7: load the snapshot as the first version unless a completed one is recorded and the log, if given,
-    still follows on what is applied; if it does not, the snapshot is taken anew (:func:`resnapshot`). Returns
+    still follows on what is applied; if it does not, the snapshot is taken anew (:func:`resnapshot`). With
+    ``chunks``, the first one is loaded in ranges of keys and goes on where an ended load stopped. Returns
     True when a snapshot was loaded; its row counts are in the record."""
     rec = store.record() or {}
     snap = rec.get("snapshot") or {}
@@ -133,6 +135,9 @@ def initialise(store: VersionedStore, sources: dict, specs, l0: int, log: Change
             return False
         resnapshot(store, sources, specs, l0)
         return True
+    if chunks:
+        load_chunks(store, sources, specs, l0, chunks)
+        return True
     states = {s.name: snapshot_state(sources[s.name], s, l0) for s in specs}
     store.replace(states, specs, meta={"snapshot": {"done": True, "lsn": l0}})
     return True
