@@ -86,11 +86,15 @@ def parse_bool(text: Column) -> Column:
 
 def canonical_text(type_name: Column, v: Column) -> Column:
     """Canonical value as STRING, chosen by the record's type family."""
-    fam = type_family(type_name)
     s = variant_text(v)
+    return canonical_of_text(type_family(type_name), s, parse_ts(s))
+
+
+def canonical_of_text(fam: Column, s: Column, at: Column) -> Column:
+    """Canonical value as STRING from the type family, the raw text and, for timestamps, the instant it names."""
     return (F.when(s.isNull(), F.lit(None).cast("string"))
             .when(fam == "decimal", F.when(s.rlike(_NUMBER_RE), F.trim(s)))
-            .when(fam == "timestamp", canonical_ts(parse_ts(s)))
+            .when(fam == "timestamp", canonical_ts(at))
             .when(fam == "boolean", parse_bool(s).cast("string"))
             .when(fam == "integer", _try_cast(F.trim(s), "bigint").cast("string"))
             .otherwise(s))

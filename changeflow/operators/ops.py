@@ -26,9 +26,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.functions import (
-    canonical_text, canonical_ts, typed_from_text, variant_json, variant_text,
+    canonical_of_text, canonical_text, canonical_ts, parse_ts, type_family, typed_from_text, variant_json, variant_text,
 )
-from changeflow.sources.feed import dml_filter, fence, pick, table_filter
+from changeflow.sources.feed import COLUMN_DDL, dml_filter, fence, pick, table_filter
 from changeflow.specs import DELETED_AT, PRESENT_PREFIX, TableSpec
 
 def changed(new_entry: Column, old_entry: Column) -> Column:
@@ -157,28 +157,32 @@ def to_generic_ops(feed: DataFrame, pk_of: dict, tracked_of: dict) -> DataFrame:
     pk_map = F.create_map(*[x for t in tables for x in (F.lit(t), F.lit(pk_of[t]))])
     tracked_map = F.create_map(*[x for t in tables
                                  for x in (F.lit(t), F.array(*[F.lit(c) for c in tracked_of[t]]))])
-    action = F.col("action")
+    is_d = F.col("action") == "D"
     pk_name = pk_map[F.col("table")]
-    src = F.when(action == "D", F.col("identity")).otherwise(F.col("columns"))
-    pk_entry = pick(src, pk_name)
+    gone = F.array(F.struct(F.lit(DELETED_AT).alias("name"), F.lit(None).cast("string").alias("type"),
+                            F.lit(None).cast("variant").alias("value"))).cast(COLUMN_DDL)
     base = fence(f.select(
-        "table", "lsn", "seq", "action", "columns", "identity",
-        (action == "D").alias("is_delete"),
-        canonical_text(pk_entry["type"], pk_entry["value"]).alias("pk"),
-        F.coalesce(F.col("commit_ts"), F.col("ingest_ts")).alias("_del_ts"),
+        "table", "lsn", "seq", "action", "identity", F.when(is_d, gone).otherwise(F.col("columns")).alias("cells"),
+        pick(F.when(is_d, F.col("identity")).otherwise(F.col("columns")), pk_name).alias("_k"),
+        F.when(is_d, F.coalesce(F.col("commit_ts"), F.col("ingest_ts"))).alias("_del_ts"),
         tracked_map[F.col("table")].alias("_tracked"), pk_name.alias("_pk_name")))
-    ex = base.where(action != "D").select(
-        "table", "pk", "lsn", "seq", "action", "is_delete", "identity", "_tracked", "_pk_name",
-        F.posexplode("columns").alias("pos", "e"))
-    name = F.col("e")["name"]
-    keep = (F.array_contains(F.col("_tracked"), name) & (name != F.col("_pk_name"))
-            & ((F.col("action") == "I") | changed(F.col("e"), pick(F.col("identity"), name))))
-    setrows = ex.where(keep).select(
-        "table", "pk", name.alias("field"),
-        canonical_text(F.col("e")["type"], F.col("e")["value"]).alias("value"),
-        "lsn", "seq", "pos", "is_delete")
-    delrows = base.where("is_delete").select(
-        "table", "pk", F.lit(DELETED_AT).alias("field"),
-        canonical_ts(F.col("_del_ts")).alias("value"), "lsn", "seq",
-        F.lit(0).alias("pos"), "is_delete")
-    return setrows.unionByName(delrows)
+    base = _canonical(base, "_k", "pk")
+    # a deletion is one cell of its own, so that all changes come from one pass over the feed
+    ex = fence(base.select(
+        "table", "pk", "lsn", "seq", "action", "identity", "_del_ts", "_tracked", "_pk_name",
+        F.posexplode("cells").alias("pos", "e")).select("*", F.col("e")["name"].alias("field")))
+    ex = fence(ex.select("table", "pk", "lsn", "seq", "action", "_del_ts", "pos", "e", "field",
+                         (F.array_contains(F.col("_tracked"), F.col("field")) & (F.col("field") != F.col("_pk_name"))).alias("_mine"),
+                         F.when(F.col("action") == "U", pick(F.col("identity"), F.col("field"))).alias("_old")))
+    keep = is_d | (F.col("_mine") & ((F.col("action") == "I") | changed(F.col("e"), F.col("_old"))))
+    cells = _canonical(ex.where(keep).select("table", "pk", "field", "lsn", "seq", "pos", is_d.alias("is_delete"), "_del_ts", "e"), "e", "value")
+    return cells.select("table", "pk", "field", F.when(F.col("is_delete"), canonical_ts(F.col("_del_ts"))).otherwise(F.col("value")).alias("value"),
+                        "lsn", "seq", "pos", "is_delete")
+
+
+def _canonical(df: DataFrame, entry: str, to: str) -> DataFrame:
+    """``canonical_text`` of an entry column, which it takes the place of, in fenced steps: text and family, the instant of timestamps, the text of each family."""
+    rest = [c for c in df.columns if c != entry]
+    read = fence(df.select(*rest, type_family(F.col(entry)["type"]).alias("_fam"), variant_text(F.col(entry)["value"]).alias("_s")))
+    at = fence(read.select(*rest, "_fam", "_s", F.when(F.col("_fam") == "timestamp", parse_ts(F.col("_s"))).alias("_at")))
+    return fence(at.select(*rest, canonical_of_text(F.col("_fam"), F.col("_s"), F.col("_at")).alias(to)))
