@@ -31,6 +31,9 @@ from changeflow.functions import (
 from changeflow.sources.feed import COLUMN_DDL, dml_filter, fence, pick, table_filter
 from changeflow.specs import DELETED_AT, PRESENT_PREFIX, TableSpec
 
+FIELDS_AT_ONCE = 4    # columns a step of :func:`stage_ops` takes: more make methods beyond 8000 bytes, which run uncompiled
+
+
 def changed(new_entry: Column, old_entry: Column) -> Column:
     """The new column differs from the old image, or is absent from it."""
     return new_entry.isNotNull() & (
@@ -38,6 +41,11 @@ def changed(new_entry: Column, old_entry: Column) -> Column:
         | ~variant_json(new_entry["value"]).eqNullSafe(variant_json(old_entry["value"])))
 
 
+def _at(arr: str, names: str, name: str) -> Column:
+    """:func:`feed.pick` with the reversed names at hand: the last entry of that name (NULL if absent)."""
+    return F.get(F.col(arr), F.size(F.col(arr)) - F.array_position(F.col(names), name).cast("int"))
+
+
 def _check_tracked(spec: TableSpec, tracked) -> list[str]:
     tracked = [c for c in (tracked if tracked is not None else spec.column_names)]
     if not tracked:
@@ -48,55 +56,61 @@ def _check_tracked(spec: TableSpec, tracked) -> list[str]:
 def stage_ops(feed: DataFrame, spec: TableSpec, tracked=None, revive_on_insert: bool = False) -> DataFrame:
     """Parsed feed -> op rows of one table with the names of columns that do not coerce (``_bad``).
 
-    Three projections, each computing a sub-result once: (1) look up every tracked
-    column in the after- and before-image, (2) raw text and changed flags, (3)
-    typed values. Kept apart, each stays small enough for whole-stage codegen.
+    Steps that each compute a sub-result once: the names of both images, where every tracked column lies and its
+    value there, raw text and changed flags, typed values. A step takes ``FIELDS_AT_ONCE`` columns and is
+    fenced: its generated method stays small enough for the JVM to compile, also for wide tables.
     """
     tracked = _check_tracked(spec, tracked)
     fields = [c for c in tracked if c != spec.pk]
     f = dml_filter(table_filter(feed.where(~F.col("_corrupt")), [spec.name]))
     base = ["lsn", "seq", "commit_ts", "ingest_ts", "action", "_raw"]
 
-    # (1) lookups
-    is_d = F.col("action") == "D"
-    s1 = f.select(
-        *base,
-        F.when(is_d, pick(F.col("identity"), spec.pk))
-         .otherwise(pick(F.col("columns"), spec.pk))["value"].alias("_kv"),
-        *[pick(F.col("columns"), c).alias("_n_" + c) for c in fields],
-        *[pick(F.col("identity"), c).alias("_o_" + c) for c in fields])
-
-    # (2) raw text + presence
     action = F.col("action")
     is_i, is_u, is_d = action == "I", action == "U", action == "D"
-    s2_cols = [*base, variant_text(F.col("_kv")).alias("_kt")]
-    for c in fields:
-        new, old = F.col("_n_" + c), F.col("_o_" + c)
-        present = (F.when(is_i, new.isNotNull())
-                   .when(is_u, changed(new, old))
-                   .otherwise(F.lit(False)))
-        s2_cols += [present.alias(PRESENT_PREFIX + c),
-                    variant_text(new["value"]).alias("_t_" + c)]
-    s2 = s1.select(*s2_cols)
-
-    # (3) typed values, rejects
+    df = fence(f.select(*base, "columns", "identity", F.reverse(F.col("columns.name")).alias("_nn"),
+                        F.reverse(F.col("identity.name")).alias("_on")))
+    df = fence(df.select(*base, "columns", "identity", "_nn", "_on", variant_text(F.when(
+        is_d, _at("identity", "_on", spec.pk)).otherwise(_at("columns", "_nn", spec.pk))["value"]).alias("_kt")))
+    carried = [*base, "_kt"]
+
+    groups = [fields[i:i + FIELDS_AT_ONCE] for i in range(0, len(fields), FIELDS_AT_ONCE)]
+    for n, some in enumerate(groups):
+        images = [] if n == len(groups) - 1 else ["columns", "identity", "_nn", "_on"]
+        # lookups
+        looked = fence(df.select(*carried, *images, *[_at("columns", "_nn", c).alias("_n_" + c) for c in some],
+                                 *[F.when(is_u, _at("identity", "_on", c)).alias("_o_" + c) for c in some]))
+        # raw text + presence
+        texts = []
+        for c in some:
+            new, old = F.col("_n_" + c), F.col("_o_" + c)
+            present = (F.when(is_i, new.isNotNull())
+                       .when(is_u, changed(new, old))
+                       .otherwise(F.lit(False)))
+            texts += [present.alias(PRESENT_PREFIX + c), variant_text(new["value"]).alias("_t_" + c)]
+        read = fence(looked.select(*carried, *images, *texts))
+        # typed values and whether they do not coerce
+        typed = []
+        for c in some:
+            p, t = F.col(PRESENT_PREFIX + c), F.col("_t_" + c)
+            typed += [F.when(p, typed_from_text(t, spec.spark_type(c))).alias(c), p,
+                      (p & t.isNotNull()).alias("_s_" + c)]
+        df = fence(read.select(*carried, *images, *typed))
+        carried += [x for c in some for x in (c, PRESENT_PREFIX + c, "_s_" + c)]
+
+    # key, rejects
     pk_val = typed_from_text(F.col("_kt"), spec.spark_type(spec.pk))
-    cols = [pk_val.alias("pk"), "lsn", "seq", "commit_ts", "action",
-            (F.col("action") == "D").alias("is_delete")]
+    cols = [pk_val.alias("pk"), "lsn", "seq", "commit_ts", "action", is_d.alias("is_delete")]
     bad = [F.when(pk_val.isNull(), F.lit(spec.pk))]
     for c in fields:
-        p, t = F.col(PRESENT_PREFIX + c), F.col("_t_" + c)
-        val = typed_from_text(t, spec.spark_type(c))
-        cols += [F.when(p, val).alias(c), p]
-        bad.append(F.when(p & t.isNotNull() & val.isNull(), F.lit(c)))
-    dl = F.col("action") == "D"
+        cols += [c, PRESENT_PREFIX + c]
+        bad.append(F.when(F.col("_s_" + c) & F.col(c).isNull(), F.lit(c)))
     delete_ts = F.coalesce(F.col("commit_ts"), F.col("ingest_ts"))
     # Q6: by default an insert never clears a tombstone (sticky, as in the reference);
     # revive_on_insert makes an insert set deleted_at to NULL at its position
-    del_present = (dl | (F.col("action") == "I")) if revive_on_insert else dl
-    cols += [F.when(dl, delete_ts).alias(DELETED_AT), del_present.alias(PRESENT_PREFIX + DELETED_AT)]
+    del_present = (is_d | is_i) if revive_on_insert else is_d
+    cols += [F.when(is_d, delete_ts).alias(DELETED_AT), del_present.alias(PRESENT_PREFIX + DELETED_AT)]
     reason = F.array_compact(F.array(*bad))
-    return fence(s2.select(*cols, reason.alias("_bad"), F.col("_raw")))
+    return fence(df.select(*cols, reason.alias("_bad"), F.col("_raw")))
 
 
 def split_staged(staged: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
