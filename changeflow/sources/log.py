@@ -57,6 +57,13 @@ class ChangeLog:
             F.when(F.col("h.lsn").isNull() | F.col("h.change.action").isNull() | F.col("h.change.action").isin(*DML_ACTIONS), "dml")
             .otherwise("other").alias("kind")))
         after = self.end(0) if after is None else after
+        rows = rows.persist()                                                # read up to three times, taken apart once
+        try:
+            return self._land(rows, upto, after, records)
+        finally:
+            rows.unpersist()
+
+    def _land(self, rows: DataFrame, upto: int | None, after: int, records: int) -> int:
         n, last = rows.agg(F.count(F.lit(1)), F.max("lsn")).first()
         upto = max(after, last if last is not None else after) if upto is None else upto
         if not n and upto == after:
