@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import time
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +30,10 @@ from changeflow.sources.store import VersionedStore
 from changeflow.specs import DELETED_AT, FIELD_LSN_PREFIX, FIELD_SEQ_PREFIX, TableSpec
 from changeflow.streaming.supervise import poison_rejects, poisoned, without
 
+# A micro-batch is read several times and grows with the feed. Kept in memory first, it fills all that Spark counts on before
+# any of it goes to disk, and reading it back takes as much again that is not counted: the heap ran out at large batches.
+KEPT = StorageLevel.DISK_ONLY
+
 
 def batch_metrics(batch: DataFrame, tables: list[str], after: int | None) -> dict:
     """A2, A3, A5: what a batch holds, in one small row: records read, those the envelope rejects, changes to
@@ -76,7 +81,7 @@ def batch_handler(store: VersionedStore, names: list[str], stream: str, mode: st
         missing = [n for n, s in specs.items() if s is None]
         if missing:
             raise ValueError(f"not in the registry: {', '.join(missing)}; load a snapshot or register them")
-        batch = batch.persist()
+        batch = batch.persist(KEPT)
         try:
             apply(batch, batch_id, covered, rec, specs, {})
         except Exception:
@@ -94,12 +99,13 @@ def batch_handler(store: VersionedStore, names: list[str], stream: str, mode: st
         kept = []
         try:
             if prepare or poison:
-                kept.append(batch := batch.persist())
+                kept.append(batch := batch.persist(KEPT))
             m = batch_metrics(batch, names, after)
             due = batch if after is None else batch.where(F.col("lsn") > F.lit(after))
             folded, rejects, n_bad = {}, envelope_rejects(batch, names), 0
             for name, spec in specs.items():
-                staged = stage_ops(due, spec).persist()
+                staged = stage_ops(due, spec)
+                staged = staged.withColumn("_raw", F.when(F.size("_bad") > 0, F.col("_raw"))).persist(KEPT)     # the text of rejects only
                 kept.append(staged)
                 ops, bad = split_staged(staged, name)
                 folded[name] = (fo.coalesce(ops, spec.fields), spec.fields)

@@ -13,7 +13,9 @@ from changeflow.operators.ops import stage_ops, to_generic_ops, to_ops
 from changeflow.plans import feeds as fd
 from changeflow.plans import queries as q
 from changeflow.sources.feed import parse_feed
+from changeflow.sources.store import VersionedStore
 from changeflow.specs import TPCH_ORDERS, USERS, TableSpec
+from changeflow.streaming.stream import run_stream
 
 COMPILED = 8000                        # the JVM runs longer methods uncompiled
 WIDE = TableSpec("wide", "id", (("id", "bigint"), *[(f"c{i}", ("string", "decimal(12,2)", "timestamp")[i % 3]) for i in range(14)]))
@@ -81,3 +83,21 @@ def test_landings_of_the_log_are_dealt_over_all_cores(spark, tmp_path):
     _, lines, width = q._users_log(spark, str(tmp_path), "t")
     first = lines.where(F.col("at") < width).select(F.spark_partition_id().alias("p")).distinct().count()
     assert first >= spark.sparkContext.defaultParallelism
+
+
+def test_a_micro_batch_takes_no_storage_memory(spark, tmp_path, monkeypatch):
+    cell = '{"name": "%s", "type": "text", "value": %s}'
+    line = '{"lsn": "0/%X", "seq": 0, "change": {"action": "I", "table": "wide", "timestamp": "2024-01-01 00:00:00+00", "columns": [%s]}}'
+    lines = [line % (i, ", ".join([cell % ("id", f'"{i}"'), cell % ("c0", '"%s"' % ("x" * 100)), cell % ("c1", '"bad"' if i % 10 == 0 else "1")])) for i in range(1, 501)]
+    (tmp_path / "in").mkdir()
+    _lines(spark, tmp_path / "in", lines)
+    store = VersionedStore(spark, str(tmp_path / "store"), buckets=2)
+    stored = lambda: {i.id(): (i.memSize(), i.diskSize()) for i in spark.sparkContext._jsc.sc().getRDDStorageInfo()}
+    before, at, apply = stored(), {}, store.apply_batch
+    monkeypatch.setattr(store, "apply_batch", lambda *a, **b: (at.update(stored()), apply(*a, **b))[1])
+    run_stream(spark, str(tmp_path / "in"), store, [WIDE])
+    parsed, staged = [at[i] for i in sorted(at) if i not in before]
+    assert parsed[0] == staged[0] == 0 and 0 < staged[1] < parsed[1] / 2      # staged rows leave the text behind
+    assert store.read("wide").count() == 450
+    bad = {r["lsn"]: r["record"] for r in store.rejects().collect()}
+    assert bad == {i: lines[i - 1] for i in range(10, 501, 10)}               # that of rejects is there in full
